@@ -69,8 +69,12 @@ def transaction_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_events(spark: SparkSession, folder: str) -> DataFrame:
-    """No session ids: sessions come from the gap rule."""
-    return table(spark, folder, "events").selectExpr(
+    return as_user_events(table(spark, folder, "events"))
+
+
+def as_user_events(events: DataFrame) -> DataFrame:
+    """No session ids: sessions come from the gap rule. Works on a stream as well."""
+    return events.selectExpr(
         "user_id AS customer_id",
         "ts AS event_timestamp",
         "CASE event_type WHEN 'view' THEN 'page_view' WHEN 'signup' THEN 'search' "
