@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import views as v
 from checks.registry import query
 from checks.views import ALL_VIEWS, exprs, rounded, sql
+from holdfast.functions.columns import expressions
 from holdfast.operators import customer, engagement, impute, rfm, subscription, support
 from holdfast.operators import transactions as behaviour
 from holdfast.plans import features as plan
@@ -34,7 +35,7 @@ ORDER_DEPENDENT = {
 
 def tidy(df: DataFrame, columns: set[str] = ORDER_DEPENDENT, digits: int = 4) -> DataFrame:
     """Round the given double columns; all others compare bit by bit."""
-    return df.select(*[F.round(c, digits).alias(c) if c in columns else c for c in df.columns])
+    return df.selectExpr(*[rounded(c, digits) if c in columns else f"`{c}`" for c in df.columns])
 
 
 def tidy_sql(columns, rounded_columns: set[str] = ORDER_DEPENDENT, digits: int = 4) -> str:
@@ -47,9 +48,7 @@ def profiles(spark: SparkSession, folder: str, as_of: str = AS_OF) -> DataFrame:
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
-    return plan.build_features(
-        profiles(spark, folder), fx.all_tables(spark, folder), AS_OF, ACTIVITY, rows=customer_rows(spark, folder)
-    )
+    return plan.build_features(profiles(spark, folder), fx.all_tables(spark, folder), AS_OF, ACTIVITY)
 
 
 def customer_rows(spark: SparkSession, folder: str) -> int:
@@ -151,7 +150,7 @@ def rfm_multiwindow(spark, folder):
 ))
 def rfm_trends(spark, folder):
     windows = rfm.rfm_windows(fx.transactions(spark, folder), AS_OF)
-    return tidy(rfm.rfm_trends(windows).select("customer_id", *rfm.trend_columns()))
+    return tidy(rfm.rfm_trends(windows).select("customer_id", *rfm.TRENDS))
 
 
 @query(sql("SELECT * FROM diversity", ("transactions", "transaction_lines"), v.transaction_groups(None)))
@@ -199,7 +198,7 @@ def engagement_rollup(spark, folder):
 ))
 def engagement_rates(spark, folder):
     rollup = engagement.engagement_rollup(scans.scan_events(fx.user_events(spark, folder), ACTIVITY))
-    return tidy(engagement.engagement_rates(rollup).select("customer_id", *engagement.rate_columns()))
+    return tidy(engagement.engagement_rates(rollup).select("customer_id", *engagement.RATES))
 
 
 @query(sql(
@@ -229,7 +228,7 @@ def support_rollup(spark, folder):
 def support_features(spark, folder):
     rollup = support.support_rollup(scans.scan_tickets(fx.support_tickets(spark, folder), ACTIVITY))
     return tidy(
-        support.support_features(rollup, ACTIVITY).select("customer_id", *support.rate_columns(ACTIVITY))
+        support.support_features(rollup, ACTIVITY).select("customer_id", *support.rates(ACTIVITY))
     )
 
 
@@ -251,7 +250,7 @@ def subscription_stability(spark, folder):
     history = scans.scan_subscription_history(fx.subscription_history(spark, folder), AS_OF)
     latest = subscription.latest_subscription(history, AS_OF)
     return tidy(
-        subscription.subscription_stability(latest).select("customer_id", *subscription.stability_columns())
+        subscription.subscription_stability(latest).select("customer_id", *subscription.STABILITY)
     )
 
 
@@ -263,7 +262,7 @@ def subscription_stability(spark, folder):
 ))
 def temporal_features(spark, folder):
     out = customer.temporal_features(profiles(spark, folder))
-    return tidy(out.select("customer_id", *customer.temporal_columns()))
+    return tidy(out.select("customer_id", *customer.TEMPORAL))
 
 
 @query(sql(
@@ -309,18 +308,16 @@ def _with_windows(spark, folder):
 
 @query(_wide_check("total_spent_365d", "estimated_clv"))
 def customer_value(spark, folder):
-    clv = customer.value_columns()["estimated_clv"].alias("estimated_clv")
-    return tidy(_with_windows(spark, folder).select("customer_id", "total_spent_365d", clv))
+    valued = _with_windows(spark, folder).withColumn("estimated_clv", F.expr(customer.VALUE["estimated_clv"]))
+    return valued.select("customer_id", "total_spent_365d", "estimated_clv")
 
 
 @query(_wide_check("activity_decline_30_90", "engagement_per_day"))
 def activity_decline(spark, folder):
     events = engagement.engagement_rollup(scans.scan_events(fx.user_events(spark, folder), ACTIVITY))
     wide = _with_windows(spark, folder).join(events, "customer_id", "left")
-    columns = customer.value_columns()
-    return tidy(
-        wide.select("customer_id", *[columns[c].alias(c) for c in ("activity_decline_30_90", "engagement_per_day")])
-    )
+    columns = ("activity_decline_30_90", "engagement_per_day")
+    return wide.selectExpr("customer_id", *[f"{customer.VALUE[c]} AS {c}" for c in columns])
 
 
 @query(_wide_check("is_high_value", "is_multi_channel"))
@@ -332,7 +329,7 @@ def high_value_flag(spark, folder):
     return wide.join(methods, "customer_id", "left").select(
         "customer_id",
         high.alias("is_high_value"),
-        customer.value_columns()["is_multi_channel"].alias("is_multi_channel"),
+        F.expr(customer.VALUE["is_multi_channel"]).alias("is_multi_channel"),
     )
 
 
@@ -340,10 +337,10 @@ def high_value_flag(spark, folder):
 def preliminary_risk_score(spark, folder):
     base = profiles(spark, folder)
     wide = customer.temporal_features(rfm.rfm_trends(_with_windows(spark, folder)))
-    wide = wide.withColumns(customer.risk_flag_columns())
+    wide = wide.withColumns(expressions(customer.RISK_FLAGS))
     score = customer.preliminary_risk_score(customer.top_login_score(base))
     return tidy(
-        wide.select("customer_id", *customer.risk_flag_columns(), score.alias("preliminary_risk_score"))
+        wide.select("customer_id", *customer.RISK_FLAGS, score.alias("preliminary_risk_score"))
     )
 
 

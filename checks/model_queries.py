@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
-from checks.feature_queries import customer_rows, profiles, tidy
+from checks.feature_queries import profiles, tidy
 from checks.registry import query
 from checks.scoring_queries import BASE, LABEL_AS_OF, LABELS, labelled
 from checks.views import exprs, sql
@@ -87,9 +87,7 @@ def minority_knn(spark, folder):
 def training_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Training table at the label time, all customers."""
     tables = fx.all_tables(spark, folder)
-    wide = plan.build_features(
-        profiles(spark, folder, LABEL_AS_OF), tables, LABEL_AS_OF, fx.EVENTS_AS_OF, rows=customer_rows(spark, folder)
-    )
+    wide = plan.build_features(profiles(spark, folder, LABEL_AS_OF), tables, LABEL_AS_OF, fx.EVENTS_AS_OF)
     return training.training_table(wide, tables["customers"], tables["transactions"], LABEL_AS_OF)
 
 

@@ -29,11 +29,40 @@ def elapsed_days(start: Column, end: Column) -> Column:
     return F.extract(F.lit("DAY"), end - start).cast("int")
 
 
+def timestamp_text(value: datetime | date | str) -> str:
+    """The same literal as SQL text. Wide column lists are SQL text: one call each from Python."""
+    if isinstance(value, datetime):
+        value = value.isoformat(sep=" ")
+    return f"TIMESTAMP_NTZ '{value}'"
+
+
+def within_text(ts: str, as_of: datetime | str, days: int) -> str:
+    now = timestamp_text(as_of)
+    return f"({ts} >= {now} - INTERVAL '{int(days)}' DAY AND {ts} < {now})"
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division on doubles; NULL when the denominator is 0."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def ratio_text(numerator: str, denominator: str) -> str:
+    return f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))"
+
+
+def flag_text(condition: str) -> str:
+    """1 if true; 0 if false or unknown."""
+    return f"coalesce(CAST({condition} AS INT), 0)"
+
+
+def elapsed_days_text(start: str, end: str) -> str:
+    return f"CAST(extract(DAY FROM ({end} - {start})) AS INT)"
+
+
+def expressions(columns: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in columns.items()}
+
+
 def cents(amount: Column) -> Column:
     """A two-decimal amount as a whole number, so sums do not depend on row order."""
     return F.rint(amount.cast("double") * 100).cast("bigint")
@@ -43,18 +72,13 @@ def from_cents(total: Column) -> Column:
     return total.cast("double") / 100
 
 
-def flag(condition: Column) -> Column:
-    """1 if true; 0 if false or unknown."""
-    return F.coalesce(condition.cast("int"), F.lit(0))
-
-
-def right_closed_bins(value: Column, edges: list[float | None], labels: list[str]) -> Column:
-    """Label of the bin ``(edges[i], edges[i+1]]``; NULL outside. A last edge of None is open."""
-    out = F
-    for low, high, label in zip(edges, edges[1:], labels):
-        inside = value > low if high is None else (value > low) & (value <= high)
-        out = out.when(inside, label)
-    return out
+def right_closed_bins(value: str, edges: list[float | None], labels: list[str]) -> str:
+    """SQL text: label of the bin ``(edges[i], edges[i+1]]``, NULL outside. A last edge of None is open."""
+    cases = [
+        f"WHEN {value} > {low}" + ("" if high is None else f" AND {value} <= {high}") + f" THEN '{label}'"
+        for low, high, label in zip(edges, edges[1:], labels)
+    ]
+    return f"CASE {' '.join(cases)} END"
 
 
 def unit_hash(*parts: Column | str) -> Column:

@@ -2,9 +2,10 @@
 
 Two tools:
 
-* per key: rows of an ordinary key share one window; a key with more rows than
-  ``hot_rows`` is cut into one-minute cells, each its own window, and what
-  earlier cells pass on is computed from one row per cell;
+* per key: rows of an ordinary key share one window. A key with more than
+  ``hot_rows`` rows is reduced to distinct instants and cut into one-minute
+  cells, each its own window; what earlier cells pass on is computed from one
+  row per cell. Distinct instants bound a cell by the clock's resolution;
 * over a whole table: rows are range-partitioned once, written, and running
   values are completed from one total per range partition.
 """
@@ -20,63 +21,66 @@ from holdfast.session import pinned
 HOT_ROWS = 1_000_000
 
 
-def instants(df: DataFrame, key: str, ts: str, *extra: Column) -> DataFrame:
-    """One row per distinct ``(key, ts)`` with the number of rows there.
+def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows or None).
 
-    Combined on the map side; also bounds a one-minute cell by the clock's
-    resolution, however many rows fall on one instant.
+    Counts rows per key once, combined on the map side. There are at most
+    ``rows / hot_rows`` hot keys, which bounds the list sent out.
     """
-    return df.where(F.col(ts).isNotNull()).groupBy(key, ts).agg(F.count("*").alias("n"), *extra)
-
+    counts = df.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+    found = counts.select(key).collect()
+    if not found:
+        return df, None
+    hot = F.broadcast(df.sparkSession.createDataFrame(found, df.select(key).schema))
+    # a missing key is one group as well
+    same = df[key].eqNullSafe(hot[key])
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
-def with_cells(points: DataFrame, rows: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_cell``: NULL for ordinary keys, the minute for keys with more than ``hot_rows`` rows.
 
-    The list of such keys has at most ``rows / hot_rows`` entries, which bounds the broadcast.
-    """
-    hot = (
-        rows.groupBy(key)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    minute = F.date_trunc("MINUTE", F.col(ts)).cast("timestamp_ntz")
-    return (
-        points.join(F.broadcast(hot), key, "left")
-        .withColumn("_cell", F.when(F.col("_hot"), minute))
-        .drop("_hot")
-    )
+def instants(df: DataFrame, key: str, ts: str, *extra: Column) -> DataFrame:
+    """One row per distinct ``(key, ts)`` with the number of rows there; combined on the map side."""
+    return df.groupBy(key, ts).agg(F.count("*").alias("n"), *extra)
 
 
 def running_max(points: DataFrame, key: str, ts: str, value: Column, name: str, include_current: bool) -> DataFrame:
-    """Largest ``value`` of the key over the points before (or up to) each point; needs ``_cell``."""
+    """Largest ``value`` of the key over the points before (or up to) each point, for points with a ``_cell``."""
     last = 0 if include_current else -1
     points = points.withColumn("_v", value)
     in_cell = W.partitionBy(key, "_cell").orderBy(ts).rowsBetween(W.unboundedPreceding, last)
     earlier = W.partitionBy(key).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
     carry = (
-        points.where(F.col("_cell").isNotNull())
-        .groupBy(key, "_cell")
+        points.groupBy(key, "_cell")
         .agg(F.max("_v").alias("_top"))
-        .select(key, "_cell", F.max("_top").over(earlier).alias("_carry"))
+        .select(F.col(key).alias("_key"), F.col("_cell").alias("_at"), F.max("_top").over(earlier).alias("_carry"))
     )
     local = points.withColumn("_local", F.max("_v").over(in_cell))
     return (
-        local.join(carry, [key, "_cell"], "left")
+        local.join(carry, local[key].eqNullSafe(carry["_key"]) & (local["_cell"] == carry["_at"]))
         .withColumn(name, F.greatest("_local", "_carry"))
-        .drop("_v", "_local", "_carry")
+        .drop("_v", "_local", "_carry", "_key", "_at")
     )
 
 
-def previous_instants(
-    df: DataFrame, key: str, ts: str, *extra: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Distinct instants per key with ``previous``, the key's instant before; keeps ``_cell``."""
-    rows = df.where(F.col(ts).isNotNull())
-    points = with_cells(instants(rows, key, ts, *extra), rows, key, ts, hot_rows)
+def hot_instants(hot: DataFrame, key: str, ts: str, *extra: Column) -> DataFrame:
+    """Distinct instants of hot keys with ``n``, ``previous`` and their ``_cell``."""
+    cell = F.date_trunc("MINUTE", F.col(ts)).cast("timestamp_ntz")
+    points = instants(hot, key, ts, *extra).withColumn("_cell", cell)
     return running_max(points, key, ts, F.col(ts), "previous", include_current=False)
 
 
+def previous_instants(df: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(key, ts, n, previous)``: ``n`` rows at an instant and the key's instant before.
+
+    Ordinary keys give one row per row, so ``previous`` may equal ``ts`` there.
+    """
+    plain, hot = split_hot(df.where(F.col(ts).isNotNull()).select(key, ts), key, hot_rows)
+    before = F.lag(ts).over(W.partitionBy(key).orderBy(ts))
+    out = plain.select(key, ts, F.lit(1).cast("bigint").alias("n"), before.alias("previous"))
+    if hot is None:
+        return out
+    return out.unionByName(hot_instants(hot, key, ts).select(key, ts, "n", "previous"))
+
+
 def range_segments(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
     """Sort ``df`` over all partitions and fix each row's place.
 

@@ -29,9 +29,8 @@ def exact_quantiles(
         return {}
     rows = df.count() if rows is None else rows
     if rows <= one_pass_rows:
-        found = df.agg(
-            *[F.percentile(F.col(c).cast("double"), F.array(*map(F.lit, probabilities))).alias(c) for c in columns]
-        ).first()
+        wanted = ", ".join(f"{p!r}D" for p in probabilities)
+        found = df.selectExpr(*[f"percentile(CAST(`{c}` AS DOUBLE), array({wanted})) AS `{c}`" for c in columns]).first()
         return {c: list(found[c]) if found[c] is not None else [None] * len(probabilities) for c in columns}
     return _bracketed(df, columns, probabilities)
 

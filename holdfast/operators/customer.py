@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.columns import flag, ratio, right_closed_bins
+from holdfast.functions.columns import expressions, flag_text, ratio_text, right_closed_bins
 from holdfast.functions.quantiles import ONE_PASS_ROWS, exact_quantiles
-from holdfast.session import bounded_broadcast
 
 # bin edges and labels (fixed values); the last lifecycle bin is open
 LIFECYCLE_EDGES = [0, 30, 90, 180, 365, None]
@@ -18,107 +19,100 @@ AGE_LABELS = ["<18", "18-24", "25-34", "35-44", "45-54", "55-64", "65+"]
 ENCODED = ("gender", "country", "customer_tier", "subscription_type", "referral_source", "customer_lifecycle_stage")
 
 
-def temporal_columns() -> dict[str, Column]:
-    registered = F.col("registration_date")
-    return {
-        "registration_day_of_week": F.weekday(registered),
-        "registration_month": F.month(registered),
-        "registration_quarter": F.quarter(registered),
-        "login_frequency_score": ratio(F.lit(365), F.col("days_since_last_login") + 1),
-        "customer_lifecycle_stage": right_closed_bins(
-            F.col("customer_age_days"), LIFECYCLE_EDGES, LIFECYCLE_LABELS
-        ),
-    }
+TEMPORAL = {
+    "registration_day_of_week": "weekday(registration_date)",
+    "registration_month": "month(registration_date)",
+    "registration_quarter": "quarter(registration_date)",
+    "login_frequency_score": ratio_text("365", "days_since_last_login + 1"),
+    "customer_lifecycle_stage": right_closed_bins("customer_age_days", LIFECYCLE_EDGES, LIFECYCLE_LABELS),
+}
+AGE_GROUP = {"age_group": right_closed_bins("age", AGE_EDGES, AGE_LABELS)}
+VALUE = {
+    "estimated_clv": ratio_text("total_spent_365d", "customer_age_days + 1") + " * 365 * 2",
+    "activity_decline_30_90": ratio_text(
+        "transaction_count_90d - transaction_count_30d * 3", "transaction_count_90d + 1"
+    ),
+    "engagement_per_day": ratio_text("total_events", "customer_age_days + 1"),
+    "is_multi_channel": flag_text("payment_method_count > 1"),
+}
+# unknown trends count as not declining, so NULL must not be filled before
+RISK_FLAGS = {
+    "high_recency_flag": flag_text("recency_days_30d > 30"),
+    "declining_frequency_flag": flag_text("frequency_trend_30_90 < 0.5D"),
+    "declining_spending_flag": flag_text("spending_trend_30_90 < 0.5D"),
+}
 
 
 def temporal_features(profiles: DataFrame) -> DataFrame:
-    return profiles.withColumns(temporal_columns())
-
-
-def age_group(age: Column) -> Column:
-    return right_closed_bins(age, AGE_EDGES, AGE_LABELS)
+    return profiles.withColumns(expressions(TEMPORAL))
 
 
 def demographic_features(profiles: DataFrame) -> DataFrame:
-    return profiles.withColumn("age_group", age_group(F.col("age")))
-
-
-def value_columns() -> dict[str, Column]:
-    c = F.col
-    age = c("customer_age_days") + 1
-    return {
-        "estimated_clv": ratio(c("total_spent_365d"), age) * 365 * 2,
-        "activity_decline_30_90": ratio(
-            c("transaction_count_90d") - c("transaction_count_30d") * 3, c("transaction_count_90d") + 1
-        ),
-        "engagement_per_day": ratio(c("total_events"), age),
-        "is_multi_channel": flag(c("payment_method_count") > 1),
-    }
+    return profiles.withColumns(expressions(AGE_GROUP))
 
 
 def high_value_flag(df: DataFrame, rows: int, one_pass_rows: int = ONE_PASS_ROWS) -> Column:
     """``total_spent_365d`` above the 75th percentile of ``df``, a one-row subquery while ``rows`` allows it."""
-    spent = F.col("total_spent_365d")
     if rows <= one_pass_rows:
-        return flag(spent > df.agg(F.percentile("total_spent_365d", F.lit(0.75))).scalar())
-    cut = exact_quantiles(df, ["total_spent_365d"], [0.75], rows, one_pass_rows)["total_spent_365d"][0]
-    return flag(spent > F.lit(cut).cast("double"))
-
-
-def risk_flag_columns() -> dict[str, Column]:
-    """Unknown trends count as not declining, so NULL must not be filled before."""
-    return {
-        "high_recency_flag": flag(F.col("recency_days_30d") > 30),
-        "declining_frequency_flag": flag(F.col("frequency_trend_30_90") < 0.5),
-        "declining_spending_flag": flag(F.col("spending_trend_30_90") < 0.5),
-    }
+        cut = df.agg(F.expr("percentile(total_spent_365d, 0.75)")).scalar()
+    else:
+        cut = F.lit(exact_quantiles(df, ["total_spent_365d"], [0.75], rows, one_pass_rows)["total_spent_365d"][0])
+    return F.coalesce((F.col("total_spent_365d") > cut.cast("double")).cast("int"), F.lit(0))
 
 
 def preliminary_risk_score(top_login_score: Column) -> Column:
-    c = F.col
-    return (
-        c("high_recency_flag") * F.lit(0.3)
-        + c("declining_frequency_flag") * F.lit(0.3)
-        + c("declining_spending_flag") * F.lit(0.2)
-        + (F.lit(1.0) - ratio(c("login_frequency_score"), top_login_score)) * F.lit(0.2)
-    )
+    flags = F.expr("high_recency_flag * 0.3D + declining_frequency_flag * 0.3D + declining_spending_flag * 0.2D")
+    return flags + (F.lit(1.0) - F.try_divide("login_frequency_score", top_login_score)) * F.lit(0.2)
 
 
 def top_login_score(profiles: DataFrame) -> Column:
     """Largest login score as a one-row subquery."""
-    return profiles.agg(F.max(temporal_columns()["login_frequency_score"])).scalar()
+    return profiles.agg(F.expr(f"max({TEMPORAL['login_frequency_score']})")).scalar()
 
 
 def value_frequencies(df: DataFrame, columns: tuple[str, ...] = ENCODED) -> DataFrame:
     """Share of every non-null value of every column, in long form; one aggregate for all columns."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    )
+    pairs = ", ".join(f"struct('{c}' AS column, CAST({c} AS STRING) AS value)" for c in columns)
     counts = (
-        df.select(pairs.alias("p"))
-        .where(F.col("p.value").isNotNull())
-        .groupBy("p.column", "p.value")
+        df.selectExpr(f"inline(array({pairs}))")
+        .where("value IS NOT NULL")
+        .groupBy("column", "value")
         .agg(F.count("*").alias("n"))
     )
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     # totals has one row per encoded column
-    return counts.join(F.broadcast(totals), "column").select(
-        "column", "value", "n", ratio(F.col("n"), F.col("total")).alias("frequency")
+    return counts.join(F.broadcast(totals), "column").selectExpr(
+        "column", "value", "n", f"{ratio_text('n', 'total')} AS frequency"
     )
 
 
 def frequency_encoding(
-    df: DataFrame, frequencies: DataFrame | None = None, columns: tuple[str, ...] = ENCODED
+    df: DataFrame,
+    frequencies: DataFrame | None = None,
+    columns: tuple[str, ...] = ENCODED,
+    literal_values: int = 200,
+    broadcast_values: int = 20_000,
 ) -> DataFrame:
     """Add ``<column>_frequency``: the share of the row's value, NULL for NULL.
 
-    The lookup is broadcast only if it proves small; else each column is a
-    plain join that the adaptive planner may split.
+    The lookup is read once, up to a limit. A column with few values gets them
+    as a constant map, one with more a broadcast join; beyond the limit each
+    column is a plain join that the adaptive planner may split.
     """
-    lookup = bounded_broadcast(value_frequencies(df, columns) if frequencies is None else frequencies)
+    lookup = value_frequencies(df, columns) if frequencies is None else frequencies
+    rows = lookup.limit(broadcast_values + 1).collect()
+    known = len(rows) <= broadcast_values
     for c in columns:
-        one = lookup.where(F.col("column") == c).select(
-            F.col("value").alias(c), F.col("frequency").alias(f"{c}_frequency")
-        )
-        df = df.join(one, c, "left")
+        name = f"{c}_frequency"
+        shares = {r["value"]: r["frequency"] for r in rows if r["column"] == c}
+        if known and len(shares) <= literal_values:
+            constant = F.from_json(F.lit(json.dumps(shares)), "map<string,double>")
+            df = df.withColumn(name, F.element_at(constant, F.col(c).cast("string")))
+            continue
+        schema = f"value string, {name} double"
+        if known:
+            one = F.broadcast(df.sparkSession.createDataFrame(list(shares.items()), schema))
+        else:
+            one = lookup.where(F.col("column") == c).select("value", F.col("frequency").alias(name))
+        df = df.join(one, df[c].cast("string") == one["value"], "left").drop("value")
     return df

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from holdfast.functions.columns import cents, from_cents, ratio
-from holdfast.functions.ordering import HOT_ROWS, previous_instants, running_max
+from holdfast.functions.columns import cents, expressions, ratio_text
+from holdfast.functions.ordering import HOT_ROWS, hot_instants, previous_instants, running_max, split_hot
 
 SESSION_GAP_MINUTES = 30
 
@@ -19,23 +20,34 @@ EVENT_COUNTS = {
 }
 
 
-def _session_starts(events: DataFrame, gap_minutes: int, hot_rows: int) -> DataFrame:
-    points = previous_instants(events, "customer_id", "event_timestamp", hot_rows=hot_rows)
+def _opens(ts: str, gap_minutes: int) -> Column:
+    """The gap to the event before exceeds the limit, to the microsecond."""
     gap = F.expr(f"INTERVAL '{int(gap_minutes)}' MINUTE")
-    opens = F.col("previous").isNull() | (F.col("event_timestamp") - F.col("previous") > gap)
-    return points.withColumn("_opens", opens)
+    return F.col("previous").isNull() | (F.col(ts) - F.col("previous") > gap)
 
 
 def sessionize_events(
     events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One row per session: a new one opens when the gap to the event before exceeds the limit."""
-    points = _session_starts(events, gap_minutes, hot_rows)
-    opened = F.when(F.col("_opens"), F.col("event_timestamp"))
-    marked = running_max(points, "customer_id", "event_timestamp", opened, "session_start", include_current=True)
-    return marked.groupBy("customer_id", "session_start").agg(
-        F.max("event_timestamp").alias("session_end"), F.sum("n").alias("event_count")
+    key, ts = "customer_id", "event_timestamp"
+    opened = F.when(_opens(ts, gap_minutes), F.col(ts))
+    plain, hot = split_hot(events.where(F.col(ts).isNotNull()).select(key, ts), key, hot_rows)
+    in_order = W.partitionBy(key).orderBy(ts)
+    marked = (
+        plain.withColumn("previous", F.lag(ts).over(in_order))
+        .withColumn("_opened", opened)
+        .select(
+            key,
+            ts,
+            F.lit(1).cast("bigint").alias("n"),
+            F.max("_opened").over(in_order.rowsBetween(W.unboundedPreceding, 0)).alias("session_start"),
+        )
     )
+    if hot is not None:
+        points = running_max(hot_instants(hot, key, ts), key, ts, opened, "session_start", include_current=True)
+        marked = marked.unionByName(points.select(key, ts, "n", "session_start"))
+    return marked.groupBy(key, "session_start").agg(F.max(ts).alias("session_end"), F.sum("n").alias("event_count"))
 
 
 def session_counts(
@@ -45,8 +57,9 @@ def session_counts(
     if "session_id" in events.columns:
         pairs = events.groupBy("customer_id", "session_id").agg(F.lit(1).alias("_seen"))
         return pairs.groupBy("customer_id").agg(F.count("session_id").alias("session_count"))
-    starts = _session_starts(events, gap_minutes, hot_rows)
-    return starts.groupBy("customer_id").agg(F.count_if("_opens").alias("session_count"))
+    points = previous_instants(events, "customer_id", "event_timestamp", hot_rows)
+    opens = F.count_if(_opens("event_timestamp", gap_minutes))
+    return points.groupBy("customer_id").agg(opens.alias("session_count"))
 
 
 def engagement_rollup(
@@ -62,33 +75,27 @@ def engagement_rollup(
         F.max("event_timestamp").alias("_last"),
     )
     rollup = by_type.groupBy("customer_id").agg(
-        F.sum("_n").alias("total_events"),
-        F.count("event_type").alias("unique_event_type_count"),
+        F.expr("sum(_n) AS total_events"),
+        F.expr("count(event_type) AS unique_event_type_count"),
         *[
-            F.sum(F.when(F.col("event_type") == kind, F.col("_n")).otherwise(0)).alias(name)
+            F.expr(f"coalesce(sum(_n) FILTER (WHERE event_type = '{kind}'), 0) AS {name}")
             for kind, name in EVENT_COUNTS.items()
         ],
-        from_cents(F.coalesce(F.sum("_time"), F.lit(0))).alias("total_time_spent"),
-        F.max("_last").alias("last_event_date"),
+        F.expr("coalesce(sum(_time), 0) / 100D AS total_time_spent"),
+        F.expr("max(_last) AS last_event_date"),
     )
     return rollup.join(session_counts(events, gap_minutes, hot_rows), "customer_id", "left")
 
 
-def rate_columns() -> dict[str, Column]:
-    c = F.col
-    return {
-        "page_view_rate": ratio(c("page_views"), c("total_events") + 1),
-        "click_rate": ratio(c("clicks"), c("page_views") + 1),
-        "search_rate": ratio(c("searches"), c("total_events") + 1),
-        "cart_conversion_rate": ratio(c("add_to_cart"), c("page_views") + 1),
-        "avg_time_per_session": ratio(c("total_time_spent"), c("session_count") + 1),
-        "engagement_score": c("total_events") * F.lit(0.3)
-        + c("page_views") * F.lit(0.2)
-        + c("clicks") * F.lit(0.2)
-        + c("searches") * F.lit(0.15)
-        + c("add_to_cart") * F.lit(0.15),
-    }
+RATES = {
+    "page_view_rate": ratio_text("page_views", "total_events + 1"),
+    "click_rate": ratio_text("clicks", "page_views + 1"),
+    "search_rate": ratio_text("searches", "total_events + 1"),
+    "cart_conversion_rate": ratio_text("add_to_cart", "page_views + 1"),
+    "avg_time_per_session": ratio_text("total_time_spent", "session_count + 1"),
+    "engagement_score": "total_events * 0.3D + page_views * 0.2D + clicks * 0.2D + searches * 0.15D + add_to_cart * 0.15D",
+}
 
 
 def engagement_rates(rollup: DataFrame) -> DataFrame:
-    return rollup.withColumns(rate_columns())
+    return rollup.withColumns(expressions(RATES))

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.columns import cents, days_before, elapsed_days, from_cents, instant, ratio, within
+from holdfast.functions.columns import elapsed_days_text, expressions, ratio_text, timestamp_text, within_text
 
 LOOKBACKS = (7, 14, 30, 60, 90, 180, 365)
 
@@ -20,44 +20,43 @@ def rfm_windows(
     One scan and one shuffle for all windows; partial aggregates keep a heavy
     customer to one row per map task. A window without rows is NULL, not 0.
     """
-    ts = F.col("transaction_date")
-    amount = F.col("transaction_amount").cast("double")
-    rows = transactions.where(within(ts, as_of, max(lookbacks))).select(
-        "customer_id", "transaction_date", amount.alias("_amount"), cents(F.col("transaction_amount")).alias("_cents")
+    ts, now = "transaction_date", timestamp_text(as_of)
+    rows = transactions.where(within_text(ts, as_of, max(lookbacks))).selectExpr(
+        "customer_id",
+        ts,
+        "CAST(transaction_amount AS DOUBLE) AS _amount",
+        "CAST(rint(CAST(transaction_amount AS DOUBLE) * 100) AS BIGINT) AS _cents",
     )
     aggregates, outputs = [], []
     for p in lookbacks:
-        inside = ts >= days_before(as_of, p)
-        in_window = F.when(inside, F.col("_amount"))
+        inside = f"FILTER (WHERE {ts} >= {now} - INTERVAL '{int(p)}' DAY)"
         aggregates += [
-            F.count_if(inside).alias(f"_n_{p}"),
-            F.sum(F.when(inside, F.col("_cents"))).alias(f"_sum_{p}"),
-            F.stddev_samp(in_window).alias(f"std_transaction_{p}d"),
-            F.min(in_window).alias(f"min_transaction_{p}d"),
-            F.max(in_window).alias(f"max_transaction_{p}d"),
-            F.max(F.when(inside, ts)).alias(f"_last_{p}"),
+            f"count(*) {inside} AS _n_{p}",
+            f"sum(_cents) {inside} / 100D AS _sum_{p}",
+            f"stddev_samp(_amount) {inside} AS _std_{p}",
+            f"min(_amount) {inside} AS _min_{p}",
+            f"max(_amount) {inside} AS _max_{p}",
+            f"max({ts}) {inside} AS _last_{p}",
         ]
-        total = from_cents(F.col(f"_sum_{p}"))
         outputs += [
-            F.nullif(F.col(f"_n_{p}"), F.lit(0)).alias(f"transaction_count_{p}d"),
-            total.alias(f"total_spent_{p}d"),
-            ratio(total, F.col(f"_n_{p}")).alias(f"avg_transaction_{p}d"),
-            F.col(f"std_transaction_{p}d"),
-            F.col(f"min_transaction_{p}d"),
-            F.col(f"max_transaction_{p}d"),
-            elapsed_days(F.col(f"_last_{p}"), instant(as_of)).alias(f"recency_days_{p}d"),
+            f"nullif(_n_{p}, 0) AS transaction_count_{p}d",
+            f"_sum_{p} AS total_spent_{p}d",
+            f"try_divide(_sum_{p}, CAST(_n_{p} AS DOUBLE)) AS avg_transaction_{p}d",
+            f"_std_{p} AS std_transaction_{p}d",
+            f"_min_{p} AS min_transaction_{p}d",
+            f"_max_{p} AS max_transaction_{p}d",
+            f"{elapsed_days_text(f'_last_{p}', now)} AS recency_days_{p}d",
         ]
-    return rows.groupBy("customer_id").agg(*aggregates).select("customer_id", *outputs)
+    return rows.groupBy("customer_id").agg(*map(F.expr, aggregates)).selectExpr("customer_id", *outputs)
 
 
-def trend_columns() -> dict:
-    """30-day against 90-day trends, from NULL-able window columns (before any filling)."""
-    return {
-        "spending_trend_30_90": ratio(F.col("total_spent_30d"), F.col("total_spent_90d") + 1),
-        "frequency_trend_30_90": ratio(F.col("transaction_count_30d"), F.col("transaction_count_90d") + 1),
-        "recency_change_30_90": F.col("recency_days_30d") - F.col("recency_days_90d"),
-    }
+# 30-day against 90-day trends, from NULL-able window columns (before any filling)
+TRENDS = {
+    "spending_trend_30_90": ratio_text("total_spent_30d", "total_spent_90d + 1"),
+    "frequency_trend_30_90": ratio_text("transaction_count_30d", "transaction_count_90d + 1"),
+    "recency_change_30_90": "recency_days_30d - recency_days_90d",
+}
 
 
 def rfm_trends(windows: DataFrame) -> DataFrame:
-    return windows.withColumns(trend_columns())
+    return windows.withColumns(expressions(TRENDS))

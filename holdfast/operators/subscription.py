@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.functions.columns import instant, ratio
+from holdfast.functions.columns import expressions, instant, ratio_text
 
 LATEST_COLUMNS = ("monthly_fee", "auto_renewal_enabled", "upgrade_count", "downgrade_count", "reactivation_count")
 
@@ -20,17 +20,13 @@ def latest_subscription(subscriptions: DataFrame, as_of: datetime | str) -> Data
     aggregate can hold; a struct of date and text id needs a sort aggregate.
     """
     if isinstance(subscriptions.schema["subscription_id"].dataType, T.IntegralType):
-        day = F.unix_date("subscription_start_date").cast("decimal(6,0)")
-        order = day * F.lit(str(10**19)).cast("decimal(20,0)") + F.col("subscription_id").cast("decimal(19,0)")
+        day = "CAST(unix_date(subscription_start_date) AS DECIMAL(6,0))"
+        order = f"{day} * {10**19}BD + CAST(subscription_id AS DECIMAL(19,0))"
     else:
-        order = F.struct("subscription_start_date", "subscription_id")
-
-    def latest(name: str):
-        known = F.when(F.col(name).isNotNull(), order)
-        return F.max_by(name, known).alias(name)
-
+        order = "struct(subscription_start_date, subscription_id)"
     newest = subscriptions.groupBy("customer_id").agg(
-        F.max("subscription_start_date").alias("_start"), *[latest(c) for c in LATEST_COLUMNS]
+        F.max("subscription_start_date").alias("_start"),
+        *[F.expr(f"max_by({c}, {order}) FILTER (WHERE {c} IS NOT NULL) AS {c}") for c in LATEST_COLUMNS],
     )
     today = instant(as_of).cast("date")
     return newest.select(
@@ -38,15 +34,13 @@ def latest_subscription(subscriptions: DataFrame, as_of: datetime | str) -> Data
     )
 
 
-def stability_columns() -> dict:
-    ratio_up_down = ratio(F.col("upgrade_count"), F.col("downgrade_count") + 1)
-    return {
-        "upgrade_downgrade_ratio": ratio_up_down,
-        "subscription_stability_score": F.col("subscription_tenure_days") * F.lit(0.4)
-        + F.col("auto_renewal_enabled").cast("int") * F.lit(30.0)
-        + ratio_up_down * F.lit(15.0),
-    }
+_UP_DOWN = ratio_text("upgrade_count", "downgrade_count + 1")
+STABILITY = {
+    "upgrade_downgrade_ratio": _UP_DOWN,
+    "subscription_stability_score": "subscription_tenure_days * 0.4D + CAST(auto_renewal_enabled AS INT) * 30D "
+    f"+ {_UP_DOWN} * 15D",
+}
 
 
 def subscription_stability(latest: DataFrame) -> DataFrame:
-    return latest.withColumns(stability_columns())
+    return latest.withColumns(expressions(STABILITY))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from holdfast.functions.columns import cents, elapsed_days, from_cents, ratio
-from holdfast.functions.ordering import HOT_ROWS, previous_instants
+from holdfast.functions.columns import cents, elapsed_days, from_cents, ratio, ratio_text
+from holdfast.functions.ordering import HOT_ROWS, hot_instants, previous_instants, split_hot
 
 
 def distinct_per_customer(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -44,35 +45,57 @@ def refund_discount_stats(lines: DataFrame) -> DataFrame:
     )
 
 
+def line_features(lines: DataFrame) -> DataFrame:
+    """Category count, refunds, discounts and quantities in one pass, rolled up by (customer, category) first."""
+    by_category = lines.groupBy("customer_id", "product_category").agg(
+        F.expr("sum(CAST(is_refunded AS INT)) AS _refunds"),
+        F.expr("count(is_refunded) AS _known"),
+        F.expr("sum(CAST(rint(CAST(discount_applied AS DOUBLE) * 100) AS BIGINT)) AS _discounts"),
+        F.expr("count(discount_applied) AS _discounted"),
+        F.expr("sum(quantity) AS _quantity"),
+        F.expr("count(quantity) AS _counted"),
+    )
+    return by_category.groupBy("customer_id").agg(
+        F.expr("count(product_category) AS product_category_count"),
+        F.expr("coalesce(sum(_refunds), 0) AS total_refunds"),
+        F.expr(f"{ratio_text('sum(_refunds)', 'sum(_known)')} AS refund_rate"),
+        F.expr(f"{ratio_text('sum(_discounts) / 100D', 'sum(_discounted)')} AS avg_discount_rate"),
+        F.expr("coalesce(sum(_quantity), 0) AS total_quantity"),
+        F.expr(f"{ratio_text('sum(_quantity)', 'sum(_counted)')} AS avg_quantity"),
+    )
+
+
 def days_between_transactions(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each transaction with the whole days since the customer's one before (ties by id: 0 days)."""
-    key, ts = "customer_id", "transaction_date"
-    points = previous_instants(
-        transactions, key, ts, F.min("transaction_id").alias("_first"), hot_rows=hot_rows
-    ).select(key, ts, "_first", elapsed_days(F.col("previous"), F.col(ts)).alias("_gap"))
-    return (
-        transactions.select(key, "transaction_id", ts)
-        .where(F.col(ts).isNotNull())
-        .join(points, [key, ts])
-        .select(
-            key,
-            "transaction_id",
-            ts,
-            F.when(F.col("transaction_id") == F.col("_first"), F.col("_gap"))
-            .otherwise(0)
-            .alias("days_between_transactions"),
-        )
+    key, ts, id_ = "customer_id", "transaction_date", "transaction_id"
+    rows = transactions.select(key, id_, ts).where(F.col(ts).isNotNull())
+    plain, hot = split_hot(rows, key, hot_rows)
+    before = F.lag(ts).over(W.partitionBy(key).orderBy(ts, id_))
+    gap = elapsed_days(before, F.col(ts)).alias("days_between_transactions")
+    out = plain.select(key, id_, ts, gap)
+    if hot is None:
+        return out
+    points = hot_instants(hot, key, ts, F.min(id_).alias("_first")).select(
+        F.col(key).alias("_key"),
+        F.col(ts).alias("_at"),
+        "_first",
+        elapsed_days(F.col("previous"), F.col(ts)).alias("_gap"),
+    )
+    first = F.when(F.col(id_) == F.col("_first"), F.col("_gap")).otherwise(0)
+    split = hot.join(points, hot[key].eqNullSafe(points["_key"]) & (hot[ts] == points["_at"])).select(
+        key, id_, ts, first.alias("days_between_transactions")
     )
+    return out.unionByName(split)
 
 
 def transaction_regularity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mean, sample std and variation of the days between transactions.
 
-    Transactions at one instant are ``n - 1`` intervals of 0 days, so they are
-    added by formula instead of one row each.
+    Of a hot customer, the transactions at one instant come as one row: their
+    ``n - 1`` intervals of 0 days are added by formula.
     """
     key, ts = "customer_id", "transaction_date"
-    points = previous_instants(transactions, key, ts, hot_rows=hot_rows)
+    points = previous_instants(transactions, key, ts, hot_rows)
     gaps = points.groupBy(key).agg(
         F.avg(gap := elapsed_days(F.col("previous"), F.col(ts))).alias("_mean"),
         F.var_pop(gap).alias("_var"),

@@ -7,9 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdfast.functions.columns import expressions
 from holdfast.operators import customer, engagement, rfm, subscription, support
 from holdfast.operators import transactions as behaviour
 from holdfast.operators.rfm import LOOKBACKS
+from holdfast.session import pinned
 from holdfast.sources.scans import scan_events, scan_subscription_history, scan_tickets, scan_transactions
 
 FEATURE_GROUPS = {
@@ -23,22 +25,18 @@ FEATURE_GROUPS = {
 _RFM_WINDOWS = ("30d", "90d", "365d")
 
 
-def build_features(
+def joined_groups(
     profiles: DataFrame,
     tables: dict[str, DataFrame],
     as_of: datetime | str,
     activity_as_of: datetime | str | None = None,
     lookback_days: int = 365,
     lookbacks: tuple[int, ...] = LOOKBACKS,
-    rows: int | None = None,
 ) -> DataFrame:
-    """All feature groups joined to the profiles, before missing values are filled.
+    """Profiles with every per-customer group and the columns that need only their own row.
 
-    Every source is reduced to one row per customer before it is joined, so a
+    Each source is reduced to one row per customer before it is joined, so a
     heavy customer is never joined row by row and all joins share one key.
-    Events and tickets may have their own as-of time. ``tables`` may hold
-    ``transaction_lines`` where categories, refunds and quantities are finer
-    than transactions.
     """
     activity = activity_as_of or as_of
     transactions = scan_transactions(tables["transactions"], as_of, lookback_days)
@@ -46,38 +44,46 @@ def build_features(
     groups = [
         # the windows read their own range: they may be longer than the lookback
         rfm.rfm_windows(tables["transactions"], as_of, lookbacks),
-        behaviour.diversity(transactions, lines),
-        behaviour.refund_discount_stats(lines),
+        behaviour.distinct_per_customer(transactions, "payment_method", "payment_method_count"),
+        behaviour.line_features(lines),
         behaviour.transaction_regularity(transactions),
         engagement.engagement_rollup(scan_events(tables["user_events"], activity, lookback_days)),
         support.support_rollup(scan_tickets(tables["support_tickets"], activity, lookback_days)),
         subscription.latest_subscription(scan_subscription_history(tables["subscription_history"], as_of), as_of),
     ]
-    rows = profiles.count() if rows is None else rows
     wide = profiles
     for group in groups:
         wide = wide.join(group, "customer_id", "left")
-    wide = wide.withColumns(
-        rfm.trend_columns()
-        | engagement.rate_columns()
-        | support.rate_columns(activity)
-        | subscription.stability_columns()
-        | customer.temporal_columns()
-    )
-    wide = wide.withColumns(customer.value_columns() | customer.risk_flag_columns())
+    ratios = rfm.TRENDS | engagement.RATES | support.rates(activity) | subscription.STABILITY | customer.TEMPORAL
+    own = customer.VALUE | customer.RISK_FLAGS | customer.AGE_GROUP
+    return wide.withColumns(expressions(ratios)).withColumns(expressions(own))
 
-    spent = profiles.select("customer_id").join(
-        rfm.rfm_windows(tables["transactions"], as_of, (365,)), "customer_id", "left"
-    )
-    wide = wide.withColumns(
+
+def build_features(
+    profiles: DataFrame,
+    tables: dict[str, DataFrame],
+    as_of: datetime | str,
+    activity_as_of: datetime | str | None = None,
+    lookback_days: int = 365,
+    lookbacks: tuple[int, ...] = LOOKBACKS,
+) -> DataFrame:
+    """The feature table before missing values are filled.
+
+    The joined groups are written once; what compares a customer with all
+    customers (quantile, maximum, frequencies) then reads that table instead
+    of the sources. Events and tickets may have their own as-of time.
+    ``tables`` may hold ``transaction_lines`` where categories, refunds and
+    quantities are finer than transactions.
+    """
+    wide = pinned(joined_groups(profiles, tables, as_of, activity_as_of, lookback_days, lookbacks), "features")
+    top_score = wide.agg(F.max("login_frequency_score")).scalar()
+    compared = wide.withColumns(
         {
-            "is_high_value": customer.high_value_flag(spent, rows),
-            "preliminary_risk_score": customer.preliminary_risk_score(customer.top_login_score(profiles)),
-            "age_group": customer.age_group(F.col("age")),
+            "is_high_value": customer.high_value_flag(wide, wide.count()),
+            "preliminary_risk_score": customer.preliminary_risk_score(top_score),
         }
     )
-    frequencies = customer.value_frequencies(customer.temporal_features(profiles))
-    return customer.frequency_encoding(wide, frequencies)
+    return customer.frequency_encoding(compared, customer.value_frequencies(wide))
 
 
 def feature_group_summary(features: DataFrame) -> DataFrame:
@@ -106,6 +112,6 @@ def group_members(spark: SparkSession, columns: list[str]) -> DataFrame:
 
 def _non_null_counts(df: DataFrame) -> DataFrame:
     names = sorted({c for _, c in members_of(df.columns)})
-    counts = df.agg(*[F.count(c).alias(c) for c in names])
-    entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("non_null_count")) for c in names])
-    return counts.select(F.inline(entries))
+    counts = df.selectExpr(*[f"count({c}) AS {c}" for c in names])
+    entries = ", ".join(f"struct('{c}' AS column_name, {c} AS non_null_count)" for c in names)
+    return counts.selectExpr(f"inline(array({entries}))")

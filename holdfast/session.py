@@ -22,6 +22,8 @@ def local_session(cores: str | int = "*", app: str = "holdfast", memory: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call sites for error messages cost more than the calls themselves
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -57,16 +59,3 @@ def pinned(df: DataFrame, label: str = "pinned") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave it to a shuffled join.
-
-    The check runs ``df`` once, and reads at most ``max_rows + 1`` rows of it.
-    """
-    from pyspark.sql import functions as F
-
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
