@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
-from checks.feature_queries import profiles, tidy
+from checks.feature_queries import features, profiles, tidy
 from checks.registry import query
 from checks.scoring_queries import BASE, LABEL_AS_OF, LABELS, labelled
 from checks.views import exprs, sql
 from holdfast.functions.neighbours import nearest_neighbours
 from holdfast.operators import customer, models, prepare
 from holdfast.plans import features as plan
-from holdfast.plans import training
+from holdfast.plans import daily, training
 from holdfast.session import pinned, scratch_path
 from holdfast.sources import fixtures as fx
 
@@ -149,3 +151,14 @@ def cross_validate(spark, folder):
 def training_job(spark, folder):
     path = scratch_path(spark, "models")
     return training.training_job(training_rows(spark, folder), models.SMALL, path).metrics
+
+
+@query()
+def daily_run(spark, folder):
+    """Train, save, load, score all customers at the later as-of time, report and queue campaigns."""
+    path, moment = scratch_path(spark, "daily"), datetime(2001, 8, 2)
+    training.training_job(training_rows(spark, folder), models.SMALL, f"{path}/models", gate=0.0)
+    scorer = training.Scorer.load(spark, f"{path}/models")
+    scored = daily.scoring_run(features(spark, folder), scorer, path, moment, models.SMALL)
+    daily.campaign_run(spark, path, moment)
+    return scored

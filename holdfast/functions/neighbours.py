@@ -11,6 +11,7 @@ on at most k rows per point.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from holdfast.session import pinned
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 512
+MAX_PIVOTS = 1024
 
 
 def _distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -59,10 +60,33 @@ def nearest_neighbours(
     """From (group, id, vector array<double>) to (id, neighbour_id, distance, rank), rank 1..k.
 
     ``group`` is a small set of classes; neighbours come from the same one.
+    Equal vectors are compared once, by their smallest id, so a large set of
+    copies costs no comparisons among its members.
     """
-    rows = points.count()
-    id_type = points.schema["id"].dataType.simpleString()
-    n_pivots = int(min(max_pivots, max(1, rows // block_rows)))
+    distinct = points.groupBy("group", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    distinct = _with_cells(distinct, block_rows, max_pivots)
+    near = _between(distinct.cells, distinct, k, block_rows)
+    if distinct.most_copies > 1:
+        near = _spread_copies(points, distinct.cells, pinned(near, "near"), k)
+    ranked = F.row_number().over(W.partitionBy("id").orderBy("distance", "neighbour_id"))
+    return near.withColumn("rank", ranked).where(F.col("rank") <= k)
+
+
+@dataclass
+class _Cells:
+    """Distinct points with their cell and block, and the bounded facts about all cells."""
+
+    cells: DataFrame
+    pivots: np.ndarray
+    reach: dict
+    single_block: bool
+    most_copies: int
+
+
+def _with_cells(points: DataFrame, block_rows: int, max_pivots: int) -> _Cells:
+    points = pinned(points.select("group", "id", "vector", "copies"), "vectors")
+    size = points.agg(F.count("*").alias("rows"), F.max("copies").alias("most")).first()
+    n_pivots = int(min(max_pivots, max(1, size["rows"] // block_rows)))
     # at most max_pivots vectors on the driver; any choice of pivots gives the same neighbours
     chosen = points.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("vector").collect()
     pivots = np.array([r["vector"] for r in chosen], dtype="float64")
@@ -75,25 +99,45 @@ def nearest_neighbours(
                 away = np.sqrt(((v - pivots[cell]) ** 2).sum(1))
                 yield batch.assign(cell=cell.astype("int32"), away=away)
 
-    group_type = points.schema["group"].dataType.simpleString()
-    base = f"group {group_type}, id {id_type}, vector array<double>"
+    kinds = {f.name: f.dataType.simpleString() for f in points.schema}
+    base = ", ".join(f"{c} {kinds[c]}" for c in ("group", "id", "vector"))
     assigned = points.select("group", "id", "vector").mapInPandas(assign, f"{base}, cell int, away double")
-    assigned = pinned(assigned, "cells")
+    if size["rows"] > block_rows:
+        assigned = pinned(assigned, "cells")
 
     # one row per (group, cell): at most groups x max_pivots
-    cells = assigned.groupBy("group", "cell").agg(
+    found = assigned.groupBy("group", "cell").agg(
         F.max("away").alias("radius"),
         F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"),
     ).collect()
     reach: dict = {}
-    for c in cells:
+    for c in found:
         reach.setdefault(c["group"], []).append((c["cell"], c["radius"], c["blocks"]))
     sizes = points.sparkSession.createDataFrame(
-        [(c["group"], c["cell"], c["blocks"]) for c in cells], f"group {group_type}, cell int, blocks int"
+        [(c["group"], c["cell"], c["blocks"]) for c in found], f"group {kinds['group']}, cell int, blocks int"
     )
     blocked = assigned.join(F.broadcast(sizes), ["group", "cell"]).select(
         "group", "id", "vector", "cell", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")
     )
+    single = all(len(places) == 1 and places[0][2] == 1 for places in reach.values())
+    return _Cells(blocked, pivots, reach, single, size["most"] or 0)
+
+
+def _between(blocked: DataFrame, known: _Cells, k: int, block_rows: int) -> DataFrame:
+    """(id, neighbour_id, distance): at least the k nearest of every point, at most k per compared block."""
+    kinds = {f.name: f.dataType.simpleString() for f in blocked.schema}
+    base = ", ".join(f"{c} {kinds[c]}" for c in ("group", "id", "vector"))
+    pairs = f"id {kinds['id']}, neighbour_id {kinds['id']}, distance double"
+    place = ["group", "cell", "block"]
+    pivots, reach = known.pivots, known.reach
+
+    if known.single_block:
+
+        def within(block: pd.DataFrame) -> pd.DataFrame:
+            v, ids = _stack(block["vector"]), block["id"].to_numpy()
+            return _nearest(ids, v, ids, v, k)
+
+        return blocked.groupBy(*place).applyInPandas(within, pairs)
 
     def bound(block: pd.DataFrame) -> pd.DataFrame:
         v, ids = _stack(block["vector"]), block["id"].to_numpy()
@@ -107,30 +151,24 @@ def nearest_neighbours(
             if not len(batch):
                 continue
             gaps = np.sqrt(_distances(_stack(batch["vector"]), pivots))
-            limits = batch["bound"].to_numpy()
-            for group, places in batch.groupby("group", sort=False).indices.items():
+            limits = batch["bound"].to_numpy() * (1 + 1e-6) + 1e-6  # slack: the gaps carry rounding
+            for group, rows in batch.groupby("group", sort=False).indices.items():
                 for cell, radius, blocks in reach[group]:
-                    # a little slack: the gaps carry rounding
-                    near = gaps[places, cell] - radius <= limits[places] * (1 + 1e-6) + 1e-6
-                    hit = batch.iloc[places[near]]
-                    for block in range(blocks):
-                        yield hit[["group", "id", "vector"]].assign(cell=cell, block=block)
+                    hit = batch.iloc[rows[gaps[rows, cell] - radius <= limits[rows]]]
+                    if len(hit):
+                        for block in range(blocks):
+                            yield hit[["group", "id", "vector"]].assign(cell=cell, block=block)
 
     wanted = (
-        blocked.groupBy("group", "cell", "block")
+        blocked.groupBy(*place)
         .applyInPandas(bound, f"{base}, bound double")
         .mapInPandas(targets, f"{base}, cell int, block int")
     )
-    place = ["group", "cell", "block"]
-    if len(cells) == 1 and cells[0]["blocks"] == 1:
-        queries = wanted.withColumn("part", F.lit(0))
-        stored = blocked.withColumn("part", F.lit(0))
-    else:
-        # a block asked for by very many points is copied, each copy serving some of them
-        wanted = pinned(wanted, "targets")
-        parts = wanted.groupBy(*place).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
-        queries = wanted.join(parts, place).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-        stored = blocked.join(parts, place).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    # a block asked for by very many points is copied, each copy serving some of them
+    wanted = pinned(wanted, "targets")
+    parts = wanted.groupBy(*place).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
+    queries = wanted.join(parts, place).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    stored = blocked.join(parts, place).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     def compare(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(block):
@@ -139,11 +177,44 @@ def nearest_neighbours(
             asked["id"].to_numpy(), _stack(asked["vector"]), block["id"].to_numpy(), _stack(block["vector"]), k
         )
 
-    found = (
+    return (
         queries.select(*place, "part", "id", "vector")
         .groupBy(*place, "part")
         .cogroup(stored.select(*place, "part", "id", "vector").groupBy(*place, "part"))
-        .applyInPandas(compare, f"id {id_type}, neighbour_id {id_type}, distance double")
+        .applyInPandas(compare, pairs)
+    )
+
+
+def _spread_copies(points: DataFrame, distinct: DataFrame, near: DataFrame, k: int) -> DataFrame:
+    """From neighbours of distinct vectors to neighbours of all points.
+
+    A point needs at most k + 1 candidates: the smallest ids of its own copies
+    at distance 0 and of its neighbours' copies. The member table may be
+    skewed towards one vector; its joins can be split by the adaptive planner
+    and its ranking keeps at most k + 1 rows per map task.
+    """
+    members = pinned(
+        points.select("group", "vector", "id")
+        .join(distinct.select("group", "vector", F.col("id").alias("rep")), ["group", "vector"])
+        .select("id", "rep"),
+        "members",
+    )
+    place = F.row_number().over(W.partitionBy("rep").orderBy("id"))
+    first = members.withColumn("place", place).where(F.col("place") <= k + 1)
+    own = first.select("rep", F.lit(0.0).alias("distance"), F.col("id").alias("candidate"))
+    others = near.join(
+        first.select(F.col("rep").alias("neighbour_id"), F.col("id").alias("candidate")), "neighbour_id"
+    ).select(F.col("id").alias("rep"), "distance", "candidate")
+    best = F.row_number().over(W.partitionBy("rep").orderBy("distance", "candidate"))
+    lists = (
+        own.unionByName(others)
+        .withColumn("place", best)
+        .where(F.col("place") <= k + 1)
+        .groupBy("rep")
+        .agg(F.array_sort(F.collect_list(F.struct("distance", "candidate"))).alias("best"))
+    )
+    return (
+        members.join(lists, "rep")
+        .select("id", F.explode(F.slice(F.filter("best", lambda e: e["candidate"] != F.col("id")), 1, k)).alias("e"))
+        .select("id", F.col("e.candidate").alias("neighbour_id"), F.col("e.distance").alias("distance"))
     )
-    ranked = F.row_number().over(W.partitionBy("id").orderBy("distance", "neighbour_id"))
-    return found.withColumn("rank", ranked).where(F.col("rank") <= k)
