@@ -21,9 +21,9 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of every column; NULLs are ignored, an all-NULL column gives None.
 
-    Up to ``one_pass_rows`` rows one aggregate does it. Above, a first pass
-    brackets every quantile with an approximate sketch, a second one counts
-    what lies below each bracket and the values inside, which are few.
+    Up to ``one_pass_rows`` rows one aggregate does it. Above, an approximate
+    sketch brackets every quantile, and another pass counts what lies below
+    each bracket and the values inside, which are few.
     """
     if not columns:
         return {}
@@ -36,29 +36,34 @@ def exact_quantiles(
 
 
 def _bracketed(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
-    margin = 2.0 / _ACCURACY
-    around = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-margin, margin)]
+    out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    known = df.selectExpr(*[f"count(`{c}`) AS `{c}`" for c in columns]).first()
+    columns = [c for c in columns if known[c]]
+    if not columns:
+        return out
+
+    def around(c: str, p: float) -> tuple[float, float]:
+        # the sketch's rank error on both sides, and one rank for the rounding of places
+        margin = 2.0 / _ACCURACY + 2.0 / known[c]
+        return max(0.0, p - margin), min(1.0, p + margin)
+
     numeric = {c: F.col(c).cast("double") for c in columns}
     sketch = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in columns],
         *[F.min(x).alias(f"min_{c}") for c, x in numeric.items()],
         *[F.max(x).alias(f"max_{c}") for c, x in numeric.items()],
-        *[F.percentile_approx(x, F.array(*map(F.lit, around)), _ACCURACY).alias(f"q_{c}") for c, x in numeric.items()],
+        *[
+            F.percentile_approx(x, [q for p in probabilities for q in around(c, p)], _ACCURACY).alias(f"q_{c}")
+            for c, x in numeric.items()
+        ],
     ).first()
 
     brackets: list[tuple[str, int, float, float]] = []
     for c in columns:
-        if not sketch[f"n_{c}"]:
-            continue
         for i, p in enumerate(probabilities):
-            low, high = sketch[f"q_{c}"][2 * i], sketch[f"q_{c}"][2 * i + 1]
-            if p <= margin:
-                low = sketch[f"min_{c}"]
-            if p >= 1 - margin:
-                high = sketch[f"max_{c}"]
+            below, above = around(c, p)
+            low = sketch[f"min_{c}"] if below == 0 else sketch[f"q_{c}"][2 * i]
+            high = sketch[f"max_{c}"] if above == 1 else sketch[f"q_{c}"][2 * i + 1]
             brackets.append((c, i, low, high))
-    if not brackets:
-        return {c: [None] * len(probabilities) for c in columns}
 
     hits = [
         F.when(
@@ -83,7 +88,7 @@ def _bracketed(df: DataFrame, columns: list[str], probabilities: list[float]) ->
         *[
             F.when(
                 (F.col("column") == c) & (F.col("slot") == i),
-                F.array(F.lit(math.floor(p * (sketch[f"n_{c}"] - 1))), F.lit(math.ceil(p * (sketch[f"n_{c}"] - 1)))),
+                F.array(F.lit(math.floor(p * (known[c] - 1))), F.lit(math.ceil(p * (known[c] - 1)))),
             )
             for c, i, _, _ in brackets
             for p in [probabilities[i]]
@@ -97,9 +102,8 @@ def _bracketed(df: DataFrame, columns: list[str], probabilities: list[float]) ->
         .collect()
     )
     at = {(r["column"], r["slot"], r["rank"]): r["value"] for r in picked}
-    out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     for c, i, _, _ in brackets:
-        place = probabilities[i] * (sketch[f"n_{c}"] - 1)
+        place = probabilities[i] * (known[c] - 1)
         low_rank, high_rank = math.floor(place), math.ceil(place)
         low, high = at[c, i, low_rank], at[c, i, high_rank]
         out[c][i] = low if low == high else (high_rank - place) * low + (place - low_rank) * high
