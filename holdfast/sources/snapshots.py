@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,27 +15,22 @@ def snapshot_key(moment: datetime) -> str:
 
 
 def write_snapshot(df: DataFrame, path: str, moment: datetime) -> None:
-    """Add one snapshot. Writing the same moment again replaces that snapshot only."""
-    (
-        df.withColumn("snapshot_ts", F.lit(snapshot_key(moment)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_ts")
-        .parquet(path)
-    )
+    """Add one snapshot. Writing the same moment again replaces that snapshot only.
+
+    Written straight into the partition's folder, so an empty snapshot exists as well.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/snapshot_ts={snapshot_key(moment)}")
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    # keys such as 20010802_000000 would otherwise be read as numbers
-    raw = spark.read.parquet(path)
-    return raw.withColumn("snapshot_ts", F.col("snapshot_ts").cast("string"))
+    return spark.read.parquet(path).withColumn("snapshot_ts", F.col("snapshot_ts").cast("string"))
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest snapshot; the newest key prunes the other partitions."""
+    """Rows of the newest snapshot. Its key comes from the file listing, so other partitions are pruned up front."""
     snapshots = read_snapshots(spark, path)
-    newest = snapshots.agg(F.max("snapshot_ts")).scalar()
-    return snapshots.where(F.col("snapshot_ts") == newest)
+    keys = {re.search(r"snapshot_ts=([^/]+)/", f).group(1) for f in snapshots.inputFiles()}
+    return snapshots.where(F.col("snapshot_ts") == max(keys))
 
 
 def append_predictions(predictions: DataFrame, path: str) -> None:

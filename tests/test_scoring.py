@@ -130,6 +130,9 @@ def test_snapshots(spark, scored):
     newest = snapshots.latest_snapshot(spark, path)
     assert newest.count() == 1000 and newest.first()["snapshot_ts"] == "20010802_000000"
     assert "PartitionFilters: [isnotnull(snapshot_ts" in newest._jdf.queryExecution().executedPlan().toString()
+    # a day without rows is a snapshot too, not yesterday's
+    snapshots.write_snapshot(scored.where("customer_id < 0"), path, NOW + timedelta(days=1))
+    assert snapshots.latest_snapshot(spark, path).count() == 0
 
 
 def test_drift_is_zero_without_change_and_the_same_beyond_the_limit(spark):
