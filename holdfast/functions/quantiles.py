@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ONE_PASS_ROWS = 100_000
+# values (rows x columns) one task may hold
+ONE_PASS_VALUES = 1_000_000
 _ACCURACY = 10_000
 
 
@@ -17,18 +18,18 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     rows: int | None = None,
-    one_pass_rows: int = ONE_PASS_ROWS,
+    one_pass_values: int = ONE_PASS_VALUES,
 ) -> dict[str, list[float | None]]:
     """Quantiles of every column; NULLs are ignored, an all-NULL column gives None.
 
-    Up to ``one_pass_rows`` rows one aggregate does it. Above, an approximate
-    sketch brackets every quantile, and another pass counts what lies below
-    each bracket and the values inside, which are few.
+    Up to ``one_pass_values`` values (rows x columns) one aggregate does it.
+    Above, an approximate sketch brackets every quantile; further passes count
+    what lies below each bracket and the values inside, which are few.
     """
     if not columns:
         return {}
     rows = df.count() if rows is None else rows
-    if rows <= one_pass_rows:
+    if rows * len(columns) <= one_pass_values:
         wanted = ", ".join(f"{p!r}D" for p in probabilities)
         found = df.selectExpr(*[f"percentile(CAST(`{c}` AS DOUBLE), array({wanted})) AS `{c}`" for c in columns]).first()
         return {c: list(found[c]) if found[c] is not None else [None] * len(probabilities) for c in columns}
@@ -65,15 +66,13 @@ def _bracketed(df: DataFrame, columns: list[str], probabilities: list[float]) ->
             high = sketch[f"max_{c}"] if above == 1 else sketch[f"q_{c}"][2 * i + 1]
             brackets.append((c, i, low, high))
 
+    below = df.agg(
+        *[F.count_if(numeric[c] < low).alias(f"{i}|{c}") for c, i, low, _ in brackets],
+    ).first()
     hits = [
         F.when(
-            numeric[c] <= high,
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(i).alias("slot"),
-                # everything below the bracket collapses into one NULL-valued entry
-                F.when(numeric[c] >= low, numeric[c]).alias("value"),
-            ),
+            numeric[c].between(low, high),
+            F.struct(F.lit(c).alias("column"), F.lit(i).alias("slot"), numeric[c].alias("value")),
         )
         for c, i, low, high in brackets
     ]
@@ -82,16 +81,17 @@ def _bracketed(df: DataFrame, columns: list[str], probabilities: list[float]) ->
         .groupBy("hit.column", "hit.slot", "hit.value")
         .agg(F.count("*").alias("n"))
     )
-    upto = W.partitionBy("column", "slot").orderBy(F.col("value").asc_nulls_first())
+    upto = W.partitionBy("column", "slot").orderBy("value")
     steps = counted.withColumn("last", F.sum("n").over(upto) - 1)
+
+    def places(c: str, i: int) -> tuple[int, int]:
+        place = probabilities[i] * (known[c] - 1)
+        return math.floor(place) - below[f"{i}|{c}"], math.ceil(place) - below[f"{i}|{c}"]
+
     wanted = F.coalesce(
         *[
-            F.when(
-                (F.col("column") == c) & (F.col("slot") == i),
-                F.array(F.lit(math.floor(p * (known[c] - 1))), F.lit(math.ceil(p * (known[c] - 1)))),
-            )
+            F.when((F.col("column") == c) & (F.col("slot") == i), F.array(*map(F.lit, places(c, i))))
             for c, i, _, _ in brackets
-            for p in [probabilities[i]]
         ]
     )
     first = F.col("last") - F.col("n") + 1
@@ -104,7 +104,6 @@ def _bracketed(df: DataFrame, columns: list[str], probabilities: list[float]) ->
     at = {(r["column"], r["slot"], r["rank"]): r["value"] for r in picked}
     for c, i, _, _ in brackets:
         place = probabilities[i] * (known[c] - 1)
-        low_rank, high_rank = math.floor(place), math.ceil(place)
-        low, high = at[c, i, low_rank], at[c, i, high_rank]
-        out[c][i] = low if low == high else (high_rank - place) * low + (place - low_rank) * high
+        low, high = (at[c, i, rank] for rank in places(c, i))
+        out[c][i] = low if low == high else (math.ceil(place) - place) * low + (place - math.floor(place)) * high
     return out

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.columns import instant, ratio, unit_hash
 from holdfast.functions.ordering import with_rank
 from holdfast.operators.scoring import BANDS, risk_filter
+from holdfast.session import bounded_broadcast
 
 # one row per risk band (fixed values)
 TEMPLATES = [
@@ -140,9 +141,8 @@ def custom_campaign_batches(
     ranked = with_rank(
         audience.select(group, "customer_id"), [F.col(group), F.col("customer_id")], "_rank", partitions
     )
-    firsts = ranked.groupBy(group).agg(F.min("_rank").alias("_first"))
+    firsts = bounded_broadcast(ranked.groupBy(group).agg(F.min("_rank").alias("_first")))
     batch = F.floor((F.col("_rank") - F.col("_first")) / batch_size).cast("bigint")
-    # groups are few (risk bands or segments); joined without a hint all the same
     return (
         ranked.join(firsts, group)
         .groupBy(group, batch.alias("batch"))

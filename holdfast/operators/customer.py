@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import expressions, flag_text, ratio_text, right_closed_bins
-from holdfast.functions.quantiles import ONE_PASS_ROWS, exact_quantiles
+from holdfast.functions.quantiles import ONE_PASS_VALUES, exact_quantiles
 
 # bin edges and labels (fixed values); the last lifecycle bin is open
 LIFECYCLE_EDGES = [0, 30, 90, 180, 365, None]
@@ -51,12 +51,12 @@ def demographic_features(profiles: DataFrame) -> DataFrame:
     return profiles.withColumns(expressions(AGE_GROUP))
 
 
-def high_value_flag(df: DataFrame, rows: int, one_pass_rows: int = ONE_PASS_ROWS) -> Column:
+def high_value_flag(df: DataFrame, rows: int, one_pass_values: int = ONE_PASS_VALUES) -> Column:
     """``total_spent_365d`` above the 75th percentile of ``df``, a one-row subquery while ``rows`` allows it."""
-    if rows <= one_pass_rows:
+    if rows <= one_pass_values:
         cut = df.agg(F.expr("percentile(total_spent_365d, 0.75)")).scalar()
     else:
-        cut = F.lit(exact_quantiles(df, ["total_spent_365d"], [0.75], rows, one_pass_rows)["total_spent_365d"][0])
+        cut = F.lit(exact_quantiles(df, ["total_spent_365d"], [0.75], rows, one_pass_values)["total_spent_365d"][0])
     return F.coalesce((F.col("total_spent_365d") > cut.cast("double")).cast("int"), F.lit(0))
 
 

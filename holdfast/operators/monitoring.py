@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import ratio
-from holdfast.functions.quantiles import ONE_PASS_ROWS, exact_quantiles
+from holdfast.functions.quantiles import ONE_PASS_VALUES, exact_quantiles
 
 FEATURE_DRIFT_LIMIT, PREDICTION_DRIFT_LIMIT = 0.1, 0.15
 # an empty bin counts as this share, so the logarithm exists
@@ -53,12 +53,12 @@ def feature_drift_psi(
     current: DataFrame,
     columns: list[str],
     rows: int | None = None,
-    one_pass_rows: int = ONE_PASS_ROWS,
+    one_pass_values: int = ONE_PASS_VALUES,
     limit: float = FEATURE_DRIFT_LIMIT,
 ) -> DataFrame:
     """Population stability index per column over the baseline's decile bins; NULLs are left out."""
     tenths = [i / 10 for i in range(1, 10)]
-    cuts = exact_quantiles(baseline, columns, tenths, rows, one_pass_rows)
+    cuts = exact_quantiles(baseline, columns, tenths, rows, one_pass_values)
 
     def bins() -> dict[str, Column]:
         return {
@@ -88,10 +88,10 @@ def metric_drift(metrics: DataFrame) -> DataFrame:
 
 
 def outliers_iqr(
-    df: DataFrame, columns: list[str], rows: int | None = None, one_pass_rows: int = ONE_PASS_ROWS, k: float = 1.5
+    df: DataFrame, columns: list[str], rows: int | None = None, one_pass_values: int = ONE_PASS_VALUES, k: float = 1.5
 ) -> DataFrame:
     """Fences ``k`` interquartile ranges outside the quartiles, and how many values lie beyond each."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75], rows, one_pass_rows)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.75], rows, one_pass_values)
     fences = {}
     for c, (q1, q3) in quartiles.items():
         if q1 is not None:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import instant
-from holdfast.functions.quantiles import ONE_PASS_ROWS, exact_quantiles
+from holdfast.functions.quantiles import ONE_PASS_VALUES, exact_quantiles
 
 HIGH_RISK, MEDIUM_RISK = 0.7, 0.4
 BANDS = ("high", "medium", "low")
@@ -124,15 +124,15 @@ def _ordered_ids(df: DataFrame) -> Column:
 
 
 def daily_report(
-    scored: DataFrame, moment: datetime | str, rows: int | None = None, one_pass_rows: int = ONE_PASS_ROWS
+    scored: DataFrame, moment: datetime | str, rows: int | None = None, one_pass_values: int = ONE_PASS_VALUES
 ) -> DataFrame:
     """One row of report figures; the ten riskiest customers are an array."""
     rows = scored.count() if rows is None else rows
     p = F.col("churn_probability")
-    if rows <= one_pass_rows:
+    if rows <= one_pass_values:
         median = F.percentile(p, F.lit(0.5))
     else:
-        median = F.lit(exact_quantiles(scored, ["churn_probability"], [0.5], rows, one_pass_rows)["churn_probability"][0])
+        median = F.lit(exact_quantiles(scored, ["churn_probability"], [0.5], rows, one_pass_values)["churn_probability"][0])
     stats = scored.agg(
         F.count("*").alias("total_customers_scored"),
         *[F.count_if(F.col("risk_category") == b).alias(b) for b in BANDS],

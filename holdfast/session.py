@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -59,3 +60,11 @@ def pinned(df: DataFrame, label: str = "pinned") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
+    """Broadcast ``df`` if it proves to have at most ``max_rows`` rows, else leave the join to a shuffle."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -139,7 +139,7 @@ def test_fill_rules(spark):
         "is_premium boolean, last_login_date date",
     )
     for limit in (0, 100):
-        fill = impute.fit_fill_values(df, one_pass_rows=limit)
+        fill = impute.fit_fill_values(df, one_pass_values=limit)
         r = impute.impute(df, fill).where("customer_id = 1").first()
         # "account_balance" contains "count"; page_views matches no pattern
         assert (r["account_balance"], r["page_views"], r["gender"], r["is_premium"]) == (0.0, 3.5, "unknown", False)

@@ -16,7 +16,7 @@ def test_equal_to_numpy(spark, limit):
         F.lit(None).cast("double").alias("none"),
         F.lit(1.5).alias("one"),
     ).cache()
-    got = exact_quantiles(df, df.columns, P, one_pass_rows=limit)
+    got = exact_quantiles(df, df.columns, P, one_pass_values=limit)
     pdf = df.toPandas()
     for c in ("u", "heavy", "gaps", "one"):
         want = np.quantile(pdf[c].dropna().astype(float), P)
@@ -27,6 +27,6 @@ def test_equal_to_numpy(spark, limit):
 @pytest.mark.parametrize("limit", [0, 10**6])
 def test_few_rows_and_none(spark, limit):
     df = spark.createDataFrame([(3.0,), (1.0,)], "x double")
-    assert exact_quantiles(df, ["x"], [0.5, 0.75], one_pass_rows=limit)["x"] == [2.0, 2.5]
+    assert exact_quantiles(df, ["x"], [0.5, 0.75], one_pass_values=limit)["x"] == [2.0, 2.5]
     empty = df.where("x > 9")
-    assert exact_quantiles(empty, ["x"], [0.5], one_pass_rows=limit)["x"] == [None]
+    assert exact_quantiles(empty, ["x"], [0.5], one_pass_values=limit)["x"] == [None]

@@ -33,7 +33,7 @@ def test_top_n_zero_means_all(scored):
 
 def test_reports_beyond_the_one_pass_limit(scored):
     a = scoring.daily_report(scored, NOW, 1000).first()
-    b = scoring.daily_report(scored, NOW, 1000, one_pass_rows=10).first()
+    b = scoring.daily_report(scored, NOW, 1000, one_pass_values=10).first()
     assert a["median_churn_probability"] == b["median_churn_probability"]
     assert len(a["top_10_high_risk"]) == 10
 
@@ -142,7 +142,7 @@ def test_drift_is_zero_without_change_and_the_same_beyond_the_limit(spark):
     same = monitoring.feature_drift_psi(base, base, ["x", "none"], 2000).collect()
     assert [(r["feature"], r["drifted"]) for r in same] == [("x", False)] and same[0]["psi"] == pytest.approx(0)
     a = monitoring.feature_drift_psi(base, moved, ["x"], 2000).first()
-    b = monitoring.feature_drift_psi(base, moved, ["x"], 2000, one_pass_rows=10).first()
+    b = monitoring.feature_drift_psi(base, moved, ["x"], 2000, one_pass_values=10).first()
     assert a["drifted"] and a["psi"] == pytest.approx(b["psi"])
 
 
