@@ -99,11 +99,22 @@ def encoded_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]
     return pinned(encoded, "encoded"), names
 
 
-@query()
+# the new rows themselves have no SQL equivalent; their number has
+@query(sql(
+    """
+SELECT churned, false AS synthetic, count(*) AS rows FROM train GROUP BY 1
+UNION ALL SELECT CAST(1 AS INT), true, CAST(count(*) FILTER (churned=0)//2 - count(*) FILTER (churned=1) AS BIGINT) FROM train""",
+    BASE,
+    {
+        "labels_u": "SELECT churned, CAST('0x'||substr(md5('42-'||CAST(customer_id AS VARCHAR)),1,8) AS BIGINT)/4294967296 AS u "
+        f"FROM ({LABELS})",
+        "train": "SELECT churned FROM labels_u WHERE u >= 0.3",
+    },
+))
 def smote_oversample(spark, folder):
     encoded, _ = encoded_rows(spark, folder)
     balanced = prepare.smote_oversample(encoded.where(F.col("split") == "train"))
-    return balanced.select("customer_id", "churned", F.col("customer_id").isNull().alias("synthetic"))
+    return balanced.groupBy("churned", F.col("customer_id").isNull().alias("synthetic")).agg(F.count("*").alias("rows"))
 
 
 @query()

@@ -10,17 +10,22 @@ on at most k rows per point.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.session import pinned
 
+# ship the helpers below with the tasks: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 1024
 
