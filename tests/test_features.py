@@ -147,6 +147,13 @@ def test_fill_rules(spark):
         assert impute.impute(df, fill).where("customer_id = 2").first()["monthly_fee"] == 6.0
 
 
+def test_skipped_columns_are_left_alone(spark):
+    df = spark.createDataFrame([(1, 1, None), (2, 0, 4.0)], "customer_id long, churned int, monthly_fee double")
+    fill = impute.fit_fill_values(df, skip=("customer_id", "churned"))
+    assert list(fill.numbers) == ["monthly_fee"]
+    assert impute.impute(df, fill).schema["churned"] == df.schema["churned"]
+
+
 def test_empty_sources_give_null_columns(spark):
     empty = tx(spark, [(1, AS_OF, 1.0)]).where("customer_id = 9")
     assert rfm.rfm_windows(empty, AS_OF).collect() == []
