@@ -88,10 +88,10 @@ def range_segments(df: DataFrame, order: list[Column], partitions: int | None =
     Ties must be broken by ``order`` itself for the result to be repeatable.
     The table is written once: places of a recomputed partition could differ.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # without a number the adaptive planner may merge neighbouring small ranges
+    ranged = df.repartitionByRange(*order) if partitions is None else df.repartitionByRange(partitions, *order)
     placed = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
     return (
