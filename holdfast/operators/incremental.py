@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.columns import cents, from_cents
+from holdfast.functions.columns import cents, from_cents, instant
 
 
 def newer_than(df: DataFrame, ts: str, state: DataFrame) -> DataFrame:
-    """Rows after the state's high-water mark; all rows while the state is empty."""
-    mark = state.agg(F.max("last_transaction")).scalar()
-    return df.where(mark.isNull() | (F.col(ts) > mark))
+    """Rows after the state's high-water mark; all rows while the state is empty.
+
+    The mark is one value from a subquery, so the comparison still reaches the
+    scan. Rows that arrive late, at or before the mark, need a full rollup.
+    """
+    mark = state.agg(F.coalesce(F.max("last_transaction"), instant("0001-01-01 00:00:00"))).scalar()
+    return df.where(F.col(ts) > mark)
 
 
 def partial_state(transactions: DataFrame) -> DataFrame:

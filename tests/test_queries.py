@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from checks.compare import compare, duck
 
 ORACLE = entry.oracle_sql()
-SLOW = {"cross_validate", "daily_run", "ensemble_score", "feature_importance", "train_gbt", "train_random_forest"}
+SLOW = {"cross_validate", "ensemble_score", "feature_importance", "train_gbt", "train_random_forest"}
 
 
 @pytest.fixture(scope="module")

@@ -54,3 +54,17 @@ def test_incremental_from_nothing(spark, sf):
     empty = incremental.partial_state(tx.where("1 = 0"))
     _, figures = incremental.incremental_rollup(tx, empty)
     assert figures.count() == incremental.partial_state(tx).count()
+
+
+def test_high_water_mark_reaches_the_scan(spark):
+    path = scratch_path(spark, "mark")
+    spark.createDataFrame(
+        [(1, 5.0, T0), (1, 6.0, T0 + timedelta(days=2))],
+        "customer_id long, transaction_amount double, transaction_date timestamp_ntz",
+    ).write.parquet(path)
+    tx = spark.read.parquet(path)
+    state = pinned(incremental.partial_state(tx.where(f"transaction_date <= TIMESTAMP_NTZ '{T0}'")), "state")
+    fresh = incremental.newer_than(tx, "transaction_date", state)
+    assert [r["transaction_amount"] for r in fresh.collect()] == [6.0]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "DataFilters: [isnotnull(transaction_date" in plan and "Subquery" in plan[plan.index("DataFilters"):]
