@@ -164,12 +164,14 @@ SELECT TIMESTAMP '2001-08-02 00:00:00' AS report_date, count(*) AS total_custome
 FROM scored"""))
 def daily_report(spark, folder):
     report = scoring.daily_report(scored(spark, folder), AS_OF, customer_rows(spark, folder))
-    report = report.withColumn("top_10_high_risk", F.array_join(F.col("top_10_high_risk").cast("array<string>"), ","))
+    ids = F.array_join(F.col("top_10_high_risk.customer_id").cast("array<string>"), ",").alias("top_10_high_risk")
+    report = report.select("report_date", "total_customers_scored", "risk_distribution.*", "statistics.*", ids)
     return tidy(report, {"avg_churn_probability", "median_churn_probability", "std_churn_probability"}, 6)
 
 
 @query(scored_sql("""
-SELECT count(*) AS total_customers, count(*) FILTER (risk_category='high') AS high_risk_count,
+SELECT max(prediction_date) AS prediction_date, count(*) AS total_customers,
+  count(*) FILTER (risk_category='high') AS high_risk_count,
   count(*) FILTER (risk_category='medium') AS medium_risk_count, count(*) FILTER (risk_category='low') AS low_risk_count,
   round(avg(churn_probability), 6) AS avg_churn_probability,
   (SELECT string_agg(CAST(customer_id AS VARCHAR), ',' ORDER BY churn_probability DESC, customer_id)
@@ -179,8 +181,11 @@ FROM scored"""))
 def prediction_summary(spark, folder):
     path = scratch_path(spark, "report")
     snapshots.write_report(scoring.prediction_summary(scored(spark, folder)), path)
-    back = spark.read.json(path).withColumn(
-        "high_risk_customers", F.array_join(F.col("high_risk_customers").cast("array<string>"), ",")
+    back = spark.read.json(path).withColumns(
+        {
+            "prediction_date": F.col("prediction_date").cast("date"),
+            "high_risk_customers": F.array_join(F.col("high_risk_customers").cast("array<string>"), ","),
+        }
     )
     return tidy(back, {"avg_churn_probability"}, 6)
 
@@ -309,16 +314,18 @@ def campaign_results(spark: SparkSession, folder: str, moment: str = AS_OF) -> D
 
 
 @query(scored_sql(f"""
-SELECT count(*) AS total_campaigns, count(*) FILTER (risk_category='high') AS high_campaigns,
-  count(*) FILTER (risk_category='medium') AS medium_campaigns, count(*) FILTER (risk_category='low') AS low_campaigns,
-  count(*) FILTER (status='success') AS status_success, CAST(0 AS BIGINT) AS status_queued,
-  CAST(0 AS BIGINT) AS status_skipped, count(*) FILTER (status='failed') AS status_failed,
-  count(*) FILTER (status='error') AS status_error,
+SELECT count(*) AS total_campaigns, count(*) FILTER (risk_category='high') AS high,
+  count(*) FILTER (risk_category='medium') AS medium, count(*) FILTER (risk_category='low') AS low,
+  count(*) FILTER (status='success') AS success, CAST(0 AS BIGINT) AS queued,
+  CAST(0 AS BIGINT) AS skipped, count(*) FILTER (status='failed') AS failed,
+  count(*) FILTER (status='error') AS error,
   round(count(*) FILTER (status='success')/count(*)*100, 6) AS success_rate,
   round(avg(churn_probability), 6) AS avg_churn_probability
 FROM (SELECT *, {_STATUS} AS status FROM scored JOIN customers USING (customer_id))"""))
 def campaign_report(spark, folder):
-    report = campaigns.campaign_report(campaign_results(spark, folder))
+    report = campaigns.campaign_report(campaign_results(spark, folder)).select(
+        "total_campaigns", "campaigns_by_risk.*", "campaigns_by_status.*", "success_rate", "avg_churn_probability"
+    )
     return tidy(report, {"success_rate", "avg_churn_probability"}, 6)
 
 
@@ -339,12 +346,16 @@ def segment_updates(spark, folder):
 
 @query(scored_sql("""
 SELECT risk_category, CAST((rn-1)//100 AS BIGINT) AS batch, string_agg(CAST(customer_id AS VARCHAR), ',' ORDER BY customer_id) AS customer_ids,
-  'win_back' AS campaign_name, 'custom_retention' AS campaign_type
+  'win_back' AS campaign_name, 'email,push' AS channels, 'We miss you' AS message, '{"discount": "15"}' AS offer,
+  'custom_retention' AS campaign_type
 FROM (SELECT *, row_number() OVER (PARTITION BY risk_category ORDER BY customer_id) AS rn FROM scored)
 GROUP BY risk_category, batch"""))
 def custom_campaign_batches(spark, folder):
-    batches = campaigns.custom_campaign_batches(scored(spark, folder), "risk_category", "win_back", 100)
-    return batches.withColumn("customer_ids", F.array_join(F.col("customer_ids").cast("array<string>"), ","))
+    batches = campaigns.custom_campaign_batches(
+        scored(spark, folder), "risk_category", "win_back", 100, ("email", "push"), "We miss you", {"discount": "15"}
+    )
+    joined = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("customer_ids", "channels")}
+    return batches.withColumns(joined)
 
 
 @query(scored_sql("""

@@ -5,9 +5,10 @@ Nothing is sent: a payload table is the outbox another program reads.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import instant, ratio, unit_hash
@@ -32,6 +33,7 @@ _TEMPLATE_SCHEMA = (
 SEGMENTS = {"high": "at_risk", "medium": "watch", "low": "loyal"}
 MODEL_VERSION = "ensemble_v1"
 SENDS_PER_MINUTE = 60
+STATUSES = ("success", "queued", "skipped", "failed", "error")
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -39,8 +41,11 @@ def templates(spark: SparkSession) -> DataFrame:
     return F.broadcast(spark.createDataFrame(TEMPLATES, _TEMPLATE_SCHEMA))
 
 
-def campaign_payloads(scored: DataFrame, moment: datetime | str) -> DataFrame:
-    """One outbox row per customer, nested as the receiving side expects; bands without a template drop out."""
+def campaign_payloads(scored: DataFrame, moment: datetime | str, additional: tuple[str, ...] = ()) -> DataFrame:
+    """One outbox row per customer, nested as the receiving side expects; bands without a template drop out.
+
+    ``additional`` names further columns of ``scored`` for the personalization.
+    """
     lookup = templates(scored.sparkSession)
     return scored.join(lookup, "risk_category").select(
         "customer_id",
@@ -51,7 +56,13 @@ def campaign_payloads(scored: DataFrame, moment: datetime | str) -> DataFrame:
         "risk_category",
         instant(moment).alias("created_at"),
         F.struct(
-            "customer_id", "urgency_level", "offer_type", "discount_percentage", "message_tone", "incentive"
+            "customer_id",
+            "urgency_level",
+            "offer_type",
+            "discount_percentage",
+            "message_tone",
+            "incentive",
+            *additional,
         ).alias("personalization"),
     )
 
@@ -105,17 +116,16 @@ def campaign_report(results: DataFrame) -> DataFrame:
     cells = results.groupBy("risk_category", "campaign_status").agg(
         F.count("*").alias("n"), F.sum("churn_probability").alias("p"), F.count("churn_probability").alias("np")
     )
-    statuses = ("success", "queued", "skipped", "failed", "error")
+
+    def total(*where: Column) -> Column:
+        value = F.when(where[0], F.col("n")) if where else F.col("n")
+        return F.coalesce(F.sum(value), F.lit(0))
+
     return cells.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_campaigns"),
-        *[
-            F.coalesce(F.sum(F.when(F.col("risk_category") == b, F.col("n"))), F.lit(0)).alias(f"{b}_campaigns")
-            for b in BANDS
-        ],
-        *[F.coalesce(F.sum(F.when(status == s, F.col("n"))), F.lit(0)).alias(f"status_{s}") for s in statuses],
-        F.coalesce(
-            ratio(F.coalesce(F.sum(F.when(status == "success", F.col("n"))), F.lit(0)), F.sum("n")) * 100, F.lit(0.0)
-        ).alias("success_rate"),
+        total().alias("total_campaigns"),
+        F.struct(*[total(F.col("risk_category") == b).alias(b) for b in BANDS]).alias("campaigns_by_risk"),
+        F.struct(*[total(status == s).alias(s) for s in STATUSES]).alias("campaigns_by_status"),
+        F.coalesce(ratio(total(status == "success"), F.sum("n")) * 100, F.lit(0.0)).alias("success_rate"),
         ratio(F.sum("p"), F.sum("np")).alias("avg_churn_probability"),
     )
 
@@ -131,7 +141,14 @@ def segment_updates(scored: DataFrame, moment: datetime | str) -> DataFrame:
 
 
 def custom_campaign_batches(
-    audience: DataFrame, group: str, campaign_name: str, batch_size: int = 1000, partitions: int | None = None
+    audience: DataFrame,
+    group: str,
+    campaign_name: str,
+    batch_size: int = 1000,
+    channels: tuple[str, ...] = ("email",),
+    message: str = "",
+    offer: dict[str, str] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Id lists of at most ``batch_size`` per group, in id order; no list holds a whole group.
 
@@ -147,8 +164,14 @@ def custom_campaign_batches(
         ranked.join(firsts, group)
         .groupBy(group, batch.alias("batch"))
         .agg(F.sort_array(F.collect_list("customer_id")).alias("customer_ids"))
-        .withColumn("campaign_name", F.lit(campaign_name))
-        .withColumn("campaign_type", F.lit("custom_retention"))
+        .select(
+            "*",
+            F.lit(campaign_name).alias("campaign_name"),
+            F.lit(list(channels)).alias("channels"),
+            F.lit(message).alias("message"),
+            F.lit(json.dumps(offer or {})).alias("offer"),
+            F.lit("custom_retention").alias("campaign_type"),
+        )
     )
 
 

@@ -106,27 +106,28 @@ def union_predictions(*batches: DataFrame) -> DataFrame:
 
 
 def prediction_summary(scored: DataFrame, first_n: int = 100) -> DataFrame:
-    """One row: totals, band counts, mean, and the ids of the ``first_n`` riskiest high-band customers."""
+    """One row: date, totals, band counts, mean, and the ids of the ``first_n`` riskiest high-band customers."""
     stats = scored.agg(
+        F.max("prediction_date").alias("prediction_date"),
         F.count("*").alias("total_customers"),
         *[F.count_if(F.col("risk_category") == b).alias(f"{b}_risk_count") for b in BANDS],
         F.avg("churn_probability").alias("avg_churn_probability"),
     )
-    return stats.withColumn("high_risk_customers", _ordered_ids(high_risk_customers(scored, first_n)))
+    first = _in_order(high_risk_customers(scored, first_n), F.col("customer_id"))
+    return stats.withColumn("high_risk_customers", first)
 
 
-def _ordered_ids(df: DataFrame) -> Column:
-    """Ids of a limited table as one array, riskiest first; a one-row subquery."""
-    entries = F.array_sort(
-        F.collect_list(F.struct((-F.col("churn_probability")).alias("_order"), F.col("customer_id").alias("id")))
-    )
-    return df.agg(F.transform(entries, lambda e: e["id"])).scalar()
+def _in_order(df: DataFrame, entry: Column) -> Column:
+    """One value per row of a limited table as an array, riskiest first; a one-row subquery."""
+    order = F.struct((-F.col("churn_probability")).alias("p"), F.col("customer_id").alias("id"))
+    entries = F.array_sort(F.collect_list(F.struct(order.alias("order"), entry.alias("row"))))
+    return df.agg(F.transform(entries, lambda e: e["row"])).scalar()
 
 
 def daily_report(
     scored: DataFrame, moment: datetime | str, rows: int | None = None, one_pass_values: int = ONE_PASS_VALUES
 ) -> DataFrame:
-    """One row of report figures; the ten riskiest customers are an array."""
+    """One row of report figures, nested as in the JSON report; the ten riskiest customers are an array."""
     rows = scored.count() if rows is None else rows
     p = F.col("churn_probability")
     if rows <= one_pass_values:
@@ -135,14 +136,13 @@ def daily_report(
         median = F.lit(exact_quantiles(scored, ["churn_probability"], [0.5], rows, one_pass_values)["churn_probability"][0])
     stats = scored.agg(
         F.count("*").alias("total_customers_scored"),
-        *[F.count_if(F.col("risk_category") == b).alias(b) for b in BANDS],
-        F.avg(p).alias("avg_churn_probability"),
-        median.alias("median_churn_probability"),
-        F.max(p).alias("max_churn_probability"),
-        F.stddev_samp(p).alias("std_churn_probability"),
-    )
-    return stats.select(
-        instant(moment).alias("report_date"),
-        "*",
-        _ordered_ids(top_customers(scored, 10)).alias("top_10_high_risk"),
+        F.struct(*[F.count_if(F.col("risk_category") == b).alias(b) for b in BANDS]).alias("risk_distribution"),
+        F.struct(
+            F.avg(p).alias("avg_churn_probability"),
+            median.alias("median_churn_probability"),
+            F.max(p).alias("max_churn_probability"),
+            F.stddev_samp(p).alias("std_churn_probability"),
+        ).alias("statistics"),
     )
+    top = _in_order(top_customers(scored, 10), F.struct("customer_id", "churn_probability", "risk_category"))
+    return stats.select(instant(moment).alias("report_date"), "*", top.alias("top_10_high_risk"))

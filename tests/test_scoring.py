@@ -34,12 +34,19 @@ def test_top_n_zero_means_all(scored):
 def test_reports_beyond_the_one_pass_limit(scored):
     a = scoring.daily_report(scored, NOW, 1000).first()
     b = scoring.daily_report(scored, NOW, 1000, one_pass_values=10).first()
-    assert a["median_churn_probability"] == b["median_churn_probability"]
-    assert len(a["top_10_high_risk"]) == 10
+    assert a["statistics"]["median_churn_probability"] == b["statistics"]["median_churn_probability"]
+    top = a["top_10_high_risk"]
+    assert len(top) == 10 and top[0]["customer_id"] == 998 and top[0]["risk_category"] == "high"
+    assert a["risk_distribution"]["high"] == scored.where("risk_category = 'high'").count()
+
+
+def test_summary_lists_the_riskiest_first(scored):
+    r = scoring.prediction_summary(scored, 3).first()
+    assert r["high_risk_customers"] == [998, 997, 995] and r["total_customers"] == 1000
 
 
 def test_batches_hold_every_customer_once(scored):
-    batches = campaigns.custom_campaign_batches(scored, "risk_category", "x", 50, 8).collect()
+    batches = campaigns.custom_campaign_batches(scored, "risk_category", "x", 50, partitions=8).collect()
     ids = [i for b in batches for i in b["customer_ids"]]
     assert sorted(ids) == list(range(1000))
     assert max(len(b["customer_ids"]) for b in batches) == 50
@@ -64,6 +71,8 @@ def test_payloads_and_skips(spark):
     ]
     assert payload[0]["personalization"]["discount_percentage"] == 30
     assert '"urgency_level":"critical"' in campaigns.as_json(campaigns.campaign_payloads(df, NOW)).first()["payload"]
+    more = campaigns.campaign_payloads(df.withColumn("tier", F.lit("gold")), NOW, ("tier",)).first()
+    assert more["personalization"]["tier"] == "gold"
     status = {r["customer_id"]: r["campaign_status"] for r in campaigns.trigger_campaigns(df, NOW).collect()}
     assert status == {1: "queued", 2: "skipped"}
 
@@ -72,6 +81,7 @@ def test_empty_campaign_report_is_zero(scored):
     empty = campaigns.trigger_campaigns(scored.where("customer_id < 0"), NOW)
     r = campaigns.campaign_report(empty).first()
     assert r["total_campaigns"] == 0 and r["success_rate"] == 0.0 and r["avg_churn_probability"] is None
+    assert set(r["campaigns_by_status"].asDict().values()) == set(r["campaigns_by_risk"].asDict().values()) == {0}
 
 
 def brute_auc(rows):
