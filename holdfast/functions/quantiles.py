@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # values (rows x columns) one task may hold
-ONE_PASS_VALUES = 1_000_000
+ONE_PASS_VALUES = 2_000_000
 _ACCURACY = 10_000
 
 
