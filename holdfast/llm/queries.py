@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from holdfast.llm import exact_dedup, mixing
+from holdfast.llm import exact_dedup, mixing, near_dedup
 
-_MODULES = [exact_dedup, mixing]
+_MODULES = [exact_dedup, mixing, near_dedup]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
