@@ -9,10 +9,11 @@ several lists is counted in the first of them only (skip merging), over whole
 signatures. At similarity 0.8 a link is missed with a chance of 3e-7 (binomial tail of 64 coordinates).
 
 Pairs above the match threshold are confirmed on full shingle sets. They are not
-all emitted: first each class proposes its best partners, confirmed links are
+emitted: first each class proposes its best partners, confirmed links are
 contracted to components, each component proposes its best partner in another
-component, and when that joins nothing more, all remaining pairs between
-different components are confirmed. A list above ``BLOCK`` postings is dealt
+component, and when that joins little more, all remaining pairs between
+different components are confirmed where their list is read, from the sets of
+its members. A list above ``BLOCK`` postings is dealt
 over blocks, and the last step compares its largest component's blocks only
 with the blocks of others.
 
@@ -41,7 +42,7 @@ COORDINATES = 64
 NEED = 34
 SHINGLE = 5
 PERCENT = 80
-BLOCK = 1024
+BLOCK = 512
 PARTNERS = 3
 MAX_ROUNDS = 6
 
@@ -158,50 +159,75 @@ def _glue(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
-def _matcher(need: int, partners: int | None):
-    """Pairs of a list that belong to different components and agree on ``need`` coordinates.
-
-    ``partners``: each class's best ones only; without it, every pair once.
-    """
+def _pairs(batch: pa.RecordBatch, need: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(first, second, matches) for each list of the batch: pairs of rows of different components that
+    agree on ``need`` coordinates and were not counted in an earlier list."""
+    token, part, comp, side = (batch.column(c).to_numpy() for c in ("token", "part", "comp", "side"))
+    mask = batch.column("mask").to_numpy().view(_U)
+    sigs = batch.column("signature").flatten().to_numpy().reshape(-1, COORDINATES)
+    edges = np.flatnonzero((token[1:] != token[:-1]) | (part[1:] != part[:-1])) + 1
+    for lo, hi in zip([0, *edges], [*edges, len(token)]):
+        bit = _U(1) << _U(int(token[lo]) >> 32)
+        found = []
+        for i in range(lo, hi - 1):
+            rest = slice(i + 1, hi)
+            other = np.flatnonzero((comp[rest] != comp[i]) & ((side[rest] != side[i]) | (side[i] == 0))) + i + 1
+            if not len(other):
+                continue
+            equal = sigs[other] == sigs[i]
+            count = equal.sum(1)
+            good = np.flatnonzero(count >= need)
+            if not len(good):
+                continue
+            agree = np.packbits(equal[good], axis=1, bitorder="little").view(_U).ravel() & mask[i] & mask[other[good]]
+            good = good[(agree & (~agree + _U(1))) == bit]
+            found.append((np.full(len(good), i), other[good], count[good]))
+        if found:
+            yield tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _proposer(need: int, partners: int):
+    """Each class's best partners of each list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _runs(batches):
-            token, part, cls, comp, side = (batch.column(c).to_numpy() for c in ("token", "part", "cls", "comp", "side"))
-            mask = batch.column("mask").to_numpy().view(_U)
-            sigs = batch.column("signature").flatten().to_numpy().reshape(-1, COORDINATES)
-            edges = np.flatnonzero((token[1:] != token[:-1]) | (part[1:] != part[:-1])) + 1
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for lo, hi in zip([0, *edges], [*edges, len(token)]):
-                if hi - lo < 2:
-                    continue
-                bit = _U(1) << _U(int(token[lo]) >> 32)
-                pairs = []
-                for i in range(lo, hi - 1):
-                    rest = slice(i + 1, hi)
-                    other = np.flatnonzero((comp[rest] != comp[i]) & ((side[rest] != side[i]) | (side[i] == 0))) + i + 1
-                    if not len(other):
-                        continue
-                    equal = sigs[other] == sigs[i]
-                    count = equal.sum(1)
-                    good = np.flatnonzero(count >= need)
-                    if not len(good):
-                        continue
-                    agree = np.packbits(equal[good], axis=1, bitorder="little").view(_U).ravel() & mask[i] & mask[other[good]]
-                    good = good[(agree & (~agree + _U(1))) == bit]  # not counted in an earlier list
-                    pairs.append((np.full(len(good), i), other[good], count[good]))
-                if pairs:
-                    a, b, count = (np.concatenate(x) for x in zip(*pairs))
-                    found.append((a, b, count) if partners is None else _best(a, b, count, partners))
+            found = [_best(*pairs, partners) for pairs in _pairs(batch, need)]
             if found:
                 a, b, count = (np.concatenate(x) for x in zip(*found))
-                yield pa.record_batch(
-                    {
-                        "a": pa.array(cls[a]),
-                        "b": pa.array(cls[b]),
-                        "comp_a": pa.array(comp[a]),
-                        "matches": pa.array(count, pa.int32()),
-                    }
-                )
+                cls, comp = batch.column("cls"), batch.column("comp")
+                yield pa.record_batch({"a": cls.take(a), "b": cls.take(b), "comp_a": comp.take(a), "matches": pa.array(count, pa.int32())})
+
+    return run
+
+
+def _suspects(need: int):
+    """The postings that are in some pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _runs(batches):
+            found = [np.concatenate([a, b]) for a, b, _ in _pairs(batch, need)]
+            if found:
+                yield batch.select(["token", "part", "cls", "comp", "side", "mask"]).take(pa.array(np.unique(np.concatenate(found))))
+
+    return run
+
+
+def _linker(need: int, percent: int):
+    """Components that some pair of a list links on full sets, each two of them once for a list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _runs(batches):
+            comp, members = batch.column("comp").to_numpy(), batch.column("members")
+            links = set()
+            for a, b, _ in _pairs(batch, need):
+                sets = {i: np.frombuffer(members[i].as_buffer(), _U) for i in map(int, np.unique(np.concatenate([a, b])))}
+                for i, j in zip(a.tolist(), b.tolist()):
+                    ends = (int(comp[i]), int(comp[j]))
+                    if ends not in links and _similar(sets[i], sets[j], percent):
+                        links.add(ends)
+            if links:
+                u, v = zip(*links)
+                yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
 
@@ -215,16 +241,22 @@ def _best(a: np.ndarray, b: np.ndarray, count: np.ndarray, k: int) -> tuple[np.n
     return a[place < k], b[place < k], count[place < k]
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets meet the similarity; sizes that cannot are not compared."""
+    small, large = sorted((len(x), len(y)))
+    if 100 * small < percent * large:
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _confirmer(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                x, y = (np.frombuffer(v.as_buffer(), _U) for v in (x, y))
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
+            sets = zip(batch.column("set_a"), batch.column("set_b"))
+            keep = [_similar(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U), percent) for x, y in sets]
             yield pa.record_batch({"u": batch.column("u"), "v": batch.column("v")}).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -299,23 +331,23 @@ def _dealt(lists: DataFrame, comps: DataFrame, block: int, turn: int, everything
     return posts.select("token", "cls", "mask", "comp", "to.part", "to.side")
 
 
-def _proposed(dealt: DataFrame, classes: DataFrame, need: int, partners: int | None) -> DataFrame:
-    posts = dealt.join(classes.select("cls", "signature"), "cls")
-    posts = posts.select("token", "part", "cls", "comp", "side", "mask", "signature").repartition("token", "part").sortWithinPartitions("token", "part")
-    return posts.mapInArrow(_matcher(need, partners), "a long, b long, comp_a long, matches int")
+_POSTING = ("token", "part", "cls", "comp", "side", "mask")
+
+
+def _by_list(posts: DataFrame, classes: DataFrame, *more: DataFrame) -> DataFrame:
+    """Postings with their signatures (and sets), list by list."""
+    for columns in (classes.select("cls", "signature"), *more):
+        posts = posts.join(columns, "cls")
+    return posts.repartition("token", "part").sortWithinPartitions("token", "part")
 
 
 def components(classes: DataFrame, sets: DataFrame, lists: DataFrame, need: int, percent: int, block: int = BLOCK) -> DataFrame:
     """(cls, comp) for the classes in ``lists``."""
     comps = written(lists.select("cls").distinct().withColumn("comp", F.col("cls")), "components")
 
-    def joined(pairs: DataFrame, comps: DataFrame) -> tuple[DataFrame, int]:
-        """Components after confirmed pairs are linked, and how many links joined something."""
-        ends = pairs.join(comps.select(F.col("cls").alias("a"), F.col("comp").alias("u")), "a")
-        ends = ends.join(comps.select(F.col("cls").alias("b"), F.col("comp").alias("v")), "b")
-        full = ends.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("set_a")), "a")
-        full = full.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("set_b")), "b")
-        links = written(full.select("u", "v", "set_a", "set_b").mapInArrow(_confirmer(percent), "u long, v long"), "links")
+    def linked(links: DataFrame) -> tuple[DataFrame, int]:
+        """Components after links (u, v) between them, and the number of links."""
+        links = written(links, "links")
         n = links.count()
         if not n:
             return comps, 0
@@ -323,7 +355,9 @@ def components(classes: DataFrame, sets: DataFrame, lists: DataFrame, need: int,
         return written(comps.join(moved, "comp", "left").select("cls", F.coalesce("label", "comp").alias("comp")), "components"), n
 
     for turn in range(MAX_ROUNDS):
-        found = _proposed(_dealt(lists, comps, block, turn, False), classes, need, PARTNERS if turn == 0 else 1)
+        partners = PARTNERS if turn == 0 else 1
+        posts = _by_list(_dealt(lists, comps, block, turn, False).select(*_POSTING), classes)
+        found = posts.mapInArrow(_proposer(need, partners), "a long, b long, comp_a long, matches int")
         if turn == 0:  # a class has at most a few partners in each of its lists
             best = found.groupBy("a").agg(F.sort_array(F.collect_set(F.struct("matches", "b")), asc=False).alias("best"))
             found = best.select("a", F.explode(F.slice("best", 1, PARTNERS)).alias("best")).select("a", "best.b")
@@ -331,12 +365,18 @@ def components(classes: DataFrame, sets: DataFrame, lists: DataFrame, need: int,
             best = found.groupBy("comp_a").agg(F.max(F.struct("matches", "a", "b")).alias("best"))
             found = best.select("best.a", "best.b")
         pairs = written(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        comps, n = joined(pairs, comps)
+        ends = pairs.join(comps.select(F.col("cls").alias("a"), F.col("comp").alias("u")), "a")
+        ends = ends.join(comps.select(F.col("cls").alias("b"), F.col("comp").alias("v")), "b")
+        full = ends.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("set_a")), "a")
+        full = full.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("set_b")), "b")
+        comps, n = linked(full.select("u", "v", "set_a", "set_b").mapInArrow(_confirmer(percent), "u long, v long"))
         if n < 1000 or n < 0.001 * pairs.count():  # the rest is joined by the exhaustive step
             break
-    rest = _proposed(_dealt(lists, comps, block, 0, True), classes, need, None)
-    comps, _ = joined(written(rest.select("a", "b"), "rest"), comps)
-    return comps
+    schema = "token long, part long, cls long, comp long, side int, mask long"
+    posts = _by_list(_dealt(lists, comps, block, 0, True).select(*_POSTING), classes)
+    rest = written(posts.mapInArrow(_suspects(need), schema), "rest")
+    links = _by_list(rest, classes, sets).mapInArrow(_linker(need, percent), "u long, v long").distinct()
+    return linked(links)[0]
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT, need: int = NEED) -> DataFrame:
