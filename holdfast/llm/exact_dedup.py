@@ -241,7 +241,8 @@ def mark_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", **s
     # the groups are a written table, so both sides of the join are exchanged and a group of many copies can be split
     joined = rows.join(groups(docs, text, id, **sizes), "digest")
     stays = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
-    first = F.row_number().over(W.partitionBy("digest", "id").orderBy(F.desc("chars")))
+    # by the pair as one value: the rows are dealt anew, and the join above stays free to split a large group
+    first = F.row_number().over(W.partitionBy(F.struct("digest", "id")).orderBy(F.desc("chars")))
     return joined.withColumn("place", first).select(
         F.col("id").alias(id),
         "keep_id",
