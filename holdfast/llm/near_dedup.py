@@ -269,25 +269,26 @@ def contracted(edges: DataFrame) -> DataFrame:
     one too, and carries on with the edges between different labels.
     """
     both = edges.select("u", "v").union(edges.select("v", "u")).where("u != v").distinct()
-    edges = written(both, "edges")
+    nodes = 2 * edges.count()
+    edges = written(both, "edges", nodes)
     labels = edges.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct()
-    while edges.count():
+    while n := edges.count():
         hook = edges.groupBy("u").agg(F.least("u", F.min("v")).alias("to"))
         next_hook = hook.select(F.col("u").alias("to"), F.col("to").alias("then"))
-        hook = written(hook.join(next_hook, "to").select("u", F.col("then").alias("to")), "hooks")
+        hook = written(hook.join(next_hook, "to").select("u", F.col("then").alias("to")), "hooks", n)
         old = hook.select(F.col("u").alias("label"), "to")
-        labels = written(labels.join(old, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+        labels = written(labels.join(old, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels", nodes)
         far = hook.select(F.col("u").alias("v"), F.col("to").alias("to_v"))
         moved = edges.join(hook, "u").join(far, "v").select(F.col("to").alias("u"), F.col("to_v").alias("v"))
-        edges = written(moved.where("u != v").distinct(), "edges")
+        edges = written(moved.where("u != v").distinct(), "edges", n)
     return labels
 
 
-def _lists(classes: DataFrame, need: int) -> DataFrame:
+def _lists(classes: DataFrame, need: int, n: int) -> DataFrame:
     """(token, cls, mask): prefix postings under pairs that more than one class has; ``mask``: the class's listed coordinates."""
     token = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(0xFFFFFFFF))
     posts = classes.select("cls", F.posexplode("signature").alias("at", "value")).select("cls", token.alias("token"))
-    often = written(posts.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "frequency")
+    often = written(posts.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "frequency", n * COORDINATES // 2)
     prefix = COORDINATES - need + 1
     shared = posts.join(often, "token").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
     # pairs of this class alone come first in the order and meet nobody
@@ -297,12 +298,12 @@ def _lists(classes: DataFrame, need: int) -> DataFrame:
     return listed.withColumn("mask", mask).select("cls", "mask", F.explode("tokens").alias("token"))
 
 
-def _dealt(lists: DataFrame, comps: DataFrame, block: int, turn: int, everything: bool) -> DataFrame:
+def _dealt(lists: DataFrame, comps: DataFrame, n: int, block: int, turn: int, everything: bool) -> DataFrame:
     """Postings of lists with several components, dealt over parts that are compared within themselves."""
     posts = lists.join(comps, "cls")
     sizes = posts.groupBy("token", "comp").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("comps"))
-    sizes = written(sizes.where("comps > 1").select("token", F.col("main.comp").alias("main"), F.col("main.n").alias("n_main"), "n"), "lists")
+    sizes = written(sizes.where("comps > 1").select("token", F.col("main.comp").alias("main"), F.col("main.n").alias("n_main"), "n"), "lists", n)
     posts = posts.join(sizes, "token")
     spread = F.xxhash64("cls", F.lit(turn))
     blocks = lambda n: F.ceil(n / F.lit(block)).cast("long")
@@ -343,20 +344,22 @@ def _by_list(posts: DataFrame, classes: DataFrame, *more: DataFrame) -> DataFram
 
 def components(classes: DataFrame, sets: DataFrame, lists: DataFrame, need: int, percent: int, block: int = BLOCK) -> DataFrame:
     """(cls, comp) for the classes in ``lists``."""
-    comps = written(lists.select("cls").distinct().withColumn("comp", F.col("cls")), "components")
+    n_lists = lists.count()
+    comps = written(lists.select("cls").distinct().withColumn("comp", F.col("cls")), "components", n_lists)
+    members = comps.count()
 
     def linked(links: DataFrame) -> tuple[DataFrame, int]:
         """Components after links (u, v) between them, and the number of links."""
-        links = written(links, "links")
+        links = written(links.distinct(), "links", PARTNERS * members)
         n = links.count()
         if not n:
             return comps, 0
         moved = contracted(links).select(F.col("node").alias("comp"), "label")
-        return written(comps.join(moved, "comp", "left").select("cls", F.coalesce("label", "comp").alias("comp")), "components"), n
+        return written(comps.join(moved, "comp", "left").select("cls", F.coalesce("label", "comp").alias("comp")), "components", members), n
 
     for turn in range(MAX_ROUNDS):
         partners = PARTNERS if turn == 0 else 1
-        posts = _by_list(_dealt(lists, comps, block, turn, False).select(*_POSTING), classes)
+        posts = _by_list(_dealt(lists, comps, n_lists, block, turn, False).select(*_POSTING), classes)
         found = posts.mapInArrow(_proposer(need, partners), "a long, b long, comp_a long, matches int")
         if turn == 0:  # a class has at most a few partners in each of its lists
             best = found.groupBy("a").agg(F.sort_array(F.collect_set(F.struct("matches", "b")), asc=False).alias("best"))
@@ -364,7 +367,7 @@ def components(classes: DataFrame, sets: DataFrame, lists: DataFrame, need: int,
         else:
             best = found.groupBy("comp_a").agg(F.max(F.struct("matches", "a", "b")).alias("best"))
             found = best.select("best.a", "best.b")
-        pairs = written(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        pairs = written(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs", PARTNERS * members)
         ends = pairs.join(comps.select(F.col("cls").alias("a"), F.col("comp").alias("u")), "a")
         ends = ends.join(comps.select(F.col("cls").alias("b"), F.col("comp").alias("v")), "b")
         full = ends.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("set_a")), "a")
@@ -373,9 +376,9 @@ def components(classes: DataFrame, sets: DataFrame, lists: DataFrame, need: int,
         if n < 1000 or n < 0.001 * pairs.count():  # the rest is joined by the exhaustive step
             break
     schema = "token long, part long, cls long, comp long, side int, mask long"
-    posts = _by_list(_dealt(lists, comps, block, 0, True).select(*_POSTING), classes)
-    rest = written(posts.mapInArrow(_suspects(need), schema), "rest")
-    links = _by_list(rest, classes, sets).mapInArrow(_linker(need, percent), "u long, v long").distinct()
+    posts = _by_list(_dealt(lists, comps, n_lists, block, 0, True).select(*_POSTING), classes)
+    rest = posts.mapInArrow(_suspects(need), schema)
+    links = _by_list(rest, classes, sets).mapInArrow(_linker(need, percent), "u long, v long")
     return linked(links)[0]
 
 
@@ -395,18 +398,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shi
     sketches = source.withColumn("hash", F.xxhash64("text")).mapInArrow(_sketcher(shingle), schema)
     sketches = written(sketches, "sketches")
     classes = sketches.where("cls IS NOT NULL").groupBy("cls")
-    classes = written(classes.agg(F.first("signature").alias("signature"), F.min("doc_id").alias("smallest")), "classes")
-    lists = written(_lists(classes, need), "postings")
+    classes = classes.agg(F.first("signature").alias("signature"), F.min("doc_id").alias("smallest"))
+    classes = written(classes, "classes", sketches.count(), 30_000)
+    n = classes.count()
+    lists = written(_lists(classes, need, n), "postings", n * (COORDINATES - need + 1))
     # whole sets of the classes that share a list with another one, from one text of each
     met = lists.join(lists.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "token").select("cls").distinct()
-    met = written(classes.join(met, "cls", "left_semi").select(F.col("smallest").alias("met")).distinct(), "met")
+    met = written(classes.join(met, "cls", "left_semi").select(F.col("smallest").alias("met")).distinct(), "met", n)
     texts = source.join(met, F.col("doc_id").eqNullSafe(F.col("met")), "left_semi").select("text")
-    sets = written(texts.mapInArrow(_set_builder(shingle), "cls long, members binary"), "sets")
+    sets = written(texts.mapInArrow(_set_builder(shingle), "cls long, members binary"), "sets", met.count(), 5_000)
     comps = components(classes, sets, lists, need, percent)
     of_class = classes.join(comps, "cls", "left").select("cls", "smallest", F.coalesce("comp", "cls").alias("comp"))
     least = F.min(F.struct(F.col("smallest").isNull().alias("last"), F.col("smallest").alias("id"), F.col("cls").alias("cls"))).alias("least")
-    heads = written(of_class.groupBy("comp").agg(least), "heads")
-    of_class = written(of_class.join(heads, "comp").select("cls", F.col("least.id").alias("head"), F.col("least.cls").alias("head_cls")), "classes")
+    heads = written(of_class.groupBy("comp").agg(least), "heads", n)
+    of_class = written(of_class.join(heads, "comp").select("cls", F.col("least.id").alias("head"), F.col("least.cls").alias("head_cls")), "classes", n)
     rows = sketches.select("doc_id", "hash", "n_shingles", "cls")
     full = rows.where("cls IS NOT NULL").join(of_class, "cls")
     out = full.select("doc_id", "hash", "n_shingles", F.col("head").alias("component_id"), (F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("cls") == F.col("head_cls"))).alias("kept"))

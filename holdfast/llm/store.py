@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from holdfast.session import scratch_path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, rows: int | None = None, per_file: int = 500_000) -> DataFrame:
     """Write ``df`` as compressed Parquet below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage and fixes row numbers and flush points; a lost executor cannot change them.
+    With a bound of its ``rows``, it has no more files (and tasks in the last stage) than that needs.
     """
     path = scratch_path(df.sparkSession, label)
+    if rows is not None:
+        df = df.coalesce(1 + rows // per_file)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
