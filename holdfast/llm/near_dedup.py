@@ -42,7 +42,7 @@ COORDINATES = 64
 NEED = 34
 SHINGLE = 5
 PERCENT = 80
-BLOCK = 512
+BLOCK = 256
 PARTNERS = 3
 MAX_ROUNDS = 6
 
