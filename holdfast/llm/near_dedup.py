@@ -62,10 +62,10 @@ def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     parts, last = [], 0
     bounds = np.concatenate([[0], np.cumsum(counts)])
     for r in short:  # the whole sequence is the only shingle
-        value = words.hash[words.first[r]]
-        for h in words.hash[words.first[r] + 1 : words.first[r + 1]]:
-            value = mix(np.array([value], _U))[0] * _U(0xD6E8FEB86659FD93) + h
-        parts += [values[last : bounds[r]], mix(np.array([value], _U))]
+        value = words.hash[words.first[r] : words.first[r] + 1]
+        for k in range(words.first[r] + 1, words.first[r + 1]):
+            value = mix(value) * _U(0xD6E8FEB86659FD93) + words.hash[k : k + 1]
+        parts += [values[last : bounds[r]], mix(value)]
         last = bounds[r]
         counts[r] = 1
     values = np.concatenate([*parts, values[last:]])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from holdfast.llm import bpe, exact_dedup, mixing, near_dedup
+from holdfast.llm import bpe, exact_dedup, language, mixing, near_dedup
 
-_MODULES = [exact_dedup, mixing, bpe, near_dedup]
+_MODULES = [exact_dedup, mixing, bpe, language, near_dedup]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
