@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from holdfast.llm import bpe, exact_dedup, language, mixing, near_dedup, quality
+from holdfast.llm import bpe, exact_dedup, extraction, language, mixing, near_dedup, quality
 
-_MODULES = [exact_dedup, mixing, bpe, language, quality, near_dedup]
+_MODULES = [exact_dedup, mixing, bpe, language, quality, extraction, near_dedup]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
