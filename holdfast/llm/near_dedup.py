@@ -8,14 +8,16 @@ is posted, rarest pairs first (prefix merging); a pair of classes that meets in
 several lists is counted in the first of them only (skip merging), over whole
 signatures. At similarity 0.8 a link is missed with a chance of 3e-7 (binomial tail of 64 coordinates).
 
-Pairs above the match threshold are confirmed on full shingle sets. They are not
-emitted: first each class proposes its best partners, confirmed links are
-contracted to components, each component proposes its best partner in another
-component, and when that joins little more, all remaining pairs between
-different components are confirmed where their list is read, from the sets of
-its members. A list above ``BLOCK`` postings is dealt
-over blocks, and the last step compares its largest component's blocks only
-with the blocks of others.
+Pairs above the match threshold are not emitted: where a list is read, they are
+confirmed on full sets, best first, unless links found before connect them
+already, so a list gives fewer links than it has members. A list of up to
+``BLOCK`` postings is settled so in one step. A longer one is first dealt over
+blocks by a hash; links are contracted to components, and in the last step the
+blocks of its largest component meet those of the others only. Nothing is left
+out: each pair of a list is counted unless its ends are known to be connected.
+
+Members of full sets are kept as 40 bits of their hashes; two sets of 1,000 share
+a member by accident with a chance of 1e-6, which matters only at the threshold.
 
 Cases: null or empty text has an empty set, is linked with nothing and stays; a
 text with fewer words than a shingle is one shingle; repeated rows of one id and
@@ -43,7 +45,6 @@ NEED = 34
 SHINGLE = 5
 PERCENT = 80
 BLOCK = 256
-PARTNERS = 3
 MAX_ROUNDS = 6
 
 QUERIES, ORACLE, query = registry()
@@ -121,12 +122,21 @@ def _sketcher(n: int):
     return run
 
 
+def unpacked(data) -> np.ndarray:
+    """The members of a set stored as five bytes each."""
+    wide = np.zeros((len(data) // 5, 8), np.uint8)
+    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return wide.view(_U).ravel()
+
+
 def _set_builder(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values, offsets = shingle_sets(Words(batch.column("text"), lower=True), n)
-            data = pa.py_buffer(values.tobytes())
-            sets = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 8).tobytes()), data])
+            short = np.ascontiguousarray((values >> _U(24)).view(np.uint8).reshape(-1, 8)[:, :5])
+            sets = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 5).tobytes()), pa.py_buffer(short.tobytes())]
+            )
             yield pa.record_batch({"cls": pa.array(class_ids(values, offsets)), "members": sets.cast(pa.binary())})
 
     return run
@@ -186,20 +196,6 @@ def _pairs(batch: pa.RecordBatch, need: int) -> Iterator[tuple[np.ndarray, np.nd
             yield tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _proposer(need: int, partners: int):
-    """Each class's best partners of each list."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _runs(batches):
-            found = [_best(*pairs, partners) for pairs in _pairs(batch, need)]
-            if found:
-                a, b, count = (np.concatenate(x) for x in zip(*found))
-                cls, comp = batch.column("cls"), batch.column("comp")
-                yield pa.record_batch({"a": cls.take(a), "b": cls.take(b), "comp_a": comp.take(a), "matches": pa.array(count, pa.int32())})
-
-    return run
-
-
 def _suspects(need: int):
     """The postings that are in some pair."""
 
@@ -213,18 +209,32 @@ def _suspects(need: int):
 
 
 def _linker(need: int, percent: int):
-    """Components that some pair of a list links on full sets, each two of them once for a list."""
+    """Links between components that connect what the pairs of a list connect, confirmed on full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _runs(batches):
-            comp, members = batch.column("comp").to_numpy(), batch.column("members")
-            links = set()
-            for a, b, _ in _pairs(batch, need):
-                sets = {i: np.frombuffer(members[i].as_buffer(), _U) for i in map(int, np.unique(np.concatenate([a, b])))}
-                for i, j in zip(a.tolist(), b.tolist()):
-                    ends = (int(comp[i]), int(comp[j]))
-                    if ends not in links and _similar(sets[i], sets[j], percent):
-                        links.add(ends)
+            comp, members = batch.column("comp").to_pylist(), batch.column("members")
+            links = []
+            for a, b, count in _pairs(batch, need):
+                order = np.argsort(-count, kind="stable")
+                sets: dict[int, np.ndarray] = {}
+                leader: dict[int, int] = {}
+
+                def find(x: int) -> int:
+                    while (up := leader.get(x, x)) != x:
+                        leader[x] = x = leader.get(up, up)
+                    return x
+
+                for i, j in zip(a[order].tolist(), b[order].tolist()):
+                    u, v = find(comp[i]), find(comp[j])
+                    if u == v:
+                        continue
+                    for k in (i, j):
+                        if k not in sets:
+                            sets[k] = unpacked(members[k].as_buffer())
+                    if _similar(sets[i], sets[j], percent):
+                        leader[max(u, v)] = min(u, v)
+                        links.append((comp[i], comp[j]))
             if links:
                 u, v = zip(*links)
                 yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
@@ -232,15 +242,6 @@ def _linker(need: int, percent: int):
     return run
 
 
-def _best(a: np.ndarray, b: np.ndarray, count: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Both directions of the pairs, the ``k`` with most matches of each first member."""
-    a, b, count = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([count, count])
-    order = np.lexsort((b, -count, a))
-    a, b, count = a[order], b[order], count[order]
-    place = np.arange(len(a)) - np.searchsorted(a, a)
-    return a[place < k], b[place < k], count[place < k]
-
-
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets meet the similarity; sizes that cannot are not compared."""
     small, large = sorted((len(x), len(y)))
@@ -252,16 +253,6 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def _confirmer(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = zip(batch.column("set_a"), batch.column("set_b"))
-            keep = [_similar(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U), percent) for x, y in sets]
-            yield pa.record_batch({"u": batch.column("u"), "v": batch.column("v")}).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def contracted(edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each component, for the nodes that have edges ``(u, v)``.
 
@@ -298,17 +289,25 @@ def _lists(classes: DataFrame, need: int, n: int) -> DataFrame:
     return listed.withColumn("mask", mask).select("cls", "mask", F.explode("tokens").alias("token"))
 
 
-def _dealt(lists: DataFrame, comps: DataFrame, n: int, block: int, turn: int, everything: bool) -> DataFrame:
-    """Postings of lists with several components, dealt over parts that are compared within themselves."""
-    posts = lists.join(comps, "cls")
-    sizes = posts.groupBy("token", "comp").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("comps"))
-    sizes = written(sizes.where("comps > 1").select("token", F.col("main.comp").alias("main"), F.col("main.n").alias("n_main"), "n"), "lists", n)
-    posts = posts.join(sizes, "token")
-    spread = F.xxhash64("cls", F.lit(turn))
+def _sizes(lists: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Per list of several components: ``n`` members, the largest component ``main`` and its ``n_main`` members.
+
+    Without components every member is one.
+    """
+    if comps is None:
+        counts = lists.groupBy("token").agg(F.count("*").alias("n"), F.min("cls").alias("main"))
+        return counts.where("n > 1").select("token", "main", F.lit(1).cast("long").alias("n_main"), "n")
+    counts = lists.join(comps, "cls").groupBy("token", "comp").agg(F.count("*").alias("n"))
+    counts = counts.groupBy("token").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("comps"))
+    return counts.where("comps > 1").select("token", F.col("main.comp").alias("main"), F.col("main.n").alias("n_main"), "n")
+
+
+def _dealt(posts: DataFrame, block: int, turn: int, everything: bool) -> DataFrame:
+    """Postings with the sizes of their lists, dealt over parts that are compared within themselves."""
+    spread = F.xxhash64("cls", "token", F.lit(turn))
     blocks = lambda n: F.ceil(n / F.lit(block)).cast("long")
     if not everything:
-        return posts.withColumn("part", F.pmod(spread, blocks(F.col("n")))).withColumn("side", F.lit(0))
+        return posts.withColumn("part", F.pmod(spread, blocks(F.col("n")))).withColumn("side", F.lit(0)).select(*_POSTING)
     # the largest component's blocks meet the others' blocks, the others' blocks meet one another
     posts = posts.withColumn("inner", F.col("comp") == F.col("main"))
     n_in, n_out = blocks(F.col("n_main")), F.greatest(F.lit(1), blocks(F.col("n") - F.col("n_main")))
@@ -329,7 +328,7 @@ def _dealt(lists: DataFrame, comps: DataFrame, n: int, block: int, turn: int, ev
     whole = F.array(part(0, F.lit(0).cast("long"), F.lit(0).cast("long"), 0))
     parts = F.when(F.col("n") <= block, whole).when(F.col("inner"), with_others).otherwise(F.concat(with_main, among))
     posts = posts.withColumn("mine", mine).select("token", "cls", "mask", "comp", F.explode(parts).alias("to"))
-    return posts.select("token", "cls", "mask", "comp", "to.part", "to.side")
+    return posts.select("token", "cls", "mask", "comp", "to.part", "to.side").select(*_POSTING)
 
 
 _POSTING = ("token", "part", "cls", "comp", "side", "mask")
@@ -342,44 +341,43 @@ def _by_list(posts: DataFrame, classes: DataFrame, *more: DataFrame) -> DataFram
     return posts.repartition("token", "part").sortWithinPartitions("token", "part")
 
 
-def components(classes: DataFrame, sets: DataFrame, lists: DataFrame, need: int, percent: int, block: int = BLOCK) -> DataFrame:
-    """(cls, comp) for the classes in ``lists``."""
+def components(texts_of, classes: DataFrame, lists: DataFrame, need: int, percent: int, shingle: int, block: int = BLOCK) -> DataFrame:
+    """(cls, comp) for the classes in ``lists``. ``texts_of``: texts of the classes of a table."""
+    schema = "token long, part long, cls long, comp long, side int, mask long"
     n_lists = lists.count()
-    comps = written(lists.select("cls").distinct().withColumn("comp", F.col("cls")), "components", n_lists)
-    members = comps.count()
-
-    def linked(links: DataFrame) -> tuple[DataFrame, int]:
-        """Components after links (u, v) between them, and the number of links."""
-        links = written(links.distinct(), "links", PARTNERS * members)
-        n = links.count()
-        if not n:
+    sizes = written(_sizes(lists, None), "lists", n_lists)
+    posts = lists.join(sizes, "token").withColumn("comp", F.col("cls"))
+    suspects = _by_list(_dealt(posts, block, 0, False), classes).mapInArrow(_suspects(need), schema)
+    suspects = written(suspects, "suspects", n_lists, 100_000)
+    hot = written(sizes.where(F.col("n") > block).select("token"), "hot", n_lists)
+    hot_lists = written(lists.join(hot, "token", "left_semi"), "hot", n_lists)
+    met = written(suspects.select("cls").union(hot_lists.select("cls")).distinct(), "met", n_lists)
+    members = met.count()
+    sets = written(texts_of(met).mapInArrow(_set_builder(shingle), "cls long, members binary"), "sets", members, 5_000)
+    comps = met.withColumn("comp", F.col("cls"))
+
+    def linked(suspects: DataFrame, comps: DataFrame) -> tuple[DataFrame, int]:
+        """Components after the links that the suspects' pairs give, and the number of links."""
+        links = _by_list(suspects, classes, sets).mapInArrow(_linker(need, percent), "u long, v long").distinct()
+        links = written(links, "links", members)
+        if not (found := links.count()):
             return comps, 0
         moved = contracted(links).select(F.col("node").alias("comp"), "label")
-        return written(comps.join(moved, "comp", "left").select("cls", F.coalesce("label", "comp").alias("comp")), "components", members), n
-
-    for turn in range(MAX_ROUNDS):
-        partners = PARTNERS if turn == 0 else 1
-        posts = _by_list(_dealt(lists, comps, n_lists, block, turn, False).select(*_POSTING), classes)
-        found = posts.mapInArrow(_proposer(need, partners), "a long, b long, comp_a long, matches int")
-        if turn == 0:  # a class has at most a few partners in each of its lists
-            best = found.groupBy("a").agg(F.sort_array(F.collect_set(F.struct("matches", "b")), asc=False).alias("best"))
-            found = best.select("a", F.explode(F.slice("best", 1, PARTNERS)).alias("best")).select("a", "best.b")
-        else:
-            best = found.groupBy("comp_a").agg(F.max(F.struct("matches", "a", "b")).alias("best"))
-            found = best.select("best.a", "best.b")
-        pairs = written(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs", PARTNERS * members)
-        ends = pairs.join(comps.select(F.col("cls").alias("a"), F.col("comp").alias("u")), "a")
-        ends = ends.join(comps.select(F.col("cls").alias("b"), F.col("comp").alias("v")), "b")
-        full = ends.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("set_a")), "a")
-        full = full.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("set_b")), "b")
-        comps, n = linked(full.select("u", "v", "set_a", "set_b").mapInArrow(_confirmer(percent), "u long, v long"))
-        if n < 1000 or n < 0.001 * pairs.count():  # the rest is joined by the exhaustive step
+        return written(comps.join(moved, "comp", "left").select("cls", F.coalesce("label", "comp").alias("comp")), "components", members), found
+
+    comps, found = linked(suspects, comps)
+    for turn in range(1, MAX_ROUNDS + 1):
+        sizes = written(_sizes(hot_lists, comps), "lists", n_lists)
+        left = sizes.agg(F.max(F.col("n") - F.col("n_main"))).first()[0]
+        if left is None:
             break
-    schema = "token long, part long, cls long, comp long, side int, mask long"
-    posts = _by_list(_dealt(lists, comps, n_lists, block, 0, True).select(*_POSTING), classes)
-    rest = posts.mapInArrow(_suspects(need), schema)
-    links = _by_list(rest, classes, sets).mapInArrow(_linker(need, percent), "u long, v long")
-    return linked(links)[0]
+        # blocks by another hash join what they can, as long as that is much
+        last = left <= block or 20 * found < left or turn == MAX_ROUNDS
+        posts = _dealt(hot_lists.join(comps, "cls").join(sizes, "token"), block, turn, last)
+        comps, found = linked(_by_list(posts, classes).mapInArrow(_suspects(need), schema), comps)
+        if last:
+            break
+    return comps
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT, need: int = NEED) -> DataFrame:
@@ -402,12 +400,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shi
     classes = written(classes, "classes", sketches.count(), 30_000)
     n = classes.count()
     lists = written(_lists(classes, need, n), "postings", n * (COORDINATES - need + 1))
-    # whole sets of the classes that share a list with another one, from one text of each
-    met = lists.join(lists.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "token").select("cls").distinct()
-    met = written(classes.join(met, "cls", "left_semi").select(F.col("smallest").alias("met")).distinct(), "met", n)
-    texts = source.join(met, F.col("doc_id").eqNullSafe(F.col("met")), "left_semi").select("text")
-    sets = written(texts.mapInArrow(_set_builder(shingle), "cls long, members binary"), "sets", met.count(), 5_000)
-    comps = components(classes, sets, lists, need, percent)
+
+    def texts_of(met: DataFrame) -> DataFrame:
+        ids = written(classes.join(met, "cls", "left_semi").select(F.col("smallest").alias("met")).distinct(), "ids", n)
+        return source.join(ids, F.col("doc_id").eqNullSafe(F.col("met")), "left_semi").select("text")
+
+    comps = components(texts_of, classes, lists, need, percent, shingle)
     of_class = classes.join(comps, "cls", "left").select("cls", "smallest", F.coalesce("comp", "cls").alias("comp"))
     least = F.min(F.struct(F.col("smallest").isNull().alias("last"), F.col("smallest").alias("id"), F.col("cls").alias("cls"))).alias("least")
     heads = written(of_class.groupBy("comp").agg(least), "heads", n)
