@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from holdfast.llm import bpe, class_lm, exact_dedup, extraction, language, mixing, near_dedup, quality, warc
+from holdfast.llm import bpe, class_lm, exact_dedup, extraction, language, licences, mixing, near_dedup, quality, warc
 
-_MODULES = [warc, class_lm, exact_dedup, mixing, bpe, language, quality, extraction, near_dedup]
+_MODULES = [warc, class_lm, exact_dedup, mixing, licences, bpe, language, quality, extraction, near_dedup]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
