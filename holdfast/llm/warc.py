@@ -26,7 +26,6 @@ empty table gives archives without records; other columns are not archived.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import io
 import re
@@ -87,34 +86,53 @@ def arc_record(version: int, name: str, url: str | None, page_id, html: bytes, d
     return _arc_line(version, url, "text/html", name, len(http) + len(html), date) + b"\n" + http + html
 
 
+class _Unpacked(io.RawIOBase):
+    """The members of gzip data one after the other, as far as they can be unpacked."""
+
+    def __init__(self, content: bytes) -> None:
+        self.rest, self.member, self.ready = content, None, b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.ready:
+            if self.member is None or self.member.eof:
+                self.rest = (self.member.unused_data if self.member else self.rest).lstrip(b"\0")
+                if not self.rest:
+                    return 0
+                self.member = zlib.decompressobj(31)
+            try:
+                self.ready = self.member.decompress(self.rest, 1 << 16)
+            except zlib.error:
+                self.rest, self.member = b"", None
+                return 0
+            self.rest = self.member.unconsumed_tail
+            if not self.ready and not self.member.eof and not self.rest:
+                return 0
+        n = min(len(buffer), len(self.ready))
+        buffer[:n], self.ready = self.ready[:n], self.ready[n:]
+        return n
+
+
 def _opened(content: bytes) -> io.BufferedReader:
-    raw = io.BytesIO(content)
-    return io.BufferedReader(gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw, 1 << 16)
+    raw = _Unpacked(content) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+    return io.BufferedReader(raw, 1 << 16)
 
 
 def _read(file: io.BufferedReader, n: int) -> bytes:
-    """``n`` bytes, or as many as the file has or its compression gives."""
+    """``n`` bytes, or as many as the file has."""
     parts = []
-    try:
-        while n > 0 and (part := file.read(min(n, 1 << 24))):
-            parts.append(part)
-            n -= len(part)
-    except (EOFError, OSError, zlib.error):
-        pass
+    while n > 0 and (part := file.read(min(n, 1 << 24))):
+        parts.append(part)
+        n -= len(part)
     return b"".join(parts)
 
 
-def _line(file: io.BufferedReader) -> bytes:
-    try:
-        return file.readline()
-    except (EOFError, OSError, zlib.error):
-        return b""
-
-
 def arc_records(content: bytes) -> Iterator[ArcRecord]:
     """Records of an ARC file, the version block first; gzip in one or many members is unpacked."""
     file, names, at = _opened(content), ARC_FIELDS[1].split(), 0
-    while line := _line(file):
+    while line := file.readline():
         start, at = at, at + len(line)
         text = line.decode("utf-8", "replace").rstrip("\r\n")
         if not text.strip():
@@ -301,11 +319,11 @@ class WarcRecord(NamedTuple):
 def warc_records(content: bytes) -> Iterator[WarcRecord]:
     """Records of a WARC file; header names in lower case."""
     file = _opened(content)
-    while line := _line(file):
+    while line := file.readline():
         if not line.startswith(b"WARC/"):
             continue
         headers = {}
-        while (line := _line(file).decode("utf-8", "replace").rstrip("\r\n")) != "":
+        while (line := file.readline().decode("utf-8", "replace").rstrip("\r\n")) != "":
             name, _, value = line.partition(":")
             headers[name.strip().lower()] = value.strip()
         length = headers.get("content-length", "0")
