@@ -1,12 +1,14 @@
 """Exact duplicates by Grace hashing.
 
-Records are spilled to a written table, split into buckets by a hash of their
-normalised content, and a bucket whose distinct contents exceed the table's
-bytes is spilled and split again by another hash, level by level. Each bucket
-that fits is read by one task into an open-addressing table which compares
-complete contents. Copies are combined in the tasks that read the input, by the
-same table, so a content with any number of copies reaches its bucket as one
-record per reading task and flush, and never fills a table.
+Records are dealt to buckets by a hash of their normalised content. How many
+buckets the contents need, and which would not fit a task's table, comes from
+the sizes of the distinct contents, summed over a fixed number of hash cells.
+A bucket that does not fit is spilled to a written table and split by another
+hash, level by level. Each bucket that fits is read by one task into an
+open-addressing table which compares complete contents. Copies are combined in
+the tasks that read the input, by the same table, so a content with any number
+of copies reaches its bucket as one record per reading task and flush, and never
+fills a table.
 
 Cases: null text counts as empty; empty texts are copies of one another; among
 equal texts the row with the most code points stays, then the smallest id, an
@@ -29,6 +31,7 @@ from holdfast.llm.store import registry, text_of, whole_row, written
 
 TABLE_BYTES = 32 << 20
 FANOUT = 16
+CELLS = 1 << 16  # hash cells whose sizes are collected; buckets of the first level at most
 _SPACE = r"[\x20\x09-\x0D]+"
 
 QUERIES, ORACLE, query = registry()
@@ -179,17 +182,23 @@ def groups(
         F.char_length(body).cast("long").alias("chars"),
         F.col(id).alias("id"),
     )
-    combined = records.mapInArrow(_combiner(table_bytes, _arrow(id_type)), _record(id_type))
-    spill = written(combined.withColumn("bytes", F.length("content").cast("long")), "spill")
-    total = spill.agg(F.sum("bytes")).first()[0] or 0
-    buckets = 1 + 2 * total // table_bytes
-    spill = spill.withColumn("bucket", F.pmod(F.xxhash64("hash", F.lit(0)), F.lit(buckets)))
-    found, level = [], 0
+    buckets, over = _first_buckets(records, table_bytes)
+    bucket = F.pmod(_cell(), F.lit(buckets))
+    combined = records.mapInArrow(_combiner(table_bytes, _arrow(id_type)), _record(id_type)).withColumn("bucket", bucket)
+    if not over:
+        return written(_in_buckets(combined, id_type, buckets), "groups")
+    over = F.broadcast(docs.sparkSession.createDataFrame([(b,) for b in over], "bucket long"))  # at most CELLS rows
+    found = [_in_buckets(combined.join(over, "bucket", "left_anti"), id_type, buckets)]
+    spill = written(combined.join(over, "bucket", "left_semi"), "spill")
+    level, buckets = 0, buckets * fanout
     while True:
+        level += 1
+        part = F.pmod(F.xxhash64("hash", F.lit(level)), F.lit(fanout))
+        spill = spill.withColumn("bucket", F.xxhash64("bucket", part))
         # distinct contents by their hashes; one content alone cannot be split and needs one entry
         over = (
             spill.groupBy("bucket", "hash")
-            .agg(F.max("bytes").alias("bytes"))
+            .agg(F.max(F.length("content")).alias("bytes"))
             .groupBy("bucket")
             .agg(F.sum("bytes").alias("bytes"), F.count("*").alias("contents"))
             .where((F.col("bytes") > table_bytes) & (F.col("contents") > 1))
@@ -197,15 +206,10 @@ def groups(
         )
         over = written(over, "over")
         n_over = over.count()
-        fits = spill if not n_over else spill.join(over, "bucket", "left_anti")
-        found.append(_in_buckets(fits, id_type, buckets))
+        found.append(_in_buckets(spill if not n_over else spill.join(over, "bucket", "left_anti"), id_type, buckets))
         if not n_over:
             break
-        level += 1
-        part = F.pmod(F.xxhash64("hash", F.lit(level)), F.lit(fanout))
-        spill = written(
-            spill.join(over, "bucket", "left_semi").withColumn("bucket", F.xxhash64("bucket", part)), "spill"
-        )
+        spill = written(spill.join(over, "bucket", "left_semi"), "spill")
         buckets = n_over * fanout
     out = found[0]
     for more in found[1:]:
@@ -213,6 +217,25 @@ def groups(
     return written(out, "groups")
 
 
+def _cell() -> Column:
+    return F.pmod(F.xxhash64("hash", F.lit(0)), F.lit(CELLS))
+
+
+def _first_buckets(records: DataFrame, table_bytes: int) -> tuple[int, list[int]]:
+    """The number of buckets, a power of two, and those whose distinct contents exceed the table."""
+    sizes = records.groupBy("hash").agg(F.max(F.length("content")).cast("long").alias("bytes"))
+    sizes = sizes.groupBy(_cell().alias("cell")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("contents")).collect()
+    total, buckets = sum(r["bytes"] for r in sizes), 1
+    while buckets < CELLS and buckets * table_bytes < 2 * total:
+        buckets *= 2
+    in_bucket: dict[int, list[int]] = {}
+    for r in sizes:
+        held = in_bucket.setdefault(r["cell"] % buckets, [0, 0])
+        held[0] += r["bytes"]
+        held[1] += r["contents"]
+    return buckets, [b for b, (size, contents) in in_bucket.items() if size > table_bytes and contents > 1]
+
+
 def _in_buckets(records: DataFrame, id_type: T.DataType, buckets: int) -> DataFrame:
     schema = T.StructType(
         [
@@ -227,6 +250,7 @@ def _in_buckets(records: DataFrame, id_type: T.DataType, buckets: int) -> DataFr
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_group_finder(_arrow(id_type)), schema)
+        .coalesce(buckets)
     )
 
 
