@@ -18,22 +18,30 @@ from holdfast.plans import features as plan
 from holdfast.plans import daily, training
 from holdfast.session import pinned, scratch_path
 from holdfast.sources import fixtures as fx
+from holdfast.sources import scans
 
 
-@query(sql(
-    f"""
-SELECT customer_id, churned, CASE WHEN u < 0.2 THEN 'test' WHEN u < 0.3 THEN 'validation' ELSE 'train' END AS split
-FROM (SELECT *, CAST('0x'||substr(md5('42-'||CAST(customer_id AS VARCHAR)),1,8) AS BIGINT)/4294967296 AS u FROM ({LABELS}))""",
-    BASE,
-))
+def _split(rows: str) -> str:
+    """Rows with their split: shares of each class in the order of a hash."""
+    u = "CAST('0x'||substr(md5('42-'||CAST(customer_id AS VARCHAR)),1,8) AS BIGINT)"
+    place = f"row_number() OVER (PARTITION BY churned ORDER BY {u}, customer_id)"
+    n = "count(*) OVER (PARTITION BY churned)"
+    return (
+        f"SELECT *, CASE WHEN {place} <= 0.2::DOUBLE * {n} THEN 'test' WHEN {place} <= {0.2 + 0.1!r}::DOUBLE * {n} "
+        f"THEN 'validation' ELSE 'train' END AS split FROM ({rows})"
+    )
+
+
+@query(sql(_split(LABELS), BASE))
 def train_test_split(spark, folder):
     return prepare.train_test_split(labelled(spark, folder))
 
 
 @query(sql(
     f"""
-SELECT CAST(floor(5*(CAST('0x'||substr(md5('fold-42-'||CAST(customer_id AS VARCHAR)),1,8) AS BIGINT)/4294967296)) AS INT) AS fold,
-  count(*) AS rows, CAST(sum(churned) AS BIGINT) AS positives FROM ({LABELS}) GROUP BY 1""",
+SELECT CAST(place % 5 AS INT) AS fold, count(*) AS rows, CAST(sum(churned) AS BIGINT) AS positives FROM (
+  SELECT churned, row_number() OVER (PARTITION BY churned ORDER BY
+    CAST('0x'||substr(md5('fold-42-'||CAST(customer_id AS VARCHAR)),1,8) AS BIGINT), customer_id) - 1 AS place FROM ({LABELS})) GROUP BY 1""",
     BASE,
 ))
 def cv_fold_balance(spark, folder):
@@ -84,13 +92,30 @@ def minority_knn(spark, folder):
     return tidy(nearest_neighbours(points, 5), {"distance"}, 6)
 
 
-# ---------------------------------------------------------------- models (small ones; no SQL equivalent)
+# ---------------------------------------------------------------- models (small ones; SQL over what must hold)
 
 def training_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Training table at the label time, all customers."""
+    """Training table at the label time: customers known by then."""
     tables = fx.all_tables(spark, folder)
-    wide = plan.build_features(profiles(spark, folder, LABEL_AS_OF), tables, LABEL_AS_OF, fx.EVENTS_AS_OF)
-    return training.training_table(wide, tables["customers"], tables["transactions"], LABEL_AS_OF)
+    known = training.known_profiles(tables["customers"], LABEL_AS_OF)
+    own = scans.scan_customer_profiles(known, LABEL_AS_OF, None, None)
+    wide = plan.build_features(own, tables, LABEL_AS_OF, fx.EVENTS_AS_OF)
+    return training.training_table(wide, known, tables["transactions"], LABEL_AS_OF)
+
+
+# labels of the customers registered before the label time
+KNOWN = f"SELECT l.* FROM ({LABELS}) l JOIN customers k USING (customer_id) WHERE k.registration_date < CAST({v.LABEL} AS DATE)"
+
+
+@query(sql(
+    f"""
+SELECT s.customer_id, s.churned, s.split, CAST(CAST({v.LABEL} AS DATE) - k.registration_date AS INT) AS customer_age_days,
+  CASE WHEN k.last_login_date < CAST({v.LABEL} AS DATE) THEN CAST(CAST({v.LABEL} AS DATE) - k.last_login_date AS INT) END AS days_since_last_login
+FROM ({_split(KNOWN)}) s JOIN customers k USING (customer_id)""",
+    BASE,
+))
+def training_population(spark, folder):
+    return training_rows(spark, folder).select("customer_id", "churned", "split", "customer_age_days", "days_since_last_login")
 
 
 def encoded_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
@@ -105,11 +130,7 @@ def encoded_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]
 SELECT churned, false AS synthetic, count(*) AS rows FROM train GROUP BY 1
 UNION ALL SELECT CAST(1 AS INT), true, CAST(count(*) FILTER (churned=0)//2 - count(*) FILTER (churned=1) AS BIGINT) FROM train""",
     BASE,
-    {
-        "labels_u": "SELECT churned, CAST('0x'||substr(md5('42-'||CAST(customer_id AS VARCHAR)),1,8) AS BIGINT)/4294967296 AS u "
-        f"FROM ({LABELS})",
-        "train": "SELECT churned FROM labels_u WHERE u >= 0.3",
-    },
+    {"train": f"SELECT churned FROM ({_split(KNOWN)}) WHERE split = 'train'"},
 ))
 def smote_oversample(spark, folder):
     encoded, _ = encoded_rows(spark, folder)
@@ -117,20 +138,33 @@ def smote_oversample(spark, folder):
     return balanced.groupBy("churned", F.col("customer_id").isNull().alias("synthetic")).agg(F.count("*").alias("rows"))
 
 
-@query()
-def train_random_forest(spark, folder):
+def _fitted_sql() -> str:
+    return sql(f"SELECT customer_id, split, churned, true AS in_range, true AS same_when_refitted FROM ({_split(KNOWN)})", BASE)
+
+
+def _in_range(column: str):
+    return F.col(column).between(0, 1)
+
+
+def _fitted_twice(spark, folder, fit, column: str) -> DataFrame:
+    """Every row with two checks: its probability is one, and a second fit gives the same."""
     encoded, _ = encoded_rows(spark, folder)
-    forest = models.train_random_forest(encoded.where(F.col("split") == "train"), models.SMALL)
-    scored = models.model_probability(forest, encoded, "forest_probability")
-    return scored.select("customer_id", "split", "churned", "forest_probability")
+    train = encoded.where(F.col("split") == "train")
+    one = models.model_probability(fit(train, models.SMALL), encoded, column)
+    two = models.model_probability(fit(train, models.SMALL), encoded, "again").select("customer_id", "again")
+    return one.join(two, "customer_id").select(
+        "customer_id", "split", "churned", _in_range(column).alias("in_range"), (F.col(column) == F.col("again")).alias("same_when_refitted")
+    )
 
 
-@query()
+@query(_fitted_sql())
+def train_random_forest(spark, folder):
+    return _fitted_twice(spark, folder, models.train_random_forest, "forest_probability")
+
+
+@query(_fitted_sql())
 def train_gbt(spark, folder):
-    encoded, _ = encoded_rows(spark, folder)
-    boosting = models.train_gbt(encoded.where(F.col("split") == "train"), models.SMALL)
-    scored = models.model_probability(boosting, encoded, "boosting_probability")
-    return scored.select("customer_id", "split", "churned", "boosting_probability")
+    return _fitted_twice(spark, folder, models.train_gbt, "boosting_probability")
 
 
 def _both(spark, folder):
@@ -140,36 +174,84 @@ def _both(spark, folder):
     return encoded, names, forest, models.train_gbt(train, models.SMALL)
 
 
-@query()
+@query(sql(f"SELECT customer_id, split, churned, true AS in_range, true AS blended FROM ({_split(KNOWN)})", BASE))
 def ensemble_score(spark, folder):
+    """Every row with two checks: the score is a probability, and 0.4 and 0.6 of the models' ones."""
     encoded, _, forest, boosting = _both(spark, folder)
-    return models.ensemble_score(forest, boosting, encoded, models.SMALL).drop("features")
+    scored = models.ensemble_score(forest, boosting, encoded, models.SMALL)
+    blend = 0.4 * F.col("forest_probability") + 0.6 * F.col("boosting_probability")
+    ranges = _in_range("churn_probability") & _in_range("forest_probability") & _in_range("boosting_probability")
+    same = F.abs(F.col("churn_probability") - blend) < 1e-12
+    return scored.select("customer_id", "split", "churned", ranges.alias("in_range"), same.alias("blended"))
 
 
-@query()
+@query(
+    "SELECT * FROM (VALUES ('forest_importance', true, 1.0::DOUBLE, true), ('boosting_importance', true, 1.0::DOUBLE, true), "
+    "('avg_importance', true, 1.0::DOUBLE, true)) v(kind, none_negative, total, blended)"
+)
 def feature_importance(spark, folder):
+    """The three importances over all features: none negative, a total of 1, the average 0.4 and 0.6 of the others."""
     encoded, names, forest, boosting = _both(spark, folder)
-    return models.feature_importance(forest, boosting, names, encoded, models.SMALL)
+    found = models.feature_importance(forest, boosting, names, encoded, models.SMALL)
+    blend = 0.4 * F.col("forest_importance") + 0.6 * F.col("boosting_importance")
+    kinds = ("forest_importance", "boosting_importance", "avg_importance")
+    sums = found.agg(
+        F.bool_and(F.abs(F.col("avg_importance") - blend) < 1e-12).alias("blended"),
+        *[F.struct(F.min(k).alias("least"), F.round(F.sum(k), 9).alias("total")).alias(k) for k in kinds],
+    )
+    entries = [F.struct(F.lit(k).alias("kind"), (F.col(f"{k}.least") >= 0).alias("none_negative"), F.col(f"{k}.total").alias("total"), "blended") for k in kinds]
+    return sums.select(F.inline(F.array(*entries)))
 
 
-@query()
+_VALIDATED = "SELECT model, CAST(5 AS INT) AS folds, true AS in_range, true AS mean_of_folds FROM (VALUES ('random_forest'), ('gbt')) v(model)"
+
+
+def _validation(found: DataFrame) -> DataFrame:
+    areas = F.col("fold_auc")
+    mean = F.aggregate(areas, F.lit(0.0), lambda a, x: a + x) / F.size(areas)
+    return found.select(
+        "model",
+        F.size(areas).alias("folds"),
+        F.forall(areas, lambda x: x.between(0, 1)).alias("in_range"),
+        (F.abs(F.col("auc_mean") - mean) < 1e-12).alias("mean_of_folds"),
+    )
+
+
+@query(_VALIDATED)
 def cross_validate(spark, folder):
+    """Per model: five areas, all between 0 and 1, and their mean."""
     encoded, _ = encoded_rows(spark, folder)
-    return models.cross_validate(encoded.where(F.col("split") == "train"), models.SMALL)
+    return _validation(models.cross_validate(encoded.where(F.col("split") == "train"), models.SMALL))
 
 
-@query()
-def training_job(spark, folder):
-    path = scratch_path(spark, "models")
-    return training.training_job(training_rows(spark, folder), models.SMALL, path).metrics
+@query(
+    "SELECT dataset, metric, true AS in_range FROM (VALUES ('validation'), ('test')) d(dataset), "
+    "(VALUES ('accuracy'), ('precision'), ('recall'), ('f1_score'), ('roc_auc')) m(metric) "
+    "UNION ALL SELECT model, 'cross_validation', true FROM (VALUES ('random_forest'), ('gbt')) v(model)"
+)
+def train_pipeline(spark, folder):
+    """The metrics of the whole job, cross-validation included: their names, and that each is a share."""
+    done = training.train_pipeline(training_rows(spark, folder), models.SMALL, scratch_path(spark, "models"))
+    checked = _validation(done.cross_validation)
+    validated = checked.select(F.col("model").alias("dataset"), F.lit("cross_validation").alias("metric"), "in_range")
+    return done.metrics.select("dataset", "metric", _in_range("value").alias("in_range")).unionByName(validated)
 
 
-@query()
+@query(sql("SELECT customer_id, true AS in_range, true AS banded, 1::BIGINT AS rows FROM customers", BASE))
 def daily_run(spark, folder):
-    """Train, save, load, score all customers at the later as-of time, report and queue campaigns."""
+    """Train, save, load, score all customers at the later as-of time, report and queue campaigns.
+
+    Per customer: one score, a probability, with the band that it falls in.
+    """
     path, moment = scratch_path(spark, "daily"), datetime(2001, 8, 2)
-    training.training_job(training_rows(spark, folder), models.SMALL, f"{path}/models", gate=0.0)
+    training.train_pipeline(training_rows(spark, folder), models.SMALL, f"{path}/models", gate=0.0, folds=0)
     scorer = training.Scorer.load(spark, f"{path}/models")
     scored = daily.scoring_run(features(spark, folder), scorer, path, moment, models.SMALL)
     daily.campaign_run(spark, path, moment)
-    return scored
+    p = F.col("churn_probability")
+    band = F.when(p >= 0.7, "high").when(p >= 0.4, "medium").otherwise("low")
+    return scored.groupBy("customer_id").agg(
+        F.bool_and(_in_range("churn_probability")).alias("in_range"),
+        F.bool_and(F.col("risk_category") == band).alias("banded"),
+        F.count("*").alias("rows"),
+    )

@@ -206,12 +206,12 @@ def append_predictions(spark, folder):
 # ---------------------------------------------------------------- history
 
 @query(sql(
-    "SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY prediction_timestamp DESC) AS INT) AS recency_rank "
+    "SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY prediction_timestamp DESC, churn_probability) AS INT) AS recency_rank "
     "FROM history QUALIFY recency_rank <= 2",
     BASE, history_ctes(),
 ))
 def keep_last_n_predictions(spark, folder):
-    return history.keep_last_n(prediction_history(spark, folder), "customer_id", "prediction_timestamp", 2)
+    return history.keep_last_n(prediction_history(spark, folder), "customer_id", "prediction_timestamp", "churn_probability", 2)
 
 
 @query(sql(
@@ -452,9 +452,10 @@ def _drift_ctes() -> dict[str, str]:
 
 def _psi_sql(feature: str) -> str:
     def share(table: str) -> str:
-        return f"""SELECT len(list_filter(cuts, lambda c: c < {feature})) AS bin, count(*) AS n
+        return f"""SELECT CASE WHEN {feature} IS NULL THEN -1 ELSE coalesce(len(list_filter(cuts, lambda c: c < {feature})), 0) END AS bin,
+          count(*) AS n
         FROM {table}, (SELECT quantile_cont(CAST({feature} AS DOUBLE), [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS cuts FROM base)
-        WHERE {feature} IS NOT NULL GROUP BY 1"""
+        GROUP BY 1"""
 
     return f"""
 SELECT '{feature}' AS feature, round(sum((n-b)*ln(n/b)), 6) AS psi, sum((n-b)*ln(n/b)) > 0.1 AS drifted FROM (
@@ -568,9 +569,9 @@ SELECT customer_id, count(*) AS transaction_count, CAST(sum(CAST(transaction_amo
     ("transactions",),
 ))
 def incremental_rollup(spark, folder):
-    """Loaded up to the label time first, then only what is newer."""
+    """Loaded without every third transaction before the label time first, then what is new or late."""
     tx = fx.transactions(spark, folder)
-    first = tx.where(F.col("transaction_date") < F.lit(LABEL_AS_OF).cast("timestamp_ntz"))
+    first = tx.where((F.col("transaction_date") < F.lit(LABEL_AS_OF).cast("timestamp_ntz")) & (F.col("transaction_id") % 3 > 0))
     state = pinned(incremental.partial_state(first), "state")
     _, figures = incremental.incremental_rollup(tx, state)
     return tidy(figures, {"std_transaction"})
@@ -580,7 +581,7 @@ def incremental_rollup(spark, folder):
     """
 SELECT time_bucket(INTERVAL 1 DAY, event_timestamp) AS window_start,
   time_bucket(INTERVAL 1 DAY, event_timestamp) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS events,
-  CAST(sum(CAST(time_spent_seconds AS DECIMAL(18,2))) AS DOUBLE) AS time_spent_seconds
+  CAST(sum(CAST(time_spent_seconds AS DECIMAL(28,9))) AS DOUBLE) AS time_spent_seconds
 FROM user_events GROUP BY ALL""",
     ("user_events",),
 ))

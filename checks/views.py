@@ -122,7 +122,7 @@ SELECT customer_id, count(*) AS total_events, count(DISTINCT event_type) AS uniq
   count(*) FILTER (event_type='page_view') AS page_views, count(*) FILTER (event_type='click') AS clicks,
   count(*) FILTER (event_type='search') AS searches, count(*) FILTER (event_type='add_to_cart') AS add_to_cart,
   CAST(sum(opens) AS BIGINT) AS session_count,
-  CAST(sum(CAST(time_spent_seconds AS DECIMAL(18,2))) AS DOUBLE) AS total_time_spent,
+  CAST(sum(CAST(time_spent_seconds AS DECIMAL(28,9))) AS DOUBLE) AS total_time_spent,
   max(event_timestamp) AS last_event_date
 FROM marked GROUP BY 1""",
         "support": """

@@ -21,19 +21,16 @@ from holdfast.session import pinned
 HOT_ROWS = 1_000_000
 
 
-def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows or None).
+def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows).
 
-    Counts rows per key once, combined on the map side. There are at most
-    ``rows / hot_rows`` hot keys, which bounds the list sent out.
+    Both are plans; nothing runs here. Rows per key are counted once, combined
+    on the map side, and the joins are left to the adaptive planner, which
+    broadcasts the hot keys if they prove few.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-    found = counts.select(key).collect()
-    if not found:
-        return df, None
-    hot = F.broadcast(df.sparkSession.createDataFrame(found, df.select(key).schema))
+    hot = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows).select("_hot")
     # a missing key is one group as well
-    same = df[key].eqNullSafe(hot[key])
+    same = F.col(key).eqNullSafe(F.col("_hot"))
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
@@ -76,8 +73,6 @@ def previous_instants(df: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS
     plain, hot = split_hot(df.where(F.col(ts).isNotNull()).select(key, ts), key, hot_rows)
     before = F.lag(ts).over(W.partitionBy(key).orderBy(ts))
     out = plain.select(key, ts, F.lit(1).cast("bigint").alias("n"), before.alias("previous"))
-    if hot is None:
-        return out
     return out.unionByName(hot_instants(hot, key, ts).select(key, ts, "n", "previous"))
 
 

@@ -109,10 +109,10 @@ def frequency_encoding(
             constant = F.from_json(F.lit(json.dumps(shares)), "map<string,double>")
             df = df.withColumn(name, F.element_at(constant, F.col(c).cast("string")))
             continue
-        schema = f"value string, {name} double"
+        schema = f"_value string, {name} double"
         if known:
             one = F.broadcast(df.sparkSession.createDataFrame(list(shares.items()), schema))
         else:
-            one = lookup.where(F.col("column") == c).select("value", F.col("frequency").alias(name))
-        df = df.join(one, df[c].cast("string") == one["value"], "left").drop("value")
+            one = lookup.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("frequency").alias(name))
+        df = df.join(one, df[c].cast("string") == one["_value"], "left").drop("_value")
     return df

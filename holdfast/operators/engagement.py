@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from holdfast.functions.columns import cents, expressions, ratio_text
+from holdfast.functions.columns import expressions, ratio_text
 from holdfast.functions.ordering import HOT_ROWS, hot_instants, previous_instants, running_max, split_hot
 
 SESSION_GAP_MINUTES = 30
+# sums of times are exact to a billionth of a second
+SECONDS = "decimal(28,9)"
 
 # event type -> output column (fixed values)
 EVENT_COUNTS = {
@@ -44,9 +46,8 @@ def sessionize_events(
             F.max("_opened").over(in_order.rowsBetween(W.unboundedPreceding, 0)).alias("session_start"),
         )
     )
-    if hot is not None:
-        points = running_max(hot_instants(hot, key, ts), key, ts, opened, "session_start", include_current=True)
-        marked = marked.unionByName(points.select(key, ts, "n", "session_start"))
+    points = running_max(hot_instants(hot, key, ts), key, ts, opened, "session_start", include_current=True)
+    marked = marked.unionByName(points.select(key, ts, "n", "session_start"))
     return marked.groupBy(key, "session_start").agg(F.max(ts).alias("session_end"), F.sum("n").alias("event_count"))
 
 
@@ -71,7 +72,7 @@ def engagement_rollup(
     """
     by_type = events.groupBy("customer_id", "event_type").agg(
         F.count("*").alias("_n"),
-        F.sum(cents(F.col("time_spent_seconds"))).alias("_time"),
+        F.sum(F.col("time_spent_seconds").cast(SECONDS)).alias("_time"),
         F.max("event_timestamp").alias("_last"),
     )
     rollup = by_type.groupBy("customer_id").agg(
@@ -81,7 +82,7 @@ def engagement_rollup(
             F.expr(f"coalesce(sum(_n) FILTER (WHERE event_type = '{kind}'), 0) AS {name}")
             for kind, name in EVENT_COUNTS.items()
         ],
-        F.expr("coalesce(sum(_time), 0) / 100D AS total_time_spent"),
+        F.expr("CAST(coalesce(sum(_time), 0) AS DOUBLE) AS total_time_spent"),
         F.expr("max(_last) AS last_event_date"),
     )
     return rollup.join(session_counts(events, gap_minutes, hot_rows), "customer_id", "left")

@@ -19,9 +19,10 @@ def best_row_per_group(df: DataFrame, group: str, metric: str, tie: str, ascendi
     return ranked.where(F.col("_n") == 1).drop("_n")
 
 
-def keep_last_n(df: DataFrame, key: str, ts: str, n: int = 10) -> DataFrame:
-    """The ``n`` newest rows per key; limited per map task before the shuffle as well."""
-    ranked = df.withColumn("recency_rank", F.row_number().over(W.partitionBy(key).orderBy(F.col(ts).desc())))
+def keep_last_n(df: DataFrame, key: str, ts: str, tie: str, n: int = 10) -> DataFrame:
+    """The ``n`` newest rows per key, of equal times those with the smallest ``tie``; limited per map task before the shuffle as well."""
+    order = W.partitionBy(key).orderBy(F.col(ts).desc(), F.col(tie).asc())
+    ranked = df.withColumn("recency_rank", F.row_number().over(order))
     return ranked.where(F.col("recency_rank") <= n)
 
 

@@ -1,27 +1,31 @@
-"""Loading new rows only, and merging partial aggregates instead of recomputing them."""
+"""Recomputing only the days that changed, and merging the others' partial aggregates."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.columns import cents, from_cents, instant
+from holdfast.functions.columns import cents, from_cents
+from holdfast.session import pinned
 
 
-def newer_than(df: DataFrame, ts: str, state: DataFrame) -> DataFrame:
-    """Rows after the state's high-water mark; all rows while the state is empty.
+def days_of(df: DataFrame, ts: str) -> DataFrame:
+    """Rows per calendar day; reads the one column."""
+    return df.groupBy(F.col(ts).cast("date").alias("day")).agg(F.count("*").alias("rows"))
 
-    The mark is one value from a subquery, so the comparison still reaches the
-    scan. Rows that arrive late, at or before the mark, need a full rollup.
-    """
-    mark = state.agg(F.coalesce(F.max("last_transaction"), instant("0001-01-01 00:00:00"))).scalar()
-    return df.where(F.col(ts) > mark)
+
+def touched_days(df: DataFrame, ts: str, state: DataFrame) -> DataFrame:
+    """Days whose number of rows differs from the state's: new, late and removed rows alike."""
+    known = state.groupBy("day").agg(F.sum("n").alias("_n")).withColumnRenamed("day", "_day")
+    both = days_of(df, ts).join(known, F.col("day").eqNullSafe(F.col("_day")), "full")
+    changed = both.where(F.coalesce("rows", F.lit(0)) != F.coalesce("_n", F.lit(0)))
+    return changed.select(F.coalesce("day", "_day").alias("day"))
 
 
 def partial_state(transactions: DataFrame) -> DataFrame:
-    """Mergeable sums per customer: count, sum, sum of squares, min, max, last. Whole cents, so exact."""
+    """Mergeable sums per customer and day: count, sum, sum of squares, min, max, last. Whole cents, so exact."""
     c = cents(F.col("transaction_amount"))
-    return transactions.groupBy("customer_id").agg(
+    return transactions.groupBy("customer_id", F.col("transaction_date").cast("date").alias("day")).agg(
         F.count("*").alias("n"),
         F.sum(c).alias("sum_cents"),
         F.sum(c.cast("decimal(18,0)") * c.cast("decimal(18,0)")).cast("decimal(38,0)").alias("sum_squares"),
@@ -31,11 +35,9 @@ def partial_state(transactions: DataFrame) -> DataFrame:
     )
 
 
-def merge_states(*states: DataFrame) -> DataFrame:
-    merged = states[0]
-    for s in states[1:]:
-        merged = merged.unionByName(s)
-    return merged.groupBy("customer_id").agg(
+def merged_days(state: DataFrame) -> DataFrame:
+    """One state per customer from those of the days."""
+    return state.groupBy("customer_id").agg(
         F.sum("n").alias("n"),
         F.sum("sum_cents").alias("sum_cents"),
         F.sum("sum_squares").cast("decimal(38,0)").alias("sum_squares"),
@@ -46,7 +48,8 @@ def merge_states(*states: DataFrame) -> DataFrame:
 
 
 def rollup_of(state: DataFrame) -> DataFrame:
-    """Lifetime figures per customer from a state."""
+    """Lifetime figures per customer from a state by days."""
+    state = merged_days(state)
     n, total = F.col("n").cast("decimal(18,0)"), F.col("sum_cents").cast("decimal(18,0)")
     spread = (n * F.col("sum_squares") - total * total).cast("double")
     variance = F.when(F.col("n") > 1, spread / (F.col("n").cast("double") * (F.col("n") - 1)))
@@ -63,7 +66,16 @@ def rollup_of(state: DataFrame) -> DataFrame:
 
 
 def incremental_rollup(transactions: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(new state, figures) after folding in what is newer than ``state``."""
-    fresh = partial_state(newer_than(transactions, "transaction_date", state))
-    merged = merge_states(state, fresh)
+    """(new state, figures) after the days that changed are computed anew.
+
+    Rows that arrive late or share the newest instant change their day's count,
+    so their days are among them; a value changed in place is not noticed. Days
+    are few (one row per calendar day), transactions of other days are not
+    aggregated again.
+    """
+    days = F.broadcast(pinned(touched_days(transactions, "transaction_date", state), "days"))
+    day = F.col("transaction_date").cast("date")
+    fresh = partial_state(transactions.join(days, day.eqNullSafe(days["day"]), "left_semi"))
+    kept = state.join(days, state["day"].eqNullSafe(days["day"]), "left_anti")
+    merged = kept.unionByName(fresh)
     return merged, rollup_of(merged)

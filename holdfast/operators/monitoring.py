@@ -17,8 +17,9 @@ _FLOOR = 1e-4
 
 
 def _bin(value: Column, cuts: list[float]) -> Column:
-    """Number of cut points below the value: 0 for the lowest bin."""
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value))
+    """Number of cut points below the value, 0 for the lowest bin; -1 for NULL."""
+    below = reduce(lambda a, b: a + b, [(F.lit(c) < value).cast("int") for c in cuts], F.lit(0))
+    return F.coalesce(F.when(value.isNull(), F.lit(-1)), below)
 
 
 def _binned(df: DataFrame, bins: dict[str, Column], name: str) -> DataFrame:
@@ -56,16 +57,16 @@ def feature_drift_psi(
     one_pass_values: int = ONE_PASS_VALUES,
     limit: float = FEATURE_DRIFT_LIMIT,
 ) -> DataFrame:
-    """Population stability index per column over the baseline's decile bins; NULLs are left out."""
+    """Population stability index per column over the baseline's decile bins.
+
+    NULLs are a bin of their own, so a column that empties or fills up drifts
+    most; a column without baseline values has one bin for all values.
+    """
     tenths = [i / 10 for i in range(1, 10)]
     cuts = exact_quantiles(baseline, columns, tenths, rows, one_pass_values)
 
     def bins() -> dict[str, Column]:
-        return {
-            c: F.when(F.col(c).isNotNull(), _bin(F.col(c).cast("double"), cuts[c]))
-            for c in columns
-            if cuts[c][0] is not None
-        }
+        return {c: _bin(F.col(c).cast("double"), [x for x in cuts[c] if x is not None]) for c in columns}
 
     return _psi(_binned(baseline, bins(), "base"), _binned(current, bins(), "now"), limit)
 
@@ -90,22 +91,25 @@ def metric_drift(metrics: DataFrame) -> DataFrame:
 def outliers_iqr(
     df: DataFrame, columns: list[str], rows: int | None = None, one_pass_values: int = ONE_PASS_VALUES, k: float = 1.5
 ) -> DataFrame:
-    """Fences ``k`` interquartile ranges outside the quartiles, and how many values lie beyond each."""
+    """Fences ``k`` interquartile ranges outside the quartiles, and how many values lie beyond each.
+
+    A column without values has NULL fences and nothing beyond them.
+    """
     quartiles = exact_quantiles(df, columns, [0.25, 0.75], rows, one_pass_values)
     fences = {}
     for c, (q1, q3) in quartiles.items():
-        if q1 is not None:
-            fences[c] = (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+        known = q1 is not None
+        fences[c] = (q1 - k * (q3 - q1) if known else None, q3 + k * (q3 - q1) if known else None)
     counts = df.agg(
-        *[F.count_if(F.col(c) < low).alias(f"lo_{c}") for c, (low, _) in fences.items()],
-        *[F.count_if(F.col(c) > high).alias(f"hi_{c}") for c, (_, high) in fences.items()],
+        *[F.count_if(F.col(c) < F.lit(low).cast("double")).alias(f"lo_{c}") for c, (low, _) in fences.items()],
+        *[F.count_if(F.col(c) > F.lit(high).cast("double")).alias(f"hi_{c}") for c, (_, high) in fences.items()],
     )
     entries = F.array(
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.lit(low).alias("lower_fence"),
-                F.lit(high).alias("upper_fence"),
+                F.lit(low).cast("double").alias("lower_fence"),
+                F.lit(high).cast("double").alias("upper_fence"),
                 F.col(f"lo_{c}").alias("below"),
                 F.col(f"hi_{c}").alias("above"),
             )

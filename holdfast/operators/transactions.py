@@ -66,22 +66,24 @@ def line_features(lines: DataFrame) -> DataFrame:
 
 
 def days_between_transactions(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Each transaction with the whole days since the customer's one before (ties by id: 0 days)."""
+    """Each transaction with the whole days since the customer's one before.
+
+    Transactions at one instant are ordered by id, a missing id first; all but the first are 0 days apart.
+    """
     key, ts, id_ = "customer_id", "transaction_date", "transaction_id"
     rows = transactions.select(key, id_, ts).where(F.col(ts).isNotNull())
     plain, hot = split_hot(rows, key, hot_rows)
     before = F.lag(ts).over(W.partitionBy(key).orderBy(ts, id_))
     gap = elapsed_days(before, F.col(ts)).alias("days_between_transactions")
     out = plain.select(key, id_, ts, gap)
-    if hot is None:
-        return out
-    points = hot_instants(hot, key, ts, F.min(id_).alias("_first")).select(
+    points = hot_instants(hot, key, ts).select(
         F.col(key).alias("_key"),
         F.col(ts).alias("_at"),
-        "_first",
         elapsed_days(F.col("previous"), F.col(ts)).alias("_gap"),
     )
-    first = F.when(F.col(id_) == F.col("_first"), F.col("_gap")).otherwise(0)
+    place = F.row_number().over(W.partitionBy(key, ts).orderBy(id_))
+    first = F.when(F.col("_place") == 1, F.col("_gap")).otherwise(0)
+    hot = hot.withColumn("_place", place)
     split = hot.join(points, hot[key].eqNullSafe(points["_key"]) & (hot[ts] == points["_at"])).select(
         key, id_, ts, first.alias("days_between_transactions")
     )

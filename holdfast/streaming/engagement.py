@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from holdfast.operators.engagement import SECONDS
+
 WINDOW, DELAY = "1 day", "1 hour"
 
 
@@ -23,22 +25,21 @@ def windowed_counts(events: DataFrame, window: str = WINDOW, delay: str = DELAY)
     """Events and time per window and type, for a stream or a table.
 
     The watermark needs a zoned timestamp; the session zone must be UTC, as
-    the windows are cut in it. Time is summed in whole hundredths, so a stream
-    and a table give equal sums.
+    the windows are cut in it. Time is summed in decimals, so a stream and a
+    table give equal sums.
     """
     zoned = events.withColumn("event_time", F.col("event_timestamp").cast("timestamp"))
     if zoned.isStreaming:
         zoned = zoned.withWatermark("event_time", delay)
-    hundredths = F.rint(F.col("time_spent_seconds") * 100).cast("bigint")
     return (
         zoned.groupBy(F.window("event_time", window).alias("w"), "event_type")
-        .agg(F.count("*").alias("events"), F.sum(hundredths).alias("_time"))
+        .agg(F.count("*").alias("events"), F.sum(F.col("time_spent_seconds").cast(SECONDS)).alias("_time"))
         .select(
             F.col("w.start").cast("timestamp_ntz").alias("window_start"),
             F.col("w.end").cast("timestamp_ntz").alias("window_end"),
             "event_type",
             "events",
-            (F.col("_time") / 100).alias("time_spent_seconds"),
+            F.col("_time").cast("double").alias("time_spent_seconds"),
         )
     )
 

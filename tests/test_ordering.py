@@ -113,3 +113,26 @@ def test_segments_stay_balanced_with_one_heavy_group(spark):
     df = spark.range(4000).select("id", F.when(F.col("id") < 2000, "a").otherwise("b").alias("g"))
     sizes = ordering.range_segments(df, [F.col("g"), F.col("id")], 8).groupBy("_segment").count().toPandas()
     assert sizes["count"].max() < 1500
+
+
+def test_missing_and_repeated_ids_equal_with_and_without_split(spark):
+    rows = [
+        (1, None, T0 + timedelta(days=11)), (1, 5, T0), (1, 7, T0 + timedelta(days=15)), (1, 7, T0 + timedelta(days=15)),
+        (1, None, T0 + timedelta(days=15)), (None, 1, T0), (None, 2, T0 + timedelta(days=2)), (2, 3, None),
+    ]
+    df = spark.createDataFrame(rows, "customer_id long, transaction_id long, transaction_date timestamp_ntz")
+    found = [sorted(map(str, transactions.days_between_transactions(df, n).collect())) for n in (10**6, 2, 0)]
+    assert found[0] == found[1] == found[2]
+    gaps = [(r["transaction_id"], r["days_between_transactions"]) for r in transactions.days_between_transactions(df, 0).where("customer_id = 1").collect()]
+    assert sorted(gaps, key=str) == sorted([(5, None), (None, 11), (None, 4), (7, 0), (7, 0)], key=str)
+
+
+def test_building_a_plan_runs_no_job(spark, heavy):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans-only", "")
+    transactions.days_between_transactions(heavy, 50)
+    transactions.transaction_regularity(heavy, 50)
+    engagement.sessionize_events(heavy.withColumnRenamed("transaction_date", "event_timestamp"), 30, 50)
+    jobs = tracker.getJobIdsForGroup("plans-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from holdfast.operators import incremental
+from holdfast.operators import engagement, incremental
 from holdfast.session import pinned, scratch_path
 from holdfast.sources import fixtures as fx
 from holdfast.streaming import engagement as stream
@@ -53,18 +53,27 @@ def test_incremental_from_nothing(spark, sf):
     tx = fx.transactions(spark, sf)
     empty = incremental.partial_state(tx.where("1 = 0"))
     _, figures = incremental.incremental_rollup(tx, empty)
-    assert figures.count() == incremental.partial_state(tx).count()
-
-
-def test_high_water_mark_reaches_the_scan(spark):
-    path = scratch_path(spark, "mark")
-    spark.createDataFrame(
-        [(1, 5.0, T0), (1, 6.0, T0 + timedelta(days=2))],
-        "customer_id long, transaction_amount double, transaction_date timestamp_ntz",
-    ).write.parquet(path)
-    tx = spark.read.parquet(path)
-    state = pinned(incremental.partial_state(tx.where(f"transaction_date <= TIMESTAMP_NTZ '{T0}'")), "state")
-    fresh = incremental.newer_than(tx, "transaction_date", state)
-    assert [r["transaction_amount"] for r in fresh.collect()] == [6.0]
-    plan = fresh._jdf.queryExecution().executedPlan().toString()
-    assert "DataFilters: [isnotnull(transaction_date" in plan and "Subquery" in plan[plan.index("DataFilters"):]
+    assert figures.count() == incremental.merged_days(incremental.partial_state(tx)).count()
+
+
+def test_late_and_tied_rows_count(spark):
+    schema = "customer_id long, transaction_amount double, transaction_date timestamp_ntz"
+    first = [(1, 1.0, T0), (1, 2.0, T0 + timedelta(days=1)), (2, 3.0, T0 + timedelta(days=3)), (2, 4.0, T0), (3, 5.0, None)]
+    later = [(2, 9.0, T0 + timedelta(days=3)), (1, 8.0, T0 + timedelta(hours=3)), (4, 7.0, T0 + timedelta(days=9))]
+    state = pinned(incremental.partial_state(spark.createDataFrame(first, schema)), "state")
+    tx = spark.createDataFrame(first + later, schema)
+    assert {r["day"].day for r in incremental.touched_days(tx, "transaction_date", state).collect()} == {1, 4, 10}
+    merged, figures = incremental.incremental_rollup(tx, state)
+    full = incremental.partial_state(tx)
+    assert sorted(map(str, merged.collect())) == sorted(map(str, full.collect()))
+    assert sorted(map(str, figures.collect())) == sorted(map(str, incremental.rollup_of(full).collect()))
+    # rows taken back
+    _, fewer = incremental.incremental_rollup(spark.createDataFrame(first[:2], schema), pinned(full, "state"))
+    assert [r["transaction_count"] for r in fewer.collect()] == [2]
+
+
+def test_times_below_a_hundredth_are_kept(spark):
+    rows = [(1, T0, "click", 0.004)] * 9
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert stream.windowed_counts(df).first()["time_spent_seconds"] == 0.036
+    assert engagement.engagement_rollup(df).first()["total_time_spent"] == 0.036
