@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,6 +127,11 @@ def high_risk_customers(spark, folder):
     return scoring.high_risk_customers(scored(spark, folder), 50)
 
 
+@query(scored_sql("SELECT * FROM scored WHERE risk_category = 'high'"))
+def high_risk_customers_all(spark, folder):
+    return scoring.high_risk_customers(scored(spark, folder))
+
+
 @query(scored_sql(
     "SELECT customer_id, churn_probability, risk_category FROM scored ORDER BY churn_probability DESC, customer_id LIMIT 10"
 ))
@@ -198,9 +205,9 @@ def union_predictions(spark, folder):
 @query(sql("SELECT * FROM s0 UNION ALL SELECT * FROM s3", BASE, history_ctes()))
 def append_predictions(spark, folder):
     path = scratch_path(spark, "predictions")
-    for moment in (MOMENTS[0], MOMENTS[-1]):
-        snapshots.append_predictions(scored(spark, folder, moment), path)
-    return spark.read.parquet(path)
+    for moment in (MOMENTS[0], MOMENTS[0], MOMENTS[-1]):  # a run that is repeated adds nothing
+        snapshots.append_predictions(scored(spark, folder, moment), path, datetime.fromisoformat(str(moment)))
+    return spark.read.parquet(path).drop("snapshot_ts")
 
 
 # ---------------------------------------------------------------- history
@@ -347,12 +354,12 @@ def segment_updates(spark, folder):
 @query(scored_sql("""
 SELECT risk_category, CAST((rn-1)//100 AS BIGINT) AS batch, string_agg(CAST(customer_id AS VARCHAR), ',' ORDER BY customer_id) AS customer_ids,
   'win_back' AS campaign_name, 'email,push' AS channels, 'We miss you' AS message, '{"discount": "15"}' AS offer,
-  'custom_retention' AS campaign_type
+  'custom_retention' AS campaign_type, any_value(TIMESTAMP '2001-08-02 00:00:00') AS created_at
 FROM (SELECT *, row_number() OVER (PARTITION BY risk_category ORDER BY customer_id) AS rn FROM scored)
 GROUP BY risk_category, batch"""))
 def custom_campaign_batches(spark, folder):
     batches = campaigns.custom_campaign_batches(
-        scored(spark, folder), "risk_category", "win_back", 100, ("email", "push"), "We miss you", {"discount": "15"}
+        scored(spark, folder), "risk_category", "win_back", 100, ("email", "push"), "We miss you", {"discount": "15"}, moment=AS_OF
     )
     joined = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("customer_ids", "channels")}
     return batches.withColumns(joined)

@@ -28,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 1024
+PAIRS_HELD = 1 << 21  # numbers of one array while pairs are compared
 
 
 def _distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -38,18 +39,34 @@ def _distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
 def _nearest(q_ids, queries, p_ids, points, k: int) -> pd.DataFrame:
     """Up to k nearest points per query, itself left out, ties to the smaller id.
 
-    The matrix product only picks candidates; their distances are then
-    computed directly, so no digits cancel.
+    The matrix product, around the block's centre, only picks candidates, by
+    each pair's own rounding error; their distances are then computed directly,
+    so no digits cancel. Queries are taken in runs of bounded memory.
     """
-    squares = _distances(queries, points)
-    squares[q_ids[:, None] == p_ids[None, :]] = np.inf
-    slack = 1e-9 * (1 + (queries**2).sum(1) + (points**2).sum(1).max(initial=0))
-    kth = np.partition(squares, min(k, squares.shape[1]) - 1, axis=1)[:, min(k, squares.shape[1]) - 1]
-    rows, cols = np.nonzero((squares <= (kth + slack)[:, None]) & np.isfinite(squares))
-    exact = np.sqrt(((queries[rows] - points[cols]) ** 2).sum(1))
-    found = pd.DataFrame({"id": q_ids[rows], "neighbour_id": p_ids[cols], "distance": exact})
-    found = found.sort_values(["id", "distance", "neighbour_id"], kind="stable")
-    return found[found.groupby("id").cumcount() < k]
+    centre = np.median(points, axis=0)
+    parts, step = [], max(1, PAIRS_HELD // max(1, len(points)))
+    p = points - centre
+    size = (p**2).sum(1)
+    k_th = min(k, len(points)) - 1
+    for lo in range(0, len(queries), step):
+        ids, q = q_ids[lo : lo + step], queries[lo : lo + step]
+        squares = _distances(q - centre, p)
+        error = 1e-12 * points.shape[1] * (((q - centre) ** 2).sum(1)[:, None] + size[None, :])
+        own = ids[:, None] == p_ids[None, :]
+        upper = np.where(own, np.inf, squares + error)
+        limit = np.partition(upper, k_th, axis=1)[:, k_th]
+        rows, cols = np.nonzero((squares - error <= limit[:, None]) & ~own)
+        exact = np.empty(len(rows))
+        many = max(1, PAIRS_HELD // points.shape[1])
+        for at in range(0, len(rows), many):
+            r, c = rows[at : at + many], cols[at : at + many]
+            exact[at : at + many] = np.sqrt(((q[r] - points[c]) ** 2).sum(1))
+        found = pd.DataFrame({"id": ids[rows], "neighbour_id": p_ids[cols], "distance": exact})
+        found = found.sort_values(["id", "distance", "neighbour_id"], kind="stable")
+        parts.append(found[found.groupby("id").cumcount() < k])
+    if not parts:
+        return pd.DataFrame({"id": q_ids[:0], "neighbour_id": p_ids[:0], "distance": np.empty(0)})
+    return pd.concat(parts, ignore_index=True)
 
 
 def _stack(vectors: pd.Series) -> np.ndarray:

@@ -149,6 +149,7 @@ def custom_campaign_batches(
     message: str = "",
     offer: dict[str, str] | None = None,
     partitions: int | None = None,
+    moment: datetime | str | None = None,
 ) -> DataFrame:
     """Id lists of at most ``batch_size`` per group, in id order; no list holds a whole group.
 
@@ -171,6 +172,7 @@ def custom_campaign_batches(
             F.lit(message).alias("message"),
             F.lit(json.dumps(offer or {})).alias("offer"),
             F.lit("custom_retention").alias("campaign_type"),
+            (F.lit(None).cast("timestamp_ntz") if moment is None else instant(moment)).alias("created_at"),
         )
     )
 
@@ -197,22 +199,26 @@ def ab_assignment(customers: DataFrame, experiment: str, treatment_share: float
 def campaign_conversion(
     results: DataFrame, transactions: DataFrame, horizon_days: int = 30
 ) -> DataFrame:
-    """Share of targeted customers, by band, who buy within the horizon after their trigger.
+    """Share of triggers, by band, whose customer buys within the horizon after them.
 
-    Purchases are counted per customer before the result is grouped; results
-    hold one trigger per customer.
+    Only purchases between the first trigger and the end of the last horizon
+    are read, counted per customer and instant before the join, and counted
+    per trigger after it; a customer may have several triggers.
     """
-    end = F.col("triggered_at") + F.expr(f"INTERVAL '{int(horizon_days)}' DAY")
+    horizon = F.expr(f"INTERVAL '{int(horizon_days)}' DAY")
     ts = F.col("transaction_date")
+    first = results.agg(F.min("triggered_at")).scalar()
+    last = results.agg(F.max("triggered_at") + horizon).scalar()
+    instants = transactions.where((ts >= first) & (ts < last)).groupBy("customer_id", ts).agg(F.count("*").alias("_n"))
+    triggers = results.select("customer_id", "triggered_at").distinct()
     bought = (
-        transactions.select("customer_id", ts)
-        .join(results.select("customer_id", "triggered_at"), "customer_id")
-        .where((ts >= F.col("triggered_at")) & (ts < end))
-        .groupBy("customer_id")
-        .agg(F.count("*").alias("purchases"))
+        instants.join(triggers, "customer_id")
+        .where((ts >= F.col("triggered_at")) & (ts < F.col("triggered_at") + horizon))
+        .groupBy("customer_id", "triggered_at")
+        .agg(F.sum("_n").alias("purchases"))
     )
     return (
-        results.join(bought, "customer_id", "left")
+        results.join(bought, ["customer_id", "triggered_at"], "left")
         .groupBy("risk_category")
         .agg(
             F.count("*").alias("targeted"),

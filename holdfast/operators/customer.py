@@ -16,6 +16,7 @@ LIFECYCLE_LABELS = ["new", "growing", "established", "mature", "veteran"]
 AGE_EDGES = [0, 18, 25, 35, 45, 55, 65, 100]
 AGE_LABELS = ["<18", "18-24", "25-34", "35-44", "45-54", "55-64", "65+"]
 
+# columns that are frequency-encoded (fixed values)
 ENCODED = ("gender", "country", "customer_tier", "subscription_type", "referral_source", "customer_lifecycle_stage")
 
 

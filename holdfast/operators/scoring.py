@@ -77,6 +77,7 @@ def risk_factors(scored: DataFrame, features: DataFrame) -> DataFrame:
             ),
         )
 
+    # names and texts of the factors (fixed values)
     found = F.array(
         factor(F.col("recency_days_30d") > 30, "high_recency", "No recent transactions", "recency_days_30d"),
         factor(

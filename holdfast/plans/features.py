@@ -14,6 +14,7 @@ from holdfast.operators.rfm import LOOKBACKS
 from holdfast.session import pinned
 from holdfast.sources.scans import scan_events, scan_subscription_history, scan_tickets, scan_transactions
 
+# groups and the columns or prefixes in them (fixed values)
 FEATURE_GROUPS = {
     "rfm": ["recency_days_", "transaction_count_", "total_spent_", "avg_transaction_"],
     "engagement": ["page_views", "clicks", "searches", "engagement_score", "page_view_rate", "click_rate"],

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +26,22 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest snapshot. Its key comes from the file listing, so other partitions are pruned up front."""
-    snapshots = read_snapshots(spark, path)
-    keys = {re.search(r"snapshot_ts=([^/]+)/", f).group(1) for f in snapshots.inputFiles()}
-    return snapshots.where(F.col("snapshot_ts") == max(keys))
+    """Rows of the newest snapshot; one level of folder names tells which that is, and only it is read."""
+    newest = max(snapshot_keys(spark, path))
+    return spark.read.parquet(f"{path}/snapshot_ts={newest}").withColumn("snapshot_ts", F.lit(newest))
 
 
-def append_predictions(predictions: DataFrame, path: str) -> None:
-    predictions.write.mode("append").parquet(path)
+def snapshot_keys(spark: SparkSession, path: str) -> list[str]:
+    """The snapshots below ``path``, from the names of its folders."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in files if f.isDirectory()]
+    return [n.partition("=")[2] for n in names if n.startswith("snapshot_ts=")]
+
+
+def append_predictions(predictions: DataFrame, path: str, moment: datetime) -> None:
+    """Add the predictions of one run; the same run again replaces its own rows only."""
+    write_snapshot(predictions, path, moment)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -41,3 +41,18 @@ def test_a_third_are_copies(spark, blocks):
 def test_fewer_points_than_neighbours(spark):
     vectors = np.array([[0.0], [1.0], [3.0]])
     assert run(spark, [0, 0, 0], vectors, 5) == brute([0, 1, 2], [0, 0, 0], vectors, 5)
+
+
+def test_one_outlier_does_not_make_all_pairs_candidates():
+    from holdfast.functions import neighbours
+
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(1000, 8)) + 100
+    v[17] = 1e9
+    ids = np.arange(1000)
+    found = neighbours._nearest(ids, v, ids, v, 5)
+    assert len(found) == 5000
+    for i in (0, 500, 999):
+        d = np.sqrt(((v - v[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert sorted(found[found["id"] == i]["neighbour_id"]) == sorted(np.argsort(d)[:5])
