@@ -76,12 +76,18 @@ def previous_instants(df: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS
     return out.unionByName(hot_instants(hot, key, ts).select(key, ts, "n", "previous"))
 
 
-def range_segments(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
+ROWS_PER_FILE = 500_000
+
+
+def range_segments(
+    df: DataFrame, order: list[Column], partitions: int | None = None, rows: int | None = None
+) -> DataFrame:
     """Sort ``df`` over all partitions and fix each row's place.
 
     ``_segment`` is the range partition and ``_place`` the 0-based place in it.
     Ties must be broken by ``order`` itself for the result to be repeatable.
     The table is written once: places of a recomputed partition could differ.
+    With a bound of its ``rows``, it has no more files than that needs.
     """
     # without a number the adaptive planner may merge neighbouring small ranges
     ranged = df.repartitionByRange(*order) if partitions is None else df.repartitionByRange(partitions, *order)
@@ -89,6 +95,8 @@ def range_segments(df: DataFrame, order: list[Column], partitions: int | None =
         ranged.sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
+    if rows is not None:  # ids keep the number of their range partition
+        placed = placed.coalesce(1 + rows // ROWS_PER_FILE)
     return (
         pinned(placed, "segments")
         .withColumn("_segment", F.shiftright("_at", 33).cast("int"))
@@ -119,10 +127,10 @@ def with_rank(df: DataFrame, order: list[Column], name: str = "position", partit
 
 
 def with_running_sums(
-    df: DataFrame, order: list[Column], sums: dict[str, str], partitions: int | None = None
+    df: DataFrame, order: list[Column], sums: dict[str, str], partitions: int | None = None, rows: int | None = None
 ) -> DataFrame:
     """Inclusive running sums of columns over the whole table, in ``order`` (a unique key)."""
-    segments = range_segments(df, order, partitions)
+    segments = range_segments(df, order, partitions, rows)
     offsets = segment_offsets(segments, {f"_o_{out}": F.sum(src) for out, src in sums.items()})
     so_far = W.partitionBy("_segment").orderBy("_place").rowsBetween(W.unboundedPreceding, 0)
     out = segments.join(F.broadcast(offsets), "_segment")

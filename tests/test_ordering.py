@@ -103,10 +103,11 @@ def test_rank_over_the_table_with_heavy_ties(spark):
 
 def test_running_sums_over_the_table(spark):
     df = spark.range(1000).select("id", (F.col("id") * 7 % 13).alias("x"))
-    got = ordering.with_running_sums(df, [F.col("id").desc()], {"s": "x"}, 16).toPandas().sort_values("id")
     pdf = df.toPandas().sort_values("id", ascending=False)
     want = pdf["x"].cumsum()[::-1].tolist()
-    assert got["s"].tolist() == want
+    for rows in (None, 1000):
+        got = ordering.with_running_sums(df, [F.col("id").desc()], {"s": "x"}, 16, rows).toPandas().sort_values("id")
+        assert got["s"].tolist() == want
 
 
 def test_segments_stay_balanced_with_one_heavy_group(spark):
