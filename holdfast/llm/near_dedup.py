@@ -44,7 +44,7 @@ COORDINATES = 64
 NEED = 34
 SHINGLE = 5
 PERCENT = 80
-BLOCK = 256
+BLOCK = 512
 MAX_ROUNDS = 6
 
 QUERIES, ORACLE, query = registry()
