@@ -34,7 +34,8 @@ from holdfast.llm.text import slices
 # fixed value: the piece pattern of byte-level vocabularies
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY_BYTES = 64 << 20  # largest vocabulary file that is sent to the tasks
-CACHED_PIECES = 300_000
+CACHED_PIECES = 120_000
+CACHED_PAIRS = 300_000
 CACHED_LENGTH = 48
 SEGMENT = 1 << 20  # characters whose pieces are held at a time
 
@@ -123,7 +124,7 @@ class Vocabulary:
                 for a, left_until in self._edge(left, 2)
                 for b, right_until in rights
             )
-            if len(self.compatible) > 4 * CACHED_PIECES:
+            if len(self.compatible) >= CACHED_PAIRS:
                 self.compatible.clear()
             self.compatible[key] = known
         return known
