@@ -17,26 +17,34 @@ from holdfast.llm import bpe, exact_dedup, language, mixing, near_dedup
 from holdfast.llm.store import written
 
 
+ROWS_PER_FILE = 8_000
+
+
+def sized(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """A stage's rows in no more files than its input's rows need, so that sparse partitions leave no tiny files."""
+    return kept.coalesce(1 + docs.count() // ROWS_PER_FILE)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.keep_identified(docs)
+    return sized(language.keep_identified(docs), docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.drop_duplicates(docs)
+    return sized(exact_dedup.drop_duplicates(docs), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_duplicates(docs)
+    return sized(near_dedup.drop_near_duplicates(docs), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed(docs)
+    return sized(mixing.mixed(docs), docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: id, language, source, packed token ids, their number, and digests of the ids and of the decoded text."""
     coded = bpe.round_trip(docs, bpe.vocabulary_path(), keep=["doc_id", "lang", "source"])
-    return coded.select(
+    coded = coded.select(
         "doc_id",
         "lang",
         "source",
@@ -45,6 +53,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+    return sized(coded, docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -91,17 +91,18 @@ def plan(
     """
     body = text_of(docs, text)
     rows = docs.select(F.col(id).alias("doc_id"), F.col(source).alias("source"), words_in(body).alias("size"), F.xxhash64(body).alias("hash"))
-    rows = written(rows.withColumn("copy", _copy()).drop("hash"), "sizes")
-    goals = written(targets(rows, weights, share, repeats), "targets")
+    n = docs.count()
+    rows = written(rows.withColumn("copy", _copy()).drop("hash"), "sizes", n)
+    goals = written(targets(rows, weights, share, repeats), "targets", n)
     epoch = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
     key = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("epoch").cast("string")))
     queue = rows.where("size > 0").withColumn("epoch", epoch).withColumn("key", key)
     shuffled = [F.col("source").asc_nulls_last(), *map(F.col, ("epoch", "key", "size", "copy"))]
-    queue = with_running_sums(queue, shuffled, {"up_to": "size"})
+    queue = with_running_sums(queue, shuffled, {"up_to": "size"}, rows=repeats * n)
     finish = (F.col("up_to") - F.col("queued_before")) / F.col("target")
     same = queue["source"].eqNullSafe(goals["source"])
     queue = queue.join(goals, same).drop(goals["source"]).withColumn("finish", finish)
-    queue = with_running_sums(queue.drop("up_to"), [F.col("finish"), *shuffled], {"total": "size"})
+    queue = with_running_sums(queue.drop("up_to"), [F.col("finish"), *shuffled], {"total": "size"}, rows=repeats * n)
     took = (
         queue.where(F.col("total") <= F.col("budget"))
         .groupBy("doc_id", "copy")

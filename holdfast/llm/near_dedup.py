@@ -394,7 +394,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shi
         ]
     )
     sketches = source.withColumn("hash", F.xxhash64("text")).mapInArrow(_sketcher(shingle), schema)
-    sketches = written(sketches, "sketches")
+    sketches = written(sketches, "sketches", docs.count(), 8_000)
     classes = sketches.where("cls IS NOT NULL").groupBy("cls")
     classes = classes.agg(F.first("signature").alias("signature"), F.min("doc_id").alias("smallest"))
     classes = written(classes, "classes", sketches.count(), 30_000)
