@@ -85,9 +85,7 @@ def pr_curve(
     ``recall`` against ``false_positive_rate`` is the ROC curve.
     """
     steps = score_steps(df, label, probability, partitions)
-    totals = df.agg(
-        F.struct(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    ).scalar()
+    totals = steps.agg(F.struct(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))).scalar()
     tp, fp = F.col("true_positives"), F.col("false_positives")
     return steps.select(
         F.col("score").alias("threshold"),

@@ -144,12 +144,13 @@ def row_rule_violations(df: DataFrame, table: str, rules: dict[str, Column]) ->
     return counts.select(F.inline(entries))
 
 
-def duplicate_keys(df: DataFrame, table: str, *keys: str) -> DataFrame:
-    """Rows beyond the first for their key."""
-    extra = df.groupBy(*keys).agg((F.count("*") - 1).alias("extra"))
-    return extra.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit("duplicate_key").alias("rule"), "violations"
-    )
+def key_rule_violations(df: DataFrame, table: str, key: str, rules: dict[str, Column]) -> DataFrame:
+    """As :func:`row_rule_violations`, with the rows beyond the first of their key as ``duplicate_key``; one pass."""
+    by_key = df.groupBy(key).agg((F.count("*") - 1).alias("duplicate_key"), *[F.count_if(c).alias(name) for name, c in rules.items()])
+    names = ["duplicate_key", *rules]
+    sums = by_key.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    entries = [F.struct(F.lit(table).alias("table_name"), F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names]
+    return sums.select(F.inline(F.array(*entries)))
 
 
 def orphan_rows(df: DataFrame, table: str, key: str, parent: DataFrame) -> DataFrame:
@@ -166,9 +167,10 @@ def data_validation(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations per table and rule over the source tables."""
     customers = tables["customers"]
     checks = [
-        row_rule_violations(
+        key_rule_violations(
             customers,
             "customers",
+            "customer_id",
             {
                 "null_key": F.col("customer_id").isNull(),
                 "age_out_of_range": ~F.col("age").between(18, 100),
@@ -176,16 +178,15 @@ def data_validation(tables: dict[str, DataFrame]) -> DataFrame:
                 "negative_balance": F.col("account_balance") < 0,
             },
         ),
-        duplicate_keys(customers, "customers", "customer_id"),
-        row_rule_violations(
+        key_rule_violations(
             tables["transactions"],
             "transactions",
+            "transaction_id",
             {
                 "null_key": F.col("transaction_id").isNull() | F.col("customer_id").isNull(),
                 "amount_not_positive": F.col("transaction_amount") <= 0,
             },
         ),
-        duplicate_keys(tables["transactions"], "transactions", "transaction_id"),
         row_rule_violations(
             tables["user_events"],
             "user_events",
@@ -195,10 +196,9 @@ def data_validation(tables: dict[str, DataFrame]) -> DataFrame:
                 "unknown_type": ~F.col("event_type").isin("page_view", "click", "search", "add_to_cart"),
             },
         ),
-        row_rule_violations(
-            tables["support_tickets"], "support_tickets", {"unknown_status": ~F.col("status").isin("resolved", "open")}
+        key_rule_violations(
+            tables["support_tickets"], "support_tickets", "ticket_id", {"unknown_status": ~F.col("status").isin("resolved", "open")}
         ),
-        duplicate_keys(tables["support_tickets"], "support_tickets", "ticket_id"),
         row_rule_violations(
             tables["subscription_history"], "subscription_history", {"fee_missing": F.col("monthly_fee").isNull()}
         ),

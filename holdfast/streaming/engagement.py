@@ -65,10 +65,9 @@ def with_open_windows(
     the delay; open windows lie in the last ``window + delay``, so only that
     tail is read.
     """
-    newest, late = F.max("event_timestamp"), F.expr(f"INTERVAL {delay}")
-    in_millis = F.date_trunc("MILLISECOND", (newest - late).cast("timestamp")).cast("timestamp_ntz")
-    watermark = events.agg(in_millis).scalar()
-    tail_start = events.agg(newest - late - F.expr(f"INTERVAL {window}")).scalar()
+    sealed_to = events.agg(F.max("event_timestamp") - F.expr(f"INTERVAL {delay}")).scalar()
+    watermark = F.date_trunc("MILLISECOND", sealed_to.cast("timestamp")).cast("timestamp_ntz")
+    tail_start = sealed_to - F.expr(f"INTERVAL {window}")
     tail = events.where(F.col("event_timestamp") >= tail_start)
     still_open = windowed_counts(tail, window, delay).where(F.col("window_end") > watermark)
     return sealed.where(F.col("window_end") <= watermark).unionByName(still_open)
