@@ -19,16 +19,19 @@ from pyspark.sql import functions as F
 from holdfast.session import pinned
 
 HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 
 def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows).
+    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows and a ``HOT_KEYS``-th of all rows).
 
     Both are plans; nothing runs here. Rows per key are counted once, combined
-    on the map side, and the joins are left to the adaptive planner, which
-    broadcasts the hot keys if they prove few.
+    on the map side. There are never more than ``HOT_KEYS`` hot keys, which
+    bounds what is broadcast; any other key is a small part of the rows.
     """
-    hot = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows).select("_hot")
+    least = F.greatest(F.lit(hot_rows), df.agg(F.count("*") / HOT_KEYS).scalar())
+    counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
+    hot = F.broadcast(counts.where(F.col("_rows") > least).select("_hot"))
     # a missing key is one group as well
     same = F.col(key).eqNullSafe(F.col("_hot"))
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
