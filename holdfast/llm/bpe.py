@@ -182,6 +182,20 @@ class Vocabulary:
         return self.blob[place], np.concatenate([[0], ends])[first]
 
 
+    def texts(self, packed: list[bytes]) -> pa.Array:
+        """The texts of rows of packed ids."""
+        sizes = np.array([0, *map(len, packed)]) // 4
+        data, offsets = self.decode(np.frombuffer(b"".join(packed), "<u4"), np.cumsum(sizes))
+        raw = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(packed), [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]
+        )
+        try:
+            found = raw.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            found = pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.large_string())
+        return found.cast(pa.string())
+
+
 class _Pieces(dict):
     """Packed ids of the pieces met last."""
 
@@ -245,18 +259,8 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", keep: Sequence[str] =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(sent)
         for batch in slices(batches, "ids"):
-            packed = batch.column("ids").cast(pa.large_binary())
-            flat = np.frombuffer(b"".join(packed.to_pylist()), "<u4")
-            sizes = np.array([0, *(len(x.as_buffer()) for x in packed)]) // 4
-            data, offsets = vocabulary.decode(flat, np.cumsum(sizes))
-            raw = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(packed), [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]
-            )
-            try:
-                text = raw.cast(pa.large_string())
-            except pa.ArrowInvalid:
-                text = pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.large_string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], text.cast(pa.string())], names=[*batch.schema.names[:-1], "decoded"])
+            texts = vocabulary.texts(batch.column("ids").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*batch.schema.names[:-1], "decoded"])
 
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("decoded", T.StringType())])
     names = [F.col(f"_{k}").alias(c) for k, c in enumerate(keep)]
@@ -264,10 +268,21 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", keep: Sequence[str] =
 
 
 def round_trip(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns with ``ids``, ``n_tokens`` and ``decoded`` side by side."""
-    tokens = encode(docs, path, text, keep)
-    back = decode(tokens.withColumn("_ids", F.col("ids")), path, keep=[*keep, "_ids", "n_tokens"])
-    return back.withColumnRenamed("_ids", "ids")
+    """The ``keep`` columns with ``ids``, ``n_tokens`` and ``decoded`` side by side; both ways in one pass over the rows."""
+    sent = _send(docs, path)
+    kept = [docs[f"`{c}`"].alias(f"_{k}") for k, c in enumerate(keep)]
+    source = docs.select(*kept, text_of(docs, text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(sent)
+        for batch in slices(batches):
+            packed = [vocabulary.encode(t) for t in batch.column("text").to_pylist()]
+            columns = [*batch.columns[:-1], pa.array(packed, pa.binary()), vocabulary.texts(packed)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "ids", "decoded"])
+
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+    names = [F.col(f"_{k}").alias(c) for k, c in enumerate(keep)]
+    return source.mapInArrow(run, schema).select(*names, "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), "decoded")
 
 
 def digests(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id") -> DataFrame:
