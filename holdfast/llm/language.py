@@ -102,6 +102,10 @@ def fit(docs: DataFrame, text: str = "text", id: str = "doc_id", label: str = "l
     """Learn from labelled rows that are not held out; None if there are none."""
     known = docs.where(docs[label].isNotNull() & docs[id].isNotNull() & ~held_out(docs[id]))
     known = known.select(F.col(id).alias("id"), F.col(label).cast("string").alias("label"), F.md5(docs[id].cast("string")).alias("key"))
+    # four times the wanted rows of a label by their hash, so that no label's rows meet in one task; at most `rows` labels
+    sizes = known.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(rows)
+    share = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / 2.0**32
+    known = known.join(F.broadcast(sizes), "label").where(share * F.col("n") < 4 * rows)
     place = F.row_number().over(W.partitionBy("label").orderBy("key"))
     chosen = known.withColumn("place", place).where(F.col("place") <= rows).orderBy("place", "label").limit(rows)
     chosen = F.broadcast(chosen.select("id").distinct())  # at most `rows` ids
