@@ -44,7 +44,7 @@ def targets(sizes: DataFrame, weights: Sequence[int], share: float, repeats: int
     times all words by weight; a target stops at ``repeats`` times its source's
     words and its excess goes to the others by weight: the level at which the
     capped targets add up to the budget is found over the sources in the order in
-    which they reach their caps.
+    which they reach their caps. One row per source goes through one task.
     """
     by_name = W.orderBy(F.col("source").asc_nulls_last())
     place = F.row_number().over(by_name)
