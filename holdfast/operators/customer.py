@@ -92,28 +92,25 @@ def frequency_encoding(
     frequencies: DataFrame | None = None,
     columns: tuple[str, ...] = ENCODED,
     literal_values: int = 200,
-    broadcast_values: int = 20_000,
 ) -> DataFrame:
     """Add ``<column>_frequency``: the share of the row's value, NULL for NULL.
 
-    The lookup is read once, up to a limit. A column with few values gets them
-    as a constant map, one with more a broadcast join; beyond the limit each
-    column is a plain join that the adaptive planner may split.
+    A column of few values gets them as a constant map. One of more is joined,
+    by its own size: the adaptive planner broadcasts a small lookup and splits
+    a frequent value of a large one.
     """
     lookup = value_frequencies(df, columns) if frequencies is None else frequencies
-    rows = lookup.limit(broadcast_values + 1).collect()
-    known = len(rows) <= broadcast_values
+    sizes = {r["column"]: r["n"] for r in lookup.groupBy("column").agg(F.count("*").alias("n")).collect()}  # one row per column
+    few = [c for c in columns if sizes.get(c, 0) <= literal_values]
+    shares: dict[str, dict[str, float]] = {c: {} for c in few}
+    for r in lookup.where(F.col("column").isin(few)).collect():  # at most literal_values per column
+        shares[r["column"]][r["value"]] = r["frequency"]
     for c in columns:
         name = f"{c}_frequency"
-        shares = {r["value"]: r["frequency"] for r in rows if r["column"] == c}
-        if known and len(shares) <= literal_values:
-            constant = F.from_json(F.lit(json.dumps(shares)), "map<string,double>")
+        if c in shares:
+            constant = F.from_json(F.lit(json.dumps(shares[c])), "map<string,double>")
             df = df.withColumn(name, F.element_at(constant, F.col(c).cast("string")))
             continue
-        schema = f"_value string, {name} double"
-        if known:
-            one = F.broadcast(df.sparkSession.createDataFrame(list(shares.items()), schema))
-        else:
-            one = lookup.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("frequency").alias(name))
+        one = lookup.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("frequency").alias(name))
         df = df.join(one, df[c].cast("string") == one["_value"], "left").drop("_value")
     return df
