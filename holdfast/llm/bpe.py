@@ -20,6 +20,7 @@ empty table gives no rows; of other columns those named in ``keep`` pass through
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -34,7 +35,7 @@ from holdfast.llm.text import slices
 # fixed value: the piece pattern of byte-level vocabularies
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY_BYTES = 64 << 20  # largest vocabulary file that is sent to the tasks
-CACHED_PIECES = 120_000
+CACHED_PIECES = 250_000
 CACHED_PAIRS = 300_000
 CACHED_LENGTH = 48
 SEGMENT = 1 << 20  # characters whose pieces are held at a time
@@ -124,31 +125,36 @@ class Vocabulary:
                 for a, left_until in self._edge(left, 2)
                 for b, right_until in rights
             )
-            if len(self.compatible) >= CACHED_PAIRS:
-                self.compatible.clear()
-            self.compatible[key] = known
+            if len(self.compatible) < CACHED_PAIRS:
+                self.compatible[key] = known
         return known
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        n = len(piece)
+        n, length, shorter, known = len(piece), self.length, self.shorter, self.compatible
         longest = [-1] * n
         for end, token in self.automaton.iter(piece.decode("latin-1")):
-            longest[end + 1 - self.length[token]] = token  # later ends are longer
+            longest[end + 1 - length[token]] = token  # later ends are longer
         tokens: list[int] = []
         hopeless = bytearray(n + 1)
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < n:
-            while token >= 0 and (hopeless[at + self.length[token]] or (tokens and not self.fits(tokens[-1], token))):
-                token = self.shorter[token]
+            while token >= 0:
+                if not hopeless[at + length[token]]:
+                    if last < 0:
+                        break
+                    fits = known.get(last << 32 | token)
+                    if self.fits(last, token) if fits is None else fits:
+                        break
+                token = shorter[token]
             if token >= 0:
                 tokens.append(token)
-                at += self.length[token]
-                token = longest[at] if at < n else -1
+                at += length[token]
+                last, token = token, longest[at] if at < n else -1
             else:
                 hopeless[at] = 1
-                last = tokens.pop()
-                at -= self.length[last]
-                token = self.shorter[last]
+                token = tokens.pop()
+                at -= length[token]
+                last, token = tokens[-1] if tokens else -1, shorter[token]
         return tokens
 
     def _segments(self, text: str) -> Iterator[str]:
@@ -197,17 +203,16 @@ class Vocabulary:
 
 
 class _Pieces(dict):
-    """Packed ids of the pieces met last."""
+    """Packed ids of the first pieces met, which hold the frequent ones."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.vocabulary.encode_piece(piece.encode()), "<u4").tobytes()
-        if len(piece) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
+        ids = self.vocabulary.encode_piece(piece.encode())
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) < CACHED_PIECES and len(piece) <= CACHED_LENGTH:
             self[piece] = packed
         return packed
 
