@@ -179,17 +179,21 @@ def _between(blocked: DataFrame, known: _Cells, k: int, block_rows: int) -> Data
                     hit = batch.iloc[rows[gaps[rows, cell] - radius <= limits[rows]]]
                     if len(hit):
                         for block in range(blocks):
-                            yield hit[["group", "id", "vector"]].assign(cell=cell, block=block)
+                            yield hit[["group", "id"]].assign(cell=cell, block=block)
 
     wanted = (
         blocked.groupBy(*place)
         .applyInPandas(bound, f"{base}, bound double")
-        .mapInPandas(targets, f"{base}, cell int, block int")
+        .mapInPandas(targets, f"group {kinds['group']}, id {kinds['id']}, cell int, block int")
     )
+    # ids only are written; vectors are joined where they are compared.
     # a block asked for by very many points is copied, each copy serving some of them
     wanted = pinned(wanted, "targets")
     parts = wanted.groupBy(*place).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
     queries = wanted.join(parts, place).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    vectors = blocked.select(*[F.col(c).alias(f"_{c}") for c in ("group", "id", "vector")])
+    same = (F.col("group") == F.col("_group")) & (F.col("id") == F.col("_id"))
+    queries = queries.join(vectors, same).withColumn("vector", F.col("_vector"))
     stored = blocked.join(parts, place).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     def compare(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
