@@ -126,6 +126,7 @@ def fit(
 
 
 _JUDGED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"
+_JUDGED_TYPE = pa.struct([(f.split()[0], pa.float64() if f.endswith("double") else pa.int64()) for f in _JUDGED.split(", ")])
 
 
 def judge(docs: DataFrame, weights: np.ndarray, text: str = "text") -> Column:
@@ -134,7 +135,7 @@ def judge(docs: DataFrame, weights: np.ndarray, text: str = "text") -> Column:
 
     @F.arrow_udf(_JUDGED)
     def judged(column: pa.Array) -> pa.Array:
-        weights, parts = sent.value, []
+        weights, parts = sent.value, [pa.array([], _JUDGED_TYPE)]
         for batch in slices([pa.record_batch({"text": column})]):
             counts = base_counts(batch.column("text"))
             data, offsets = utf8(batch.column("text"))
