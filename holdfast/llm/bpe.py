@@ -35,8 +35,8 @@ from holdfast.llm.text import slices
 # fixed value: the piece pattern of byte-level vocabularies
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY_BYTES = 64 << 20  # largest vocabulary file that is sent to the tasks
-CACHED_PIECES = 250_000
-CACHED_PAIRS = 300_000
+CACHED_PIECES = 120_000
+CACHED_PAIRS = 150_000
 CACHED_LENGTH = 48
 SEGMENT = 1 << 20  # characters whose pieces are held at a time
 
