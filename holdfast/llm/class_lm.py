@@ -1,12 +1,19 @@
 """Brown class n-grams: exchange clustering of words, and smoothed scores of texts.
 
 A text is its lower-cased words and one end. Words are clustered by units: each
-of the ``FREQUENT`` most frequent words is a unit of its own, all others share a
-unit with the words whose last three bytes have the same hash, so every word, an
-unknown one too, has a class. Unit bigrams are counted over all training texts;
-their matrix has a fixed size, and exchange clustering moves unit after unit to
-the class that gives the largest likelihood of the class bigrams, until a sweep
-moves few.
+word with a count of ``AMPLE`` or more, and each of the ``FREQUENT`` most frequent
+ones, is a unit of its own; rarer words share a unit with those whose last three
+bytes have the same hash, so every word, an unknown one too, has a class.
+
+Clustering begins with the ``FREQUENT`` words and the suffix units, the other
+units counted with their suffix: their bigram matrix has a fixed size, and
+exchange moves one after the other to the class that gives the largest likelihood
+of the class bigrams, until a sweep moves few. If there are other units, they
+start in their suffix's class, and up to ``ROUNDS`` sweeps over all units follow as
+jobs: for a hashed part of the units, tasks count the classes before and after
+each and choose its best class by the class bigrams. A part whose moves, made
+together, lower the likelihood is taken back, and parts are halved. The driver
+holds the class bigrams, and of each unit its hash, count and class.
 
 A token's probability is that of its class after the class before, times that of
 the word in its class:
@@ -38,14 +45,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.llm.store import registry, text_of, written
-from holdfast.llm.text import Words, mix, slices
+from holdfast.llm.text import Words, mix, slices, utf8
 
 CLASSES = 48
 FREQUENT = 512
 SUFFIXES = 511
+AMPLE = 100  # words that occur as often are units of their own
 LOOKED_UP = 1 << 18
 PRIOR = 10.0  # K
 SWEEPS = 12
+ROUNDS, PARTS = 3, 3  # sweeps over all units, and the jobs of each
 FOLDS, HELD_OUT = 7, 2
 _FLUSH = 1 << 20  # distinct words that a task holds at a time
 
@@ -53,7 +62,9 @@ QUERIES, ORACLE, query = registry()
 
 _U = np.uint64
 END = np.int64(0x3A4D5B1E0C2F7A61)  # stands for the end among word hashes
-_UNITS = 1 + FREQUENT + SUFFIXES
+_UNITS = 1 + FREQUENT + SUFFIXES  # further units are numbered from here
+_RUN = 1024  # unit bigrams in a row of the written sequences
+_SLOTS = 2 * CLASSES + 1  # of a unit: the class after it, the class before it, itself after itself
 
 
 def suffix_groups(words: Words) -> np.ndarray:
@@ -101,7 +112,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Units(NamedTuple):
-    """The frequent words' hashes in order, and the unit of each; the end is unit 0."""
+    """Hashes, in order, of the words with units of their own, and the unit of each; the end is unit 0."""
 
     hashes: np.ndarray
     units: np.ndarray
@@ -129,12 +140,38 @@ def _before(sequence: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pair_counter(units: Units):
+def _sequencer(sent):
+    """The units of texts, each text followed by the end, as runs that begin with the last unit of the run before."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(_UNITS * _UNITS, np.int64)
+        units: Units = sent.value
         for batch in slices(batches):
-            sequence, first = units.sequence(Words(batch.column("text"), lower=True))
-            pairs, counts = np.unique(_before(sequence, first) * _UNITS + sequence, return_counts=True)
+            sequence, _ = units.sequence(Words(batch.column("text"), lower=True))
+            sequence = np.concatenate([[0], sequence]).astype(np.int32)  # the end comes before a first token
+            runs = [sequence[at : at + _RUN + 1].tobytes() for at in range(0, len(sequence) - 1, _RUN)]
+            yield pa.record_batch({"units": pa.array(runs, pa.binary())})
+
+    return run
+
+
+def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Units and the units after them, some hundred runs at a time."""
+    for batch in batches:
+        data, offsets = utf8(batch.column(0))
+        for lo in range(0, batch.num_rows, 256):
+            ends = offsets[lo : lo + 257]
+            sequence = data[ends[0] : ends[-1]].view(np.int32)
+            inside = np.ones(len(sequence), bool)
+            inside[(ends[1:] - ends[0]) // 4 - 1] = False  # the last of a run is the first of the next
+            at = np.flatnonzero(inside)
+            yield sequence[at].astype(np.int64), sequence[at + 1].astype(np.int64)
+
+
+def _pair_counter(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        home, total = sent.value, np.zeros(_UNITS * _UNITS, np.int64)
+        for unit, after in _bigrams(batches):
+            pairs, counts = np.unique(home[unit] * _UNITS + home[after], return_counts=True)
             total[pairs] += counts
         some = np.flatnonzero(total)
         yield pa.record_batch({"pair": pa.array(some, pa.int32()), "n": pa.array(total[some])})
@@ -142,10 +179,72 @@ def _pair_counter(units: Units):
     return run
 
 
+def _neighbour_counter(sent, part: int, parts: int):
+    """(key, n): for the units of one part by unit and slot, and below 0 the class bigrams of all units."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls = sent.value
+        asked = mix(np.arange(1, len(cls) + 1, dtype=_U)) % _U(parts) == _U(part)
+        asked[0] = False
+        grid = np.zeros(CLASSES * CLASSES, np.int64)
+        held, size = [], 0
+
+        def combined() -> tuple[np.ndarray, np.ndarray]:
+            if not held:
+                return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            return keys, np.bincount(at, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+
+        def batch_of(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch({"key": pa.array(keys), "n": pa.array(n)})
+
+        for unit, after in _bigrams(batches):
+            before_cls, after_cls = cls[unit].astype(np.int64), cls[after].astype(np.int64)
+            grid += np.bincount(before_cls * CLASSES + after_cls, minlength=CLASSES * CLASSES)
+            own = unit == after
+            right, left = asked[unit], asked[after] & ~own
+            keys = [unit[right] * _SLOTS + np.where(own, 2 * CLASSES, after_cls)[right], after[left] * _SLOTS + CLASSES + before_cls[left]]
+            held.append(np.unique(np.concatenate(keys), return_counts=True))
+            size += len(held[-1][0])
+            if size > 2 * _FLUSH:
+                held[:] = [combined()]
+                size = len(held[0][0])
+                if size > _FLUSH:
+                    yield batch_of(*held.pop())
+                    size = 0
+        keys, n = combined()
+        for lo in range(0, len(keys), _FLUSH >> 2):
+            yield batch_of(keys[lo : lo + (_FLUSH >> 2)], n[lo : lo + (_FLUSH >> 2)])
+        some = np.flatnonzero(grid)
+        yield batch_of(-1 - some, grid[some])
+
+    return run
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
+def _best(grid: np.ndarray, right: np.ndarray, left: np.ndarray, self_count: float, old: int) -> int:
+    """The class that a unit of class ``old`` should be in; ``grid``: class bigrams without the unit.
+
+    ``right``, ``left``: its bigrams with the classes after and before it, without those with itself.
+    """
+    rows, cols = grid.sum(1), grid.sum(0)
+    diagonal = np.arange(len(grid))
+    gain = _xlogx(grid + right[None, :]) - _xlogx(grid)
+    gain_cols = _xlogx(grid + left[:, None]) - _xlogx(grid)
+    both = grid[diagonal, diagonal]
+    total = gain.sum(1) - gain[diagonal, diagonal] + gain_cols.sum(0) - gain_cols[diagonal, diagonal]
+    total += _xlogx(both + right + left + self_count) - _xlogx(both)
+    n_right, n_left = right.sum() + self_count, left.sum() + self_count
+    total -= _xlogx(rows + n_right) - _xlogx(rows) + _xlogx(cols + n_left) - _xlogx(cols)
+    # marginals of the other classes do not depend on the choice
+    total[0] = -np.inf
+    new = int(total.argmax())
+    return new if total[new] > total[old] + 1e-9 else int(old)
+
+
 def exchange(counts: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """The class of each unit. Unit 0, the end, is class 0 alone.
 
@@ -176,20 +275,7 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -
             grid[old] -= right
             grid[:, old] -= left
             grid[old, old] -= self_count
-            rows, cols = grid.sum(1), grid.sum(0)
-            diagonal = np.arange(classes)
-            gain = _xlogx(grid + right[None, :]) - _xlogx(grid)
-            gain_cols = _xlogx(grid + left[:, None]) - _xlogx(grid)
-            both = grid[diagonal, diagonal]
-            total = gain.sum(1) - gain[diagonal, diagonal] + gain_cols.sum(0) - gain_cols[diagonal, diagonal]
-            total += _xlogx(both + right + left + self_count) - _xlogx(both)
-            n_right, n_left = right.sum() + self_count, left.sum() + self_count
-            total -= _xlogx(rows + n_right) - _xlogx(rows) + _xlogx(cols + n_left) - _xlogx(cols)
-            # marginals of the other classes do not depend on the choice
-            total[0] = -np.inf
-            new = int(total.argmax())
-            if total[new] <= total[old] + 1e-9:
-                new = int(old)
+            new = _best(grid, right, left, self_count, old)
             grid[new] += right
             grid[:, new] += left
             grid[new, new] += self_count
@@ -205,6 +291,63 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -
     return cls
 
 
+def _mover(sent, grid: np.ndarray):
+    """(unit, cls) of the units that another class suits better than their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls = sent.value
+        for batch in batches:
+            moved = []
+            for unit, slots, counts in zip(batch.column("unit").to_pylist(), batch.column("slots"), batch.column("counts")):
+                own = np.bincount(slots.values.to_numpy(), counts.values.to_numpy(), _SLOTS)
+                right, left, self_count, old = own[:CLASSES], own[CLASSES:-1], own[-1], int(cls[unit])
+                rest = grid.copy()
+                rest[old] -= right
+                rest[:, old] -= left
+                rest[old, old] -= self_count
+                new = _best(rest, right, left, self_count, old)
+                if new != old:
+                    moved.append((unit, new))
+            units, classes = zip(*moved) if moved else ((), ())
+            yield pa.record_batch({"unit": pa.array(units, pa.int64()), "cls": pa.array(classes, pa.int32())})
+
+    return run
+
+
+def likelihood(grid: np.ndarray) -> float:
+    return float(_xlogx(grid).sum() - _xlogx(grid.sum(0)).sum() - _xlogx(grid.sum(1)).sum())
+
+
+def refine(sequences: DataFrame, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sweeps over all units from the classes ``cls``: the classes found, and their bigrams."""
+    context = sequences.sparkSession.sparkContext
+    kept, grid, parts, moves = cls, None, PARTS, []
+    for step in range(ROUNDS * PARTS + 1):
+        sent = context.broadcast(cls.astype(np.int8))
+        counted = sequences.mapInArrow(_neighbour_counter(sent, step % parts, parts), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        counted = written(counted, "neighbours")
+        bigrams = _arrow(counted.where("key < 0"))  # at most classes squared
+        found = np.zeros(CLASSES * CLASSES)
+        found[-1 - bigrams.column("key").to_numpy()] = bigrams.column("n").to_numpy()
+        found = found.reshape(CLASSES, CLASSES)
+        if grid is not None and likelihood(found) < likelihood(grid):
+            cls, parts, moves = kept, 2 * parts, []
+            continue
+        kept, grid = cls, found
+        if step == ROUNDS * PARTS:
+            break
+        slots = F.struct((F.col("key") % _SLOTS).cast("int").alias("slot"), "n")
+        of_unit = counted.where("key >= 0").groupBy(F.expr(f"key div {_SLOTS}").alias("unit")).agg(F.collect_list(slots).alias("all"))  # at most _SLOTS each
+        of_unit = of_unit.select("unit", F.col("all.slot").alias("slots"), F.col("all.n").alias("counts"))
+        moved = _arrow(of_unit.mapInArrow(_mover(sent, grid), "unit long, cls int"))
+        moves.append(moved.num_rows)
+        if len(moves) >= parts and sum(moves[-parts:]) * 200 < len(cls):
+            break
+        cls = kept.copy()
+        cls[moved.column("unit").to_numpy()] = moved.column("cls").to_numpy()
+    return kept, grid
+
+
 class Model(NamedTuple):
     units: Units
     cls: np.ndarray  # class of each unit
@@ -245,41 +388,49 @@ def _least_count(words: DataFrame, most: int) -> int:
 def fit(texts: DataFrame, words: DataFrame) -> Model:
     """A model of the texts, whose words are counted in ``words``."""
     least = _least_count(words, LOOKED_UP)
-    table = _arrow(words.where(F.col("n") >= least))  # at most LOOKED_UP words
+    table = _arrow(words.where(F.col("n") >= min(least, AMPLE)))  # at most LOOKED_UP words, or all of AMPLE and more
     hashes, counts = (table.column(c).to_numpy() for c in ("hash", "n"))
     order = np.argsort(hashes)
     hashes, counts, suffix = hashes[order], counts[order], table.column("suffix").to_numpy()[order]
     ranked = np.lexsort((hashes, -counts))
-    ranked = ranked[hashes[ranked] != END][:FREQUENT]
+    ranked = ranked[hashes[ranked] != END]
+    ranked = ranked[: max(FREQUENT, int((counts[ranked] >= AMPLE).sum()))]
+    place = np.arange(len(ranked))
+    unit_of = np.zeros(len(hashes), np.int64)
+    unit_of[ranked] = np.where(place < FREQUENT, 1 + place, _UNITS + place - FREQUENT)
     chosen = np.sort(ranked)
-    rank_of = {int(h): 1 + k for k, h in enumerate(hashes[ranked])}
-    units = Units(hashes[chosen], np.array([rank_of[int(h)] for h in hashes[chosen]], np.int64))
-    pairs = texts.mapInArrow(_pair_counter(units), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    pairs = _arrow(pairs)  # at most units squared
+    units = Units(hashes[chosen], unit_of[chosen])
+    home = np.concatenate([np.arange(_UNITS), 1 + FREQUENT + suffix[ranked[FREQUENT:]]])
+    context = texts.sparkSession.sparkContext
+    sequences = written(texts.mapInArrow(_sequencer(context.broadcast(units)), "units binary"), "units")
+    pairs = sequences.mapInArrow(_pair_counter(context.broadcast(home)), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = _arrow(pairs)  # at most _UNITS squared
     bigrams = np.zeros(_UNITS * _UNITS)
     bigrams[pairs.column("pair").to_numpy()] = pairs.column("n").to_numpy()
     bigrams = bigrams.reshape(_UNITS, _UNITS)
     cls = exchange(bigrams)
-    member = np.zeros((_UNITS, CLASSES))
-    member[np.arange(_UNITS), cls] = 1
-    grid = member.T @ bigrams @ member
+    if len(home) > _UNITS:
+        cls, grid = refine(sequences, cls[home])
+    else:
+        member = np.zeros((_UNITS, CLASSES))
+        member[np.arange(_UNITS), cls] = 1
+        grid = member.T @ bigrams @ member
     share = (grid.sum(0) + 1) / (grid.sum() + CLASSES)
     follow = np.log10((grid + PRIOR * share) / (grid.sum(1, keepdims=True) + PRIOR))
     # tokens and types of each class
     groups = _arrow(words.where(F.col("hash") != int(END)).groupBy("suffix").agg(F.sum("n").alias("n"), F.count("*").alias("types")))
-    tokens, types = np.zeros(_UNITS), np.zeros(_UNITS)
+    tokens, types = np.zeros(len(cls)), np.zeros(len(cls))
     at = 1 + FREQUENT + groups.column("suffix").to_numpy()
     tokens[at], types[at] = groups.column("n").to_numpy(), groups.column("types").to_numpy()
-    for k in ranked:
-        unit = rank_of[int(hashes[k])]
-        tokens[unit], types[unit] = counts[k], 1
-        tokens[1 + FREQUENT + suffix[k]] -= counts[k]
-        types[1 + FREQUENT + suffix[k]] -= 1
-    size = member.T @ (tokens + types) + 1
+    tokens[unit_of[ranked]], types[unit_of[ranked]] = counts[ranked], 1
+    np.subtract.at(tokens, 1 + FREQUENT + suffix[ranked], counts[ranked])
+    np.subtract.at(types, 1 + FREQUENT + suffix[ranked], 1)
+    size = np.bincount(cls, tokens + types, CLASSES) + 1
     ends = counts[hashes == END].sum()
     size[0] = ends + 1  # the end is all of its class
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
-    return Model(units, cls, follow, np.log10(size), hashes, counts, total["n"], total["types"])
+    known = counts >= least
+    return Model(units, cls, follow, np.log10(size), hashes[known], counts[known], total["n"], total["types"])
 
 
 def _scorer(sent):

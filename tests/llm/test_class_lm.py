@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from holdfast.llm import class_lm as M
@@ -70,6 +71,37 @@ def test_exchange_finds_classes():
     assert cls[0] == 0 and all(len(set(cls[kinds == k])) == 1 for k in (1, 2, 3)) and len(set(cls)) == 4
 
 
+@pytest.mark.parametrize("flush", [1 << 20, 500])
+def test_words_after_the_most_frequent_are_clustered(spark, monkeypatch, flush):
+    monkeypatch.setattr(M, "AMPLE", 20)
+    monkeypatch.setattr(M, "_FLUSH", flush)
+    rng = np.random.default_rng(2)
+    # words of three kinds follow one another in turn; all end alike
+    kinds = [[f"w{3 * k + kind}ing" for k in range(250)] for kind in range(3)]
+    texts = [(" ".join(kinds[(at + k) % 3][int(rng.integers(250))] for k in range(60)),) for at in rng.integers(0, 3, 800)]
+    docs = spark.createDataFrame(texts, "text string").repartition(4)
+    model = M.fit(docs, M.word_counts(docs))
+    names = [w for kind in kinds for w in kind]
+    found = M.Words(pa.array(names))
+    units = model.units.of(found)
+    assert len(set(units.tolist())) == 750 and (units >= M._UNITS).sum() == 750 - M.FREQUENT
+    late = units >= M._UNITS
+    kind = np.repeat(np.arange(3), 250)
+    table = np.zeros((M.CLASSES, 3))
+    np.add.at(table, (model.cls[units[late]], kind[late]), 1)
+    assert table.max(1).sum() >= 0.95 * late.sum()
+
+
+def test_sequences_hold_every_bigram(spark, documents):
+    texts = documents.select("text")
+    words_ = M.word_counts(texts)
+    units = M.Units(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    sent = spark.sparkContext.broadcast(units)
+    table = pa.table({"text": [r.text for r in texts.collect()]})
+    n = sum(len(u) for u, _ in M._bigrams(M._sequencer(sent)(iter(table.to_batches()))))
+    assert n == words_.agg({"n": "sum"}).first()[0]
+
+
 def test_flushed_counts_are_the_same(documents, monkeypatch):
     whole = {(r.hash, r.n) for r in M.word_counts(documents.select("text")).collect()}
     import pyarrow as pa
