@@ -13,6 +13,15 @@ dropped that hold none of the templates' key words; key words are chosen so that
 too few bigrams of each template are free of them to reach the threshold, so
 nothing is lost. Everything is DataFrame functions; the templates are fixed.
 
+With ``windows``, licences inside a unit or over several are found too: by the
+windows of a document's words that are as long as a template, at every word, over
+the templates and the full licence texts of ``licence_texts``. Here bigrams that
+the template does not have count as often as they come, and a document that is
+shorter than the window is one. From the best on, a window is one more unit unless
+it overlaps a better one of its licence family, or the document's units have its
+licence with as good a coefficient. A document is looked at if it holds a key word
+of these templates.
+
 Cases: null and empty texts and units of fewer than two words match nothing;
 long texts are units as a whole; equal scores go to the first licence by name;
 rows that share an id share what is found in them, rows without id too; an empty
@@ -22,8 +31,11 @@ table gives no rows; other columns are not returned.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.llm.store import registry, text_of
@@ -95,13 +107,36 @@ TEMPLATES: list[tuple[str, str]] = [
 ]
 # fixed values: words too common to be key words
 COMMON = set("a above all an and any appear are as at be by can do either following for form forms free if in into is it later list may met must not of on one or other out so that the this to under use was whom with without work you 1 2 3".split())
+# fixed values: further words of licence texts that are usual elsewhere
+USUAL = COMMON | set("also been but could does each from had has have he her his how i its make more no only our own she should some such than their them then there these they those through up we were what when where which who will would your".split())
+
+
+# fixed values: notices compared with windows only
+NOTICES = [
+    (
+        name,
+        f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License "
+        f"as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version.",
+    )
+    for name, what, kind, version in [("GPL-2.0", "program", "", "2"), ("LGPL-2.1", "library", "Lesser ", "2.1"), ("LGPL-3.0", "library", "Lesser ", "3")]
+]
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the whole licences."""
+    return [(f.stem, f.read_text(encoding="utf-8")) for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
+
+
+def family(licence: Column) -> Column:
+    """BSD, GPL, CC and so on: the name up to its first hyphen; LGPL is GPL."""
+    return F.regexp_replace(F.substring_index(licence, "-", 1), "^LGPL", "GPL")
 
 
 def plain_words(text: str) -> list[str]:
     return re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
 
 
-def key_words(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
+def key_words(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, common: set[str] = COMMON) -> list[str]:
     """Words of which every unit that reaches the threshold with some template holds at least one.
 
     Such a unit shares threshold |B| / (2 - threshold) bigrams at least, so words are taken until fewer are free of them.
@@ -112,7 +147,7 @@ def key_words(templates: list[tuple[str, str]] = TEMPLATES, threshold: float = T
         bigrams = set(zip(words, words[1:]))
         least = threshold * len(bigrams) / (2 - threshold)
         while len(free := [b for b in bigrams if not keys.intersection(b)]) >= least:
-            counts = {w: sum(w in b for b in free) for b in free for w in b if w not in COMMON}
+            counts = Counter(w for b in free for w in set(b) if w not in common)
             if not counts:
                 raise ValueError(f"too few uncommon words in template {text[:40]!r}")
             keys.add(max(sorted(counts), key=counts.get))
@@ -130,10 +165,11 @@ def bigrams_of(words: Column) -> Column:
 
 
 def template_bigrams(spark: SparkSession, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """(licence, template, n_template, bigram) of the fixed templates."""
+    """(licence, template, length, n_template, bigram) of the fixed templates."""
     rows = F.array(*[F.struct(F.lit(name).alias("licence"), F.lit(k).alias("template"), F.lit(text).alias("text")) for k, (name, text) in enumerate(templates)])
-    found = spark.range(1).select(F.inline(rows)).select("licence", "template", bigrams_of(words_of(F.col("text"))).alias("bigrams"))
-    return found.select("licence", "template", F.size("bigrams").alias("n_template"), F.explode("bigrams").alias("bigram"))
+    words = words_of(F.col("text"))
+    found = spark.range(1).select(F.inline(rows)).select("licence", "template", bigrams_of(words).alias("bigrams"), (F.size(words) - 1).alias("length"))
+    return found.select("licence", "template", "length", F.size("bigrams").alias("n_template"), F.explode("bigrams").alias("bigram"))
 
 
 def units(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -161,9 +197,52 @@ def matches(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold:
     return scored.where(F.col("dice") >= threshold).groupBy("doc_id", "kind", "at", "licence").agg(F.max("dice").alias("dice"))
 
 
-def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: id, best ``licence`` (null if none), its ``dice``, all ``licences`` found, and ``n_units`` that match."""
-    hits = matches(docs, text, id, threshold).groupBy("doc_id").agg(
+def window_matches(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, kind, at, licence, dice) of the best windows of each row that overlap no better one of their licence family; ``at`` counts words."""
+    templates = TEMPLATES + NOTICES + full_texts()
+    keys = F.array(*[F.lit(w) for w in key_words(templates, threshold, USUAL)])
+    own = docs.select(F.col(id).alias("doc_id"), words_of(text_of(docs, text)).alias("words")).where(F.arrays_overlap("words", keys))
+    own = own.withColumn("n_words", F.size("words")).where("n_words > 1").withColumn("row", F.monotonically_increasing_id())
+    pairs = F.zip_with(F.slice("words", F.lit(1), F.col("n_words") - 1), F.slice("words", F.lit(2), F.col("n_words") - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    own = own.select("row", "doc_id", F.col("n_words").alias("_words"), F.posexplode(pairs).alias("pos", "bigram"))
+    wanted = template_bigrams(docs.sparkSession, templates).withColumn("code", F.xxhash64("bigram"))
+    own = own.join(F.broadcast(wanted), "bigram").select("row", "doc_id", "_words", "licence", "template", "length", "n_template", "code", "pos")  # fixed
+    # at most so many of a document's bigrams are a template's: no window of it can reach the threshold
+    seen = W.partitionBy("row", "template")
+    own = own.repartition("row", "template").withColumn("before", F.lag("pos").over(W.partitionBy("row", "template", "code").orderBy("pos")))
+    own = own.withColumn("distinct", F.count(F.when(F.col("before").isNull(), 1)).over(seen))
+    own = own.where(F.col("distinct") * (2 - threshold) >= threshold * F.col("n_template"))
+    # an occurrence is its bigram's first in the windows that begin after the one before it
+    start = F.greatest(F.lit(0), F.col("pos") - F.col("length") + 1)
+    step = lambda at, shared, hits: F.struct(at.alias("at"), F.lit(shared).alias("shared"), F.lit(hits).alias("hits"))
+    steps = F.array(step(F.greatest(start, F.coalesce(F.col("before") + 1, F.lit(0))), 1, 0), step(start, 0, 1), step(F.col("pos") + 1, -1, -1))
+    steps = own.select("row", "doc_id", "_words", "licence", "template", "length", "n_template", F.inline(steps))
+    so_far = W.partitionBy("row", "template").orderBy("at")
+    steps = steps.withColumn("shared", F.sum("shared").over(so_far)).withColumn("hits", F.sum("hits").over(so_far))
+    size = F.least("length", F.col("_words") - 1)
+    dice = 2.0 * F.col("shared") / (F.col("shared") + size - F.col("hits") + F.col("n_template"))
+    scored = steps.withColumn("dice", dice).where(F.col("dice") >= threshold)
+    ranked = F.struct((-F.col("dice")).alias("order"), (-size).alias("size"), "licence", "at")
+    scored = scored.groupBy("row", "doc_id", family(F.col("licence")).alias("family"), "at").agg(F.min(ranked).alias("best"))
+    every = scored.groupBy("row", "doc_id", "family").agg(F.sort_array(F.collect_list("best")).alias("all"))  # at most a row's words
+    apart = lambda x, y: (x["at"] >= y["at"] - y["size"]) | (y["at"] >= x["at"] - x["size"])
+    none = F.slice("all", 1, 0)
+    kept = F.aggregate("all", none, lambda held, x: F.when(F.forall(held, lambda y: apart(x, y)), F.concat(held, F.array(x))).otherwise(held))
+    found = every.select("doc_id", F.explode(kept).alias("best"))
+    return found.select("doc_id", F.lit("window").alias("kind"), "best.at", "best.licence", (-F.col("best.order")).alias("dice"))
+
+
+def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold: float = THRESHOLD, windows: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, best ``licence`` (null if none), its ``dice``, all ``licences`` found, and ``n_units`` that match.
+
+    With ``windows``, licences inside a unit or over several, and whole licence texts, are found too.
+    """
+    found = matches(docs, text, id, threshold)
+    if windows:
+        every = found.unionByName(window_matches(docs, text, id, threshold))
+        in_units = F.max(F.when(F.col("kind") != "window", F.col("dice"))).over(W.partitionBy("doc_id", "licence"))
+        found = every.withColumn("_units", in_units).where((F.col("kind") != "window") | F.col("_units").isNull() | (F.col("dice") > F.col("_units")))
+    hits = found.groupBy("doc_id").agg(
         F.min(F.struct((-F.col("dice")).alias("order"), "licence")).alias("best"),
         F.sort_array(F.collect_set("licence")).alias("licences"),
         F.count_distinct("kind", "at").alias("n_units"),
@@ -208,4 +287,4 @@ def _sql() -> str:
 
 @query(_sql())
 def op5_licence_scan(spark, sf_dir):
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), windows=True)

@@ -56,3 +56,61 @@ def test_key_words_lose_nothing():
         free = sum(keys.isdisjoint(x) for x in b)
         assert free < L.THRESHOLD * len(b) / (2 - L.THRESHOLD)
     assert not keys & L.COMMON
+
+
+def best_windows(text):
+    """(licence, place, dice) of the windows at or above the threshold that overlap no better one of their family."""
+    w = L.plain_words(text or "")
+    grams, best, kept = list(zip(w, w[1:])), {}, []
+    for name, template in L.TEMPLATES + L.NOTICES + L.full_texts():
+        b = pairs(template)
+        length = len(L.plain_words(template)) - 1
+        size = min(length, len(grams))
+        for at in range(len(grams)):
+            window = grams[at : at + length]
+            shared = len(b.intersection(window))
+            dice = 2 * shared / (shared + size - sum(g in b for g in window) + len(b))
+            key = (name.split("-")[0].replace("LGPL", "GPL"), at)
+            if dice >= L.THRESHOLD:
+                best[key] = min(best.get(key, (0, 0, "", 0)), (-dice, -size, name, at))
+    for (kin, _), x in sorted(best.items(), key=lambda item: item[1]):
+        if all(kin != k or x[3] >= y[3] - y[1] or y[3] >= x[3] - x[1] for k, y in kept):
+            kept.append((kin, x))
+    return sorted((x[2], x[3], round(-x[0], 9)) for _, x in kept)
+
+
+INSIDE = [
+    ("Copyright 2020 Foo Inc. All rights reserved.", "Proprietary"),
+    ("Released under the MIT License, see LICENSE for details.", "MIT"),
+    ("This tool was written last year and is now, as our team agreed, released under the MIT License so that others may read it.", "MIT"),
+    ("/*\n * Licensed under the Apache License,\n * Version 2.0.\n */\nint main;", "Apache-2.0"),
+]
+
+
+def test_licences_inside_units(spark):
+    short = ["BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "Unlicense"]
+    full = dict(L.full_texts())
+    rows = [*INSIDE, *[(full[k], k) for k in short], *[("Some words before it.\n\n" + full[k] + "\n\nand some after it", k) for k in short]]
+    rows += [("Licensed under CC BY 4.0.\nMore, licensed under CC BY-NC 4.0, here and licensed under CC BY-SA 4.0 there.", "CC-BY-4.0")]
+    rows += [("all rights reserved copyright x. " * 30, "Proprietary"), ("words of no licence at all", None), (None, None), ("license", None)]
+    docs = spark.createDataFrame(rows_of([t for t, _ in rows]), SCHEMA).repartition(3)
+    found = L.window_matches(docs).collect()
+    whole = {r.doc_id: r for r in L.scan(docs, windows=True).collect()}
+    assert len(whole) == len(rows)
+    for k, (text, licence) in enumerate(rows):
+        got = sorted((r.licence, r.at, round(r.dice, 9)) for r in found if r.doc_id == k)
+        assert got == best_windows(text), (k, got)
+        assert whole[k].licence == licence and (whole[k].n_units > 0) == (licence is not None), (k, whole[k])
+
+
+def test_full_licence_texts(spark):
+    rows = L.full_texts()
+    docs = spark.createDataFrame(rows_of(["file\n" + t + "\nend" for _, t in rows]), SCHEMA)
+    found = {r.doc_id: r for r in L.scan(docs, windows=True).collect()}
+    for k, (name, _) in enumerate(rows):
+        assert found[k].licence == name, (name, found[k])
+
+
+def test_windows_add_nothing_to_whole_notices(spark, documents, edges, empty):
+    assert sorted(L.scan(documents, windows=True).collect()) == sorted(L.scan(documents).collect())
+    assert L.scan(edges, windows=True).count() == edges.count() and L.scan(empty, windows=True).count() == 0
