@@ -12,6 +12,11 @@ Fitting uses at most ``TRAIN_ROWS`` labelled rows, spread evenly over the
 languages, in the order of a hash of their ids; every row is scored, on its
 whole text.
 
+The score is what a text's n-grams add to the best language's share of the learned
+rows, relative to what a sure text of it has: 0 if they say nothing or speak
+against it, 1 if sure. It does not depend on the number of languages, so texts of
+symbols and texts in languages never learned are near 0 with any number.
+
 Cases: a text that is null or has no letter is ``und`` with score 0, and so is
 every text if nothing could be learned; equal scores go to the first language in
 code point order; rows without id are never learned from; repeated rows are
@@ -36,7 +41,7 @@ RIDGE = 1e-3
 PAIR_BITS, TRIPLE_BITS = 14, 15
 FEATURES = 256 + (1 << PAIR_BITS) + (1 << TRIPLE_BITS)
 BATCH = 64
-MIN_SCORE = 0.2  # a text that shares no n-gram with any learned one scores about 1 / languages
+MIN_SCORE = 0.1  # symbols and unlearned languages stay below 0.04, with two to eight languages
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
 
@@ -142,8 +147,10 @@ def identify(docs: DataFrame, model: Classifier | None, text: str = "text") -> C
                 scores = model.scores(batch.column("text").slice(at, BATCH))
                 first = scores.argmax(1)
                 names += [model.languages[k] for k in first]
-                best.append(scores[np.arange(len(first)), first])
-        score = np.clip((1 + np.concatenate(best)) / 2, 0, 1) if best else np.zeros(0)
+                # one language alone has all rows: nothing to add
+                share = model.offset[first]
+                best.append(np.where(share < 1, (scores[np.arange(len(first)), first] - share) / np.maximum(1 - share, 1e-9), 1.0))
+        score = np.clip(np.concatenate(best), 0, 1) if best else np.zeros(0)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score.astype(float))], ["lang_pred", "score"])
 
     return F.when(body.rlike(r"\p{L}"), predict(body)).otherwise(nothing)

@@ -4,6 +4,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+import pytest
+
 from holdfast.llm import language as L
 
 
@@ -17,6 +19,23 @@ def test_held_out_accuracy(documents):
     assert L.keep_identified(documents).count() == documents.count()
 
 
+@pytest.mark.parametrize("n", [2, 4, 5, 8])
+def test_junk_and_unlearned_languages_go(spark, n):
+    rng = np.random.default_rng(n)
+    letters = [list("aeioubdfglm"), list("öäükrtsche"), list("éèçpqvntou"), list("ñóázjlera"), list("yþðæhfnr"), list("øåkgdtls"), list("ăîşţcbmu"), list("őűzsgyle")]
+    syllables = [["".join(rng.choice(l, 3)) for _ in range(12)] for l in letters]
+
+    def text(k, words):
+        return " ".join("".join(rng.choice(syllables[k], 2)) for _ in range(words))
+
+    rows = [(k * 1000 + i, text(k, 30), f"l{k}") for k in range(n) for i in range(60)]
+    short = [(10**5 + k * 10 + i, text(k, 4), None) for k in range(n) for i in range(5)]
+    gone = ["x 12345 ... !!", "#### $$$$ %%%% 123 456 w", "1234567890 -- 77", "Быстрая лиса прыгает через собаку", "中文字是一种文字", "سريع الثعلب البني يقفز فوق الكلب"]
+    docs = spark.createDataFrame(rows + short + [(10**6 + k, t, None) for k, t in enumerate(gone)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in L.keep_identified(docs).collect()}
+    assert kept == {r[0] for r in rows + short}
+
+
 def test_labels_and_ids_are_no_input_of_a_prediction(documents):
     model = L.fit(documents)
     text = documents.where("doc_id < 20")
