@@ -4,10 +4,13 @@ Events of the standard library's parser cut a page into lines, one per block
 element. A line's ratio is its characters per tag; lines in menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
 count as 0. Ratios are smoothed by a Gaussian over neighbouring lines, and lines
-at or above the standard deviation form the content cluster. The content region
-is every ``article`` or ``main`` element that holds a line of the cluster; without
-such elements it is the smallest container that holds most of the cluster's
-characters. All of a region's lines that are not boilerplate are its text, so
+at or above the standard deviation form the content cluster. A form, or a class or
+id, marks no container that holds more than half of the characters of the cluster
+that is found without such marks (nine tenths, if an ``article`` or ``main`` is
+outside of all marked ones); names of comments mark it unless it holds all.
+The content region is every ``article`` or ``main`` element that holds a line of
+the cluster, if they hold half of its characters; else it is the smallest container
+that holds most of them. All of a region's lines that are not boilerplate are its text, so
 short paragraphs between long ones are kept.
 
 Cases: null, empty and text-free pages give an empty text; unclosed, stray and
@@ -33,6 +36,8 @@ from holdfast.llm.text import slices
 SIGMA = 1.0
 RADIUS = 3
 MOST = 0.8  # share of the cluster that a smaller container must hold
+NEARLY = 0.9  # the same for marked containers beside a region
+HALF = 0.5  # share of the cluster that regions hold, and marked containers do not
 
 QUERIES, ORACLE, query = registry()
 
@@ -57,6 +62,7 @@ NAMES = set(
     "respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 ROLES = set("banner navigation complementary contentinfo search form menu menubar dialog alert".split())
+FORMS = {"form", "fieldset"}
 COMMENT_NAMES = {"comment", "comments", "reply", "replies"}
 REGIONS = {"article", "main"}
 
@@ -66,14 +72,15 @@ _KERNEL /= _KERNEL.sum()
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: text, tags, whether boilerplate, the region and the containers around."""
+    """Lines of a page: text, tags, whether boilerplate, the region, the containers and the weakly marked ones around."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int, tuple]] = []
+        self.lines: list[tuple[str, int, bool, int, tuple, tuple]] = []
         # open containers: name, boilerplate by name of element, boilerplate by attributes, region,
-        # path (that of the parent, own number)
-        self.open: list[tuple[str, bool, bool, int, tuple]] = [("", False, False, -1, ())]
+        # path (that of the parent, own number), containers marked by a name or as a form (alike)
+        self.open: list[tuple[str, bool, bool, int, tuple, tuple]] = [("", False, False, -1, (), ())]
+        self.comments: set[int] = set()  # numbers of containers with names of comments
         self.parts: list[str] = []
         self.tags = 0
         self.seen = 0
@@ -86,8 +93,8 @@ class _Lines(HTMLParser):
             text = " ".join("".join(self.parts).split())
             self.parts.clear()
             if text:
-                _, by_element, by_name, region, path = self.open[-1]
-                self.lines.append((text, max(1, self.tags), by_element or by_name, region, path))
+                _, by_element, by_attribute, region, path, marks = self.open[-1]
+                self.lines.append((text, max(1, self.tags), by_element or by_attribute, region, path, marks))
         self.tags = 0
 
     def handle_data(self, data: str) -> None:
@@ -100,15 +107,20 @@ class _Lines(HTMLParser):
         elif tag in ("br", "wbr"):
             self.parts.append(" " if tag == "br" else "")
         if tag in CONTAINERS:
-            _, by_element, by_name, region, path = self.open[-1]
+            _, by_element, by_attribute, region, path, marks = self.open[-1]
             self.seen += 1
             if tag in REGIONS:
-                names = self._names(attrs)
-                by_name = bool(names & COMMENT_NAMES) or (by_name and region >= 0)
+                by_attribute, marks = (by_attribute, marks) if region >= 0 else (False, ())
+                by_attribute = by_attribute or not COMMENT_NAMES.isdisjoint(self._names(attrs))
                 region = self.seen if region < 0 else region
             elif tag not in ("html", "body"):
-                by_name = by_name or self._marked(attrs)
-            self.open.append((tag, by_element or tag in BOILERPLATE, by_name, region, (path, self.seen)))
+                by_attribute = by_attribute or self._marked(attrs)
+                if tag in FORMS or self._named(attrs):
+                    marks = (marks, self.seen)
+                    if not COMMENT_NAMES.isdisjoint(self._names(attrs)):
+                        self.comments.add(self.seen)
+            by_element = by_element or (tag in BOILERPLATE and tag not in FORMS)
+            self.open.append((tag, by_element, by_attribute, region, (path, self.seen), marks))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -137,7 +149,28 @@ class _Lines(HTMLParser):
         found = dict(attrs)
         style = (found.get("style") or "").replace(" ", "").lower()
         hidden = "hidden" in found or (found.get("aria-hidden") or "").lower() == "true" or "display:none" in style
-        return hidden or (found.get("role") or "").lower() in ROLES or not NAMES.isdisjoint(self._names(attrs))
+        return hidden or (found.get("role") or "").lower() in ROLES - FORMS
+
+    def _named(self, attrs: list[tuple[str, str | None]]) -> bool:
+        return bool(attrs) and ((dict(attrs).get("role") or "").lower() in FORMS or not NAMES.isdisjoint(self._names(attrs)))
+
+
+def _cluster(size: np.ndarray, tags: np.ndarray, boilerplate: np.ndarray) -> np.ndarray:
+    """The lines of the content cluster."""
+    ratio = np.where(boilerplate, 0.0, size / tags)
+    smooth = np.convolve(np.pad(ratio, RADIUS, mode="edge"), _KERNEL, mode="valid")
+    return ~boilerplate & (smooth >= smooth.std())
+
+
+def _by_marks(marks: list[list[int]], weight: np.ndarray, comments: set[int], most: float) -> np.ndarray:
+    """The lines in marked containers that hold less than their mark needs to be wrong."""
+    held: dict[int, float] = {}
+    for numbers, w in zip(marks, weight):
+        for number in numbers:
+            held[number] = held.get(number, 0.0) + w
+    total = weight.sum()
+    right = {n for n, w in held.items() if (w < total or total == 0 if n in comments else w <= most * total)}
+    return np.array([not right.isdisjoint(numbers) for numbers in marks])
 
 
 def main_text(html: str) -> str:
@@ -149,18 +182,20 @@ def main_text(html: str) -> str:
     if not lines:
         return ""
     boilerplate = np.array([x[2] for x in lines])
-    size = np.array([len(x[0]) for x in lines], float)
-    ratio = np.where(boilerplate, 0.0, size / np.array([x[1] for x in lines]))
-    padded = np.pad(ratio, RADIUS, mode="edge")
-    smooth = np.convolve(padded, _KERNEL, mode="valid")
-    content = ~boilerplate & (smooth >= smooth.std())
+    size, tags = (np.array(x, float) for x in ([len(x[0]) for x in lines], [x[1] for x in lines]))
+    marks = [_unfolded(x[5]) for x in lines]
+    region = np.array([x[3] for x in lines])
+    if any(marks):
+        beside = any(r >= 0 and not m and not b for r, m, b in zip(region, marks, boilerplate))
+        boilerplate |= _by_marks(marks, np.where(_cluster(size, tags, boilerplate), size, 0.0), parser.comments, NEARLY if beside else HALF)
+    content = _cluster(size, tags, boilerplate)
     if not content.any():
         return ""
-    region = np.array([x[3] for x in lines])
-    if (region[content] >= 0).any():
+    weight = np.where(content, size, 0.0)
+    if weight[region >= 0].sum() >= HALF * weight.sum():
         chosen = np.isin(region, np.unique(region[content & (region >= 0)]))
     else:
-        chosen = _container([_unfolded(x[4]) for x in lines], np.where(content, size, 0.0))
+        chosen = _container([_unfolded(x[4]) for x in lines], weight)
     return "\n".join(x[0] for x, keep in zip(lines, chosen & ~boilerplate) if keep)
 
 

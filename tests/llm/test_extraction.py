@@ -35,6 +35,30 @@ def test_without_article_the_densest_container():
     assert X.main_text(page) == f"{body}\nShort.\n{body}"
 
 
+def test_wrappers_with_names_of_page_parts_stay():
+    body = " ".join(WORDS.split())
+    inner = f"<h1>Head</h1><p>{WORDS}</p><p>Ok.</p><p>{WORDS}</p>"
+    aside = f'<div id="sidebar"><a>no</a> {WORDS}</div>'
+    want = f"Head\n{body}\nOk.\n{body}"
+    for wrapper in ('div class="layout has-sidebar"', 'div id="social-issues"', 'div class="post has-comments"', "form id=aspnetForm method=post", 'div role="form"', "fieldset"):
+        tag = wrapper.split()[0]
+        assert X.main_text(f"<body><{wrapper}>{inner}</{tag}></body>") == want, wrapper
+        assert X.main_text(f"<body><nav>no {WORDS}</nav><{wrapper}><div>{inner}{inner}</div>{aside}</{tag}><footer>no</footer></body>") == f"{want}\n{want}", wrapper
+
+
+def test_a_teaser_article_does_not_replace_the_body():
+    body = " ".join(WORDS.split())
+    teaser = f"<section><article><h2>Next</h2><p>{WORDS[:130]}</p></article></section>"
+    page = f"<body><div><p>{WORDS}</p><p>Ok.</p>{f'<p>{WORDS}</p>' * 6}</div>{teaser}</body>"
+    assert X.main_text(page) == "\n".join([body, "Ok."] + [body] * 6)
+
+
+def test_long_comments_stay_out():
+    body = " ".join(WORDS.split())
+    comments = f'<div class="comments">{f"<p>no {WORDS}</p>" * 9}</div>'
+    assert X.main_text(f"<body><div><p>{WORDS}</p><p>{WORDS}</p></div>{comments}</body>") == f"{body}\n{body}"
+
+
 def test_broken_markup_and_edges():
     for page, want in [
         ("", ""),
