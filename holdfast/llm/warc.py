@@ -169,8 +169,9 @@ def http_of(content: bytes) -> Http | None:
         return Http(content, b"", None)
     end = min(ends) + (4 if content.startswith(b"\r\n\r\n", min(ends)) else 2)
     head = content[:end]
-    found = re.search(rb"(?im)^" + PAGE_HEADER.encode() + rb":[ \t]*(-?\d{1,18})\s*$", head)
-    return Http(head, content[end:], int(found[1]) if found else None)
+    found = re.search(rb"(?im)^" + PAGE_HEADER.encode() + rb":[ \t]*(-?\d{1,19})\s*$", head)
+    page_id = int(found[1]) if found else None
+    return Http(head, content[end:], page_id if page_id is not None and -(1 << 63) <= page_id < 1 << 63 else None)
 
 
 def sha1_32(data: bytes) -> str:

@@ -61,6 +61,16 @@ def test_small_payloads_may_repeat(spark):
     assert {r.page_id for r in pages if r.record_type == "revisit"} == {1}
 
 
+def test_page_ids_of_64_bits(spark):
+    least, most = -(1 << 63), (1 << 63) - 1
+    rows = [(i, "http://a", "same", "d", "p") for i in (least, 10**18, most, 5)]
+    pages = A.resolved(A.read_warc(spark, converted(spark, rows), payloads=False)).collect()
+    assert {r.page_id for r in pages} == {least, 10**18, most, 5}
+    assert {(r.page_id, r.record_type, r.refers_to) for r in pages if r.page_id != most} == {(i, "revisit", most) for i in (least, 10**18, 5)}
+    for text, page_id in [(str(most), most), (str(most + 1), None), (str(least), least), (str(least - 1), None), ("1" * 20, None)]:
+        assert A.http_of(f"HTTP/1.1 200 OK\r\n{A.PAGE_HEADER}: {text}\r\n\r\n".encode()).page_id == page_id
+
+
 def test_empty(spark):
     out = converted(spark, [])
     assert A.resolved(A.read_warc(spark, out, payloads=False)).count() == 0
