@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import cents, from_cents
 from holdfast.session import pinned
 
 
+def rows_hash(ts: str = "transaction_date") -> Column:
+    """A sum over rows that does not depend on their order: of hashes of all that the state is made of."""
+    parts = [F.col("customer_id"), F.col(ts), cents(F.col("transaction_amount"))]
+    return F.sum(F.xxhash64(*parts, *[p.isNull() for p in parts]).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def days_of(df: DataFrame, ts: str) -> DataFrame:
-    """Rows per calendar day; reads the one column."""
-    return df.groupBy(F.col(ts).cast("date").alias("day")).agg(F.count("*").alias("rows"))
+    """Rows per calendar day, and their hash."""
+    return df.groupBy(F.col(ts).cast("date").alias("day")).agg(F.count("*").alias("rows"), rows_hash(ts).alias("hash"))
 
 
 def touched_days(df: DataFrame, ts: str, state: DataFrame) -> DataFrame:
-    """Days whose number of rows differs from the state's: new, late and removed rows alike."""
-    known = state.groupBy("day").agg(F.sum("n").alias("_n")).withColumnRenamed("day", "_day")
+    """Days whose rows differ from the state's: new, late, removed, exchanged and corrected rows alike."""
+    known = state.groupBy("day").agg(F.sum("n").alias("_n"), F.sum("rows_hash").cast("decimal(38,0)").alias("_hash")).withColumnRenamed("day", "_day")
     both = days_of(df, ts).join(known, F.col("day").eqNullSafe(F.col("_day")), "full")
-    changed = both.where(F.coalesce("rows", F.lit(0)) != F.coalesce("_n", F.lit(0)))
-    return changed.select(F.coalesce("day", "_day").alias("day"))
+    same = (F.coalesce("rows", F.lit(0)) == F.coalesce("_n", F.lit(0))) & F.col("hash").eqNullSafe(F.col("_hash"))
+    return both.where(~same).select(F.coalesce("day", "_day").alias("day"))
 
 
 def partial_state(transactions: DataFrame) -> DataFrame:
-    """Mergeable sums per customer and day: count, sum, sum of squares, min, max, last. Whole cents, so exact."""
+    """Mergeable sums per customer and day: count, sum, sum of squares, min, max, last, hash of the rows. Whole cents, so exact."""
     c = cents(F.col("transaction_amount"))
     return transactions.groupBy("customer_id", F.col("transaction_date").cast("date").alias("day")).agg(
         F.count("*").alias("n"),
@@ -32,6 +38,7 @@ def partial_state(transactions: DataFrame) -> DataFrame:
         F.min(c).alias("min_cents"),
         F.max(c).alias("max_cents"),
         F.max("transaction_date").alias("last_transaction"),
+        rows_hash().alias("rows_hash"),
     )
 
 
@@ -68,9 +75,9 @@ def rollup_of(state: DataFrame) -> DataFrame:
 def incremental_rollup(transactions: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(new state, figures) after the days that changed are computed anew.
 
-    Rows that arrive late or share the newest instant change their day's count,
-    so their days are among them; a value changed in place is not noticed. Days
-    are few (one row per calendar day), transactions of other days are not
+    Rows that arrive late, share the newest instant, take another's place or have
+    a value corrected change their day's count or hash, so their days are among
+    them. Days are few (one row per calendar day), transactions of other days are not
     aggregated again.
     """
     days = F.broadcast(pinned(touched_days(transactions, "transaction_date", state), "days"))

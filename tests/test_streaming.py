@@ -77,3 +77,20 @@ def test_times_below_a_hundredth_are_kept(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert stream.windowed_counts(df).first()["time_spent_seconds"] == 0.036
     assert engagement.engagement_rollup(df).first()["total_time_spent"] == 0.036
+
+
+def test_incremental_notices_exchanged_and_corrected_rows(spark):
+    from datetime import datetime
+    from decimal import Decimal
+
+    schema = "customer_id long, transaction_date timestamp_ntz, transaction_amount decimal(15,2)"
+    at = lambda day, hour: datetime(2024, 1, day, hour)
+    first = [(1, at(1, 1), Decimal(5)), (2, at(1, 2), Decimal(7)), (1, at(2, 1), Decimal(9)), (2, at(3, 1), Decimal(4)), (None, at(4, 1), None)]
+    state = pinned(incremental.partial_state(spark.createDataFrame(first, schema)), "state")
+    # one row lost and a late one gained on day 1, a value corrected on day 2
+    then = [(1, at(1, 1), Decimal(5)), (3, at(1, 9), Decimal(7)), (1, at(2, 1), Decimal(8)), *first[3:]]
+    tx = spark.createDataFrame(then, schema)
+    assert {r["day"].day for r in incremental.touched_days(tx, "transaction_date", state).collect()} == {1, 2}
+    merged, figures = incremental.incremental_rollup(tx, state)
+    assert sorted(map(str, figures.collect())) == sorted(map(str, incremental.rollup_of(incremental.partial_state(tx)).collect()))
+    assert incremental.touched_days(tx, "transaction_date", merged).count() == 0
