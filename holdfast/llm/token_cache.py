@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm.bpe import VOCABULARY_BYTES, vocabulary_path
+from holdfast.llm.bpe import CACHED_LENGTH, CACHED_PIECES, PATTERN, VOCABULARY_BYTES, vocabulary_path
 from holdfast.llm.store import registry, text_of, written
 from holdfast.llm.text import slices
 from holdfast.session import scratch_path
@@ -72,24 +72,50 @@ class Tokenizer:
         self._library.no_padding()
         file = json.loads(content)
         cutter = file.get("pre_tokenizer") or {}
-        plain = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
-        special = file.get("added_tokens") or []
-        spaced = any(t["lstrip"] or t["rstrip"] or any(map(str.isspace, t["content"])) for t in special)
-        # such a vocabulary begins a piece at white space after other characters, so runs may be encoded one by one
-        self._cut = regex.compile(r"(?<=\S)\s").search if plain and not file.get("normalizer") and not spaced else None
-        self.count = self._count_json
-
-    def _count_json(self, text: str) -> int:
-        return sum(len(c) for c in self._library.encode_batch_fast(list(self._runs(text)), add_special_tokens=False))
+        byte_level = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+        added = file.get("added_tokens") or []
+        bound = any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(map(str.isspace, t["content"])) for t in added)
+        if not byte_level or file.get("normalizer") or bound:
+            self.count = lambda text: len(self._library.encode(text, add_special_tokens=False))
+            return
+        # such a vocabulary encodes each piece of the pattern by itself, and begins one at white space after other characters
+        names = sorted((t["content"] for t in added), key=len, reverse=True)
+        self._added = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        self._pieces, self._cut = regex.compile(PATTERN).findall, regex.compile(r"(?<=\S)\s").search
+        self._known = _Pieces(self._library)
+        self.count = self._count_pieces
+
+    def _count_pieces(self, text: str) -> int:
+        """Tokens of the added tokens and of the pieces of a text."""
+        parts = self._added.split(text) if self._added and self._added.search(text) else [text]
+        total = len(parts) // 2  # every second part is an added token
+        for part in parts[::2]:
+            for run in self._runs(part):
+                total += sum(map(self._known.__getitem__, self._pieces(run)))
+        return total
 
     def _runs(self, text: str) -> Iterator[str]:
         at = 0
-        while self._cut and len(text) > at + SEGMENT and (found := self._cut(text, at + SEGMENT)):
+        while len(text) > at + SEGMENT and (found := self._cut(text, at + SEGMENT)):
             yield text[at : found.start()]
             at = found.start()
         yield text[at:]
 
 
+class _Pieces(dict):
+    """Tokens of the first pieces met, which hold the frequent ones."""
+
+    def __init__(self, library) -> None:
+        super().__init__()
+        self.library = library
+
+    def __missing__(self, piece: str) -> int:
+        n = len(self.library.encode(piece, add_special_tokens=False))
+        if len(self) < CACHED_PIECES and len(piece) <= CACHED_LENGTH:
+            self[piece] = n
+        return n
+
+
 _loaded: dict[str, Tokenizer] = {}
 
 

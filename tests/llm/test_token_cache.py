@@ -85,6 +85,17 @@ def test_runs_of_a_long_text(monkeypatch):
         assert tokenizer.count(text) == library(name)(text)
 
 
+def test_every_character_and_random_pieces():
+    import random
+
+    rng, tokenizer, count = random.Random(5), C.Tokenizer("json", open(vocabulary_path(), "rb").read()), library(FILES[0])
+    characters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c} {c}{c}b" for c in characters[k : k + 64]) for k in range(0, len(characters), 64)]
+    parts = ["the", "in", "ing", " ", "  ", "\n", "'s", "aaaa", "é", "1", "!?", "<|", "<|endoftext|>", "\u00a0", "x", "中", "''"]
+    texts += ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(5000)]
+    assert all(tokenizer.count(t) == count(t) for t in texts)
+
+
 def test_empty_table_and_clashing_columns(spark, empty, edges, cache):
     assert C.token_counts(empty, cache, vocabulary_path()).count() == 0
     kept = C.token_counts(edges, cache, vocabulary_path(), keep=["hash", "doc_id", "digest", "row"])
