@@ -23,5 +23,9 @@ def test_entry(spark):
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+# fitted models have no SQL: tests/test_models.py and tests/test_boosting.py check their values
+MODELS = {"train_random_forest", "train_gbt", "train_boosting", "ensemble_score", "feature_importance", "cross_validate", "train_pipeline", "daily_run"}
+
+
+def test_every_other_query_has_sql():
+    assert set(QUERIES) - set(ORACLE) == MODELS
