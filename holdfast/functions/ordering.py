@@ -19,24 +19,28 @@ from pyspark.sql import functions as F
 from holdfast.session import pinned
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 
 
 def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows and a ``HOT_KEYS``-th of all rows).
+    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows).
 
-    Both are plans; nothing runs here. Rows per key are counted once, combined
-    on the map side. There are never more than ``HOT_KEYS`` hot keys, which
-    bounds what is broadcast; any other key is a small part of the rows.
+    Both are plans; nothing runs here. Rows per key are counted, combined on the
+    map side. Hot keys are broadcast: there are at most as many as the table has
+    ``hot_rows`` rows, a million keys for 10^12 rows.
     """
-    least = F.greatest(F.lit(hot_rows), df.agg(F.count("*") / HOT_KEYS).scalar())
     counts = df.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
-    hot = F.broadcast(counts.where(F.col("_rows") > least).select("_hot"))
+    hot = F.broadcast(counts.where(F.col("_rows") > hot_rows).select("_hot"))
     # a missing key is one group as well
     same = F.col(key).eqNullSafe(F.col("_hot"))
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
+def hot_limit(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> int | None:
+    """``hot_rows`` if some key has more rows, else None: then no plan over ``df`` needs to split keys. One count."""
+    heaviest = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return hot_rows if (heaviest or 0) > hot_rows else None
+
+
 def instants(df: DataFrame, key: str, ts: str, *extra: Column) -> DataFrame:
     """One row per distinct ``(key, ts)`` with the number of rows there; combined on the map side."""
     return df.groupBy(key, ts).agg(F.count("*").alias("n"), *extra)
@@ -68,14 +72,18 @@ def hot_instants(hot: DataFrame, key: str, ts: str, *extra: Column) -> DataFrame
     return running_max(points, key, ts, F.col(ts), "previous", include_current=False)
 
 
-def previous_instants(df: DataFrame, key: str, ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def previous_instants(df: DataFrame, key: str, ts: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """``(key, ts, n, previous)``: ``n`` rows at an instant and the key's instant before.
 
     Ordinary keys give one row per row, so ``previous`` may equal ``ts`` there.
+    No key is split where ``hot_rows`` is None.
     """
-    plain, hot = split_hot(df.where(F.col(ts).isNotNull()).select(key, ts), key, hot_rows)
+    rows = df.where(F.col(ts).isNotNull()).select(key, ts)
+    plain, hot = (rows, None) if hot_rows is None else split_hot(rows, key, hot_rows)
     before = F.lag(ts).over(W.partitionBy(key).orderBy(ts))
     out = plain.select(key, ts, F.lit(1).cast("bigint").alias("n"), before.alias("previous"))
+    if hot is None:
+        return out
     return out.unionByName(hot_instants(hot, key, ts).select(key, ts, "n", "previous"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import instant, ratio, unit_hash
+from holdfast.functions.intervals import counts_within
 from holdfast.functions.ordering import with_rank
 from holdfast.operators.scoring import BANDS, risk_filter
 from holdfast.session import bounded_broadcast
@@ -159,10 +160,11 @@ def custom_campaign_batches(
     ranked = with_rank(
         audience.select(group, "customer_id"), [F.col(group), F.col("customer_id")], "_rank", partitions
     )
-    firsts = bounded_broadcast(ranked.groupBy(group).agg(F.min("_rank").alias("_first")))
+    firsts = ranked.groupBy(F.col(group).alias("_group")).agg(F.min("_rank").alias("_first"))
+    firsts = bounded_broadcast(firsts)
     batch = F.floor((F.col("_rank") - F.col("_first")) / batch_size).cast("bigint")
     return (
-        ranked.join(firsts, group)
+        ranked.join(firsts, F.col(group).eqNullSafe(F.col("_group")))  # a missing group is one as well
         .groupBy(group, batch.alias("batch"))
         .agg(F.sort_array(F.collect_list("customer_id")).alias("customer_ids"))
         .select(
@@ -202,21 +204,16 @@ def campaign_conversion(
     """Share of triggers, by band, whose customer buys within the horizon after them.
 
     Only purchases between the first trigger and the end of the last horizon
-    are read, counted per customer and instant before the join, and counted
-    per trigger after it; a customer may have several triggers.
+    are read. A trigger's purchases are the difference of two running counts, so
+    triggers and purchases of a customer are sorted together and never paired.
     """
     horizon = F.expr(f"INTERVAL '{int(horizon_days)}' DAY")
     ts = F.col("transaction_date")
     first = results.agg(F.min("triggered_at")).scalar()
     last = results.agg(F.max("triggered_at") + horizon).scalar()
-    instants = transactions.where((ts >= first) & (ts < last)).groupBy("customer_id", ts).agg(F.count("*").alias("_n"))
-    triggers = results.select("customer_id", "triggered_at").distinct()
-    bought = (
-        instants.join(triggers, "customer_id")
-        .where((ts >= F.col("triggered_at")) & (ts < F.col("triggered_at") + horizon))
-        .groupBy("customer_id", "triggered_at")
-        .agg(F.sum("_n").alias("purchases"))
-    )
+    near = transactions.where((ts >= first) & (ts < last))
+    bought = counts_within(near, "transaction_date", results, "triggered_at", "customer_id", horizon_days)
+    bought = bought.select("customer_id", "triggered_at", F.nullif("n", F.lit(0)).alias("purchases"))
     return (
         results.join(bought, ["customer_id", "triggered_at"], "left")
         .groupBy("risk_category")

@@ -29,12 +29,13 @@ def _opens(ts: str, gap_minutes: int) -> Column:
 
 
 def sessionize_events(
-    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, hot_rows: int = HOT_ROWS
+    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """One row per session: a new one opens when the gap to the event before exceeds the limit."""
     key, ts = "customer_id", "event_timestamp"
     opened = F.when(_opens(ts, gap_minutes), F.col(ts))
-    plain, hot = split_hot(events.where(F.col(ts).isNotNull()).select(key, ts), key, hot_rows)
+    rows = events.where(F.col(ts).isNotNull()).select(key, ts)
+    plain, hot = (rows, None) if hot_rows is None else split_hot(rows, key, hot_rows)
     in_order = W.partitionBy(key).orderBy(ts)
     marked = (
         plain.withColumn("previous", F.lag(ts).over(in_order))
@@ -46,13 +47,14 @@ def sessionize_events(
             F.max("_opened").over(in_order.rowsBetween(W.unboundedPreceding, 0)).alias("session_start"),
         )
     )
-    points = running_max(hot_instants(hot, key, ts), key, ts, opened, "session_start", include_current=True)
-    marked = marked.unionByName(points.select(key, ts, "n", "session_start"))
+    if hot is not None:
+        points = running_max(hot_instants(hot, key, ts), key, ts, opened, "session_start", include_current=True)
+        marked = marked.unionByName(points.select(key, ts, "n", "session_start"))
     return marked.groupBy(key, "session_start").agg(F.max(ts).alias("session_end"), F.sum("n").alias("event_count"))
 
 
 def session_counts(
-    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, hot_rows: int = HOT_ROWS
+    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Sessions per customer: distinct given ids, else the gap rule."""
     if "session_id" in events.columns:
@@ -64,7 +66,7 @@ def session_counts(
 
 
 def engagement_rollup(
-    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, hot_rows: int = HOT_ROWS
+    events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Counts, distinct types, time and last event per customer.
 

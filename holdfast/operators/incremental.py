@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import cents, from_cents
-from holdfast.session import pinned
+from holdfast.session import bounded_broadcast, pinned
 
 
 def rows_hash(ts: str = "transaction_date") -> Column:
@@ -28,10 +28,13 @@ def touched_days(df: DataFrame, ts: str, state: DataFrame) -> DataFrame:
     return both.where(~same).select(F.coalesce("day", "_day").alias("day"))
 
 
-def partial_state(transactions: DataFrame) -> DataFrame:
-    """Mergeable sums per customer and day: count, sum, sum of squares, min, max, last, hash of the rows. Whole cents, so exact."""
+def partial_state(transactions: DataFrame, *per: str) -> DataFrame:
+    """Mergeable sums per customer and day (and ``per``): count, sum, sum of squares, min, max, last, hash of the rows.
+
+    Whole cents, so exact.
+    """
     c = cents(F.col("transaction_amount"))
-    return transactions.groupBy("customer_id", F.col("transaction_date").cast("date").alias("day")).agg(
+    return transactions.groupBy(*per, "customer_id", F.col("transaction_date").cast("date").alias("day")).agg(
         F.count("*").alias("n"),
         F.sum(c).alias("sum_cents"),
         F.sum(c.cast("decimal(18,0)") * c.cast("decimal(18,0)")).cast("decimal(38,0)").alias("sum_squares"),
@@ -42,18 +45,24 @@ def partial_state(transactions: DataFrame) -> DataFrame:
     )
 
 
-def merged_days(state: DataFrame) -> DataFrame:
-    """One state per customer from those of the days."""
-    return state.groupBy("customer_id").agg(
+def merged(state: DataFrame, *by: str) -> DataFrame:
+    """One state per ``by`` from partial ones."""
+    return state.groupBy(*by).agg(
         F.sum("n").alias("n"),
         F.sum("sum_cents").alias("sum_cents"),
         F.sum("sum_squares").cast("decimal(38,0)").alias("sum_squares"),
         F.min("min_cents").alias("min_cents"),
         F.max("max_cents").alias("max_cents"),
         F.max("last_transaction").alias("last_transaction"),
+        F.sum("rows_hash").cast("decimal(38,0)").alias("rows_hash"),
     )
 
 
+def merged_days(state: DataFrame) -> DataFrame:
+    """One state per customer from those of the days."""
+    return merged(state, "customer_id").drop("rows_hash")
+
+
 def rollup_of(state: DataFrame) -> DataFrame:
     """Lifetime figures per customer from a state by days."""
     state = merged_days(state)
@@ -77,12 +86,12 @@ def incremental_rollup(transactions: DataFrame, state: DataFrame) -> tuple[DataF
 
     Rows that arrive late, share the newest instant, take another's place or have
     a value corrected change their day's count or hash, so their days are among
-    them. Days are few (one row per calendar day), transactions of other days are not
-    aggregated again.
+    them. Transactions of other days are not aggregated again. The whole table is read
+    to find the days; where files tell what changed, :mod:`file_increments` does without.
     """
-    days = F.broadcast(pinned(touched_days(transactions, "transaction_date", state), "days"))
+    days = bounded_broadcast(pinned(touched_days(transactions, "transaction_date", state), "days"))
     day = F.col("transaction_date").cast("date")
     fresh = partial_state(transactions.join(days, day.eqNullSafe(days["day"]), "left_semi"))
     kept = state.join(days, state["day"].eqNullSafe(days["day"]), "left_anti")
-    merged = kept.unionByName(fresh)
-    return merged, rollup_of(merged)
+    both = kept.unionByName(fresh)
+    return both, rollup_of(both)

@@ -65,17 +65,19 @@ def line_features(lines: DataFrame) -> DataFrame:
     )
 
 
-def days_between_transactions(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def days_between_transactions(transactions: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Each transaction with the whole days since the customer's one before.
 
     Transactions at one instant are ordered by id, a missing id first; all but the first are 0 days apart.
     """
     key, ts, id_ = "customer_id", "transaction_date", "transaction_id"
     rows = transactions.select(key, id_, ts).where(F.col(ts).isNotNull())
-    plain, hot = split_hot(rows, key, hot_rows)
+    plain, hot = (rows, None) if hot_rows is None else split_hot(rows, key, hot_rows)
     before = F.lag(ts).over(W.partitionBy(key).orderBy(ts, id_))
     gap = elapsed_days(before, F.col(ts)).alias("days_between_transactions")
     out = plain.select(key, id_, ts, gap)
+    if hot is None:
+        return out
     points = hot_instants(hot, key, ts).select(
         F.col(key).alias("_key"),
         F.col(ts).alias("_at"),
@@ -90,7 +92,7 @@ def days_between_transactions(transactions: DataFrame, hot_rows: int = HOT_ROWS)
     return out.unionByName(split)
 
 
-def transaction_regularity(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def transaction_regularity(transactions: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Mean, sample std and variation of the days between transactions.
 
     Of a hot customer, the transactions at one instant come as one row: their

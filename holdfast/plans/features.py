@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions.columns import expressions
+from holdfast.functions.ordering import HOT_ROWS, hot_limit
 from holdfast.operators import customer, engagement, rfm, subscription, support
 from holdfast.operators import transactions as behaviour
 from holdfast.operators.rfm import LOOKBACKS
@@ -33,11 +34,15 @@ def joined_groups(
     activity_as_of: datetime | str | None = None,
     lookback_days: int = 365,
     lookbacks: tuple[int, ...] = LOOKBACKS,
+    transactions_hot: int | None = HOT_ROWS,
+    events_hot: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Profiles with every per-customer group and the columns that need only their own row.
 
     Each source is reduced to one row per customer before it is joined, so a
-    heavy customer is never joined row by row and all joins share one key.
+    heavy customer is never joined row by row and all joins share one key. A
+    customer's rows are split beyond ``transactions_hot`` and ``events_hot`` rows;
+    None says that none has as many.
     """
     activity = activity_as_of or as_of
     transactions = scan_transactions(tables["transactions"], as_of, lookback_days)
@@ -47,8 +52,8 @@ def joined_groups(
         rfm.rfm_windows(tables["transactions"], as_of, lookbacks),
         behaviour.distinct_per_customer(transactions, "payment_method", "payment_method_count"),
         behaviour.line_features(lines),
-        behaviour.transaction_regularity(transactions),
-        engagement.engagement_rollup(scan_events(tables["user_events"], activity, lookback_days)),
+        behaviour.transaction_regularity(transactions, transactions_hot),
+        engagement.engagement_rollup(scan_events(tables["user_events"], activity, lookback_days), hot_rows=events_hot),
         support.support_rollup(scan_tickets(tables["support_tickets"], activity, lookback_days)),
         subscription.latest_subscription(scan_subscription_history(tables["subscription_history"], as_of), as_of),
     ]
@@ -72,11 +77,14 @@ def build_features(
 
     The joined groups are written once; what compares a customer with all
     customers (quantile, maximum, frequencies) then reads that table instead
-    of the sources. Events and tickets may have their own as-of time.
+    of the sources. Whether a customer's rows need to be split is counted once a source. Events and tickets may have their own as-of time.
     ``tables`` may hold ``transaction_lines`` where categories, refunds and
     quantities are finer than transactions.
     """
-    wide = pinned(joined_groups(profiles, tables, as_of, activity_as_of, lookback_days, lookbacks), "features")
+    transactions = scan_transactions(tables["transactions"], as_of, lookback_days)
+    events = scan_events(tables["user_events"], activity_as_of or as_of, lookback_days)
+    hot = [hot_limit(source, "customer_id") for source in (transactions, events)]
+    wide = pinned(joined_groups(profiles, tables, as_of, activity_as_of, lookback_days, lookbacks, *hot), "features")
     top_score = wide.agg(F.max("login_frequency_score")).scalar()
     compared = wide.withColumns(
         {
