@@ -14,15 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm import bpe, exact_dedup, language, mixing, near_dedup
-from holdfast.llm.store import written
-
-
-ROWS_PER_FILE = 8_000
+from holdfast.llm.store import FILE_BYTES, text_bytes, written
 
 
 def sized(kept: DataFrame, docs: DataFrame) -> DataFrame:
-    """A stage's rows in no more files than its input's rows need, so that sparse partitions leave no tiny files."""
-    return kept.coalesce(1 + docs.count() // ROWS_PER_FILE)
+    """A stage's rows in no more files than its input's texts need, so that sparse partitions leave no tiny files."""
+    return kept.coalesce(1 + text_bytes(docs) // FILE_BYTES)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

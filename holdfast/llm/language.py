@@ -41,6 +41,7 @@ RIDGE = 1e-3
 PAIR_BITS, TRIPLE_BITS = 14, 15
 FEATURES = 256 + (1 << PAIR_BITS) + (1 << TRIPLE_BITS)
 BATCH = 64
+SLICE = 512  # bytes of packed features that the fit unpacks at a time
 MIN_SCORE = 0.1  # symbols and unlearned languages stay below 0.04, with two to eight languages
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -76,16 +77,29 @@ def _normalised(flags: np.ndarray) -> np.ndarray:
     return out
 
 
+def _slices(bits: np.ndarray):
+    """Packed rows x features, unpacked to floats, so many features at a time."""
+    for lo in range(0, bits.shape[1], SLICE):
+        yield 8 * lo, np.unpackbits(bits[:, lo : lo + SLICE], axis=1).astype(np.float32)
+
+
 class Classifier:
-    """Folded weights: features x languages, and the share of each language as offset."""
+    """Folded weights: features x languages, and the share of each language as offset.
+
+    Fitted on packed presence bits, of which a slice of features is unpacked at a time.
+    """
 
-    def __init__(self, flags: np.ndarray, labels: list[str]) -> None:
+    def __init__(self, bits: np.ndarray, labels: list[str]) -> None:
         self.languages = sorted(set(labels), key=lambda x: x.encode())
         n = len(labels)
         # rows come language after language, in a hashed order, so even steps spread over all of them
         marks = np.arange(n) if n <= LANDMARKS else np.linspace(0, n - 1, LANDMARKS).astype(int)
-        z = _normalised(flags[marks])
-        kernel = np.vstack([_normalised(flags[i : i + BATCH]) @ z.T for i in range(0, n, BATCH)]).astype(np.float64)
+        kernel, sizes = np.zeros((n, len(marks))), np.zeros(n)
+        for _, part in _slices(bits):
+            kernel += part @ part[marks].T
+            sizes += part.sum(1)
+        norms = np.sqrt(np.maximum(1, sizes))
+        kernel /= norms[:, None] * norms[marks]
         values, vectors = np.linalg.eigh(kernel[marks])
         good = values > 1e-8 * values.max()
         root = vectors[:, good] / np.sqrt(values[good])
@@ -93,7 +107,11 @@ class Classifier:
         goal = np.where(np.array(labels)[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
         self.offset = goal.mean(0)
         beta = np.linalg.solve(phi.T @ phi + RIDGE * n * np.eye(phi.shape[1]), phi.T @ (goal - self.offset))
-        self.weights = (z.T.astype(np.float64) @ (root @ beta)).astype(np.float32)
+        folded = (root @ beta) / norms[marks][:, None]
+        self.weights = np.zeros((8 * bits.shape[1], len(self.languages)), np.float32)
+        for lo, part in _slices(bits[marks]):
+            self.weights[lo : lo + part.shape[1]] = part.T @ folded
+        self.weights = self.weights[:FEATURES]
 
     def scores(self, column: pa.Array) -> np.ndarray:
         return _normalised(presence(column)) @ self.weights + self.offset
@@ -126,8 +144,8 @@ def fit(docs: DataFrame, text: str = "text", id: str = "doc_id", label: str = "l
     learned = marked.orderBy("label", F.md5("id")).limit(rows).collect()
     if not learned:
         return None
-    flags = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in learned), np.uint8)).reshape(len(learned), -1)
-    return Classifier(flags[:, :FEATURES].astype(bool), [r["label"] for r in learned])
+    bits = np.frombuffer(b"".join(r["bits"] for r in learned), np.uint8).reshape(len(learned), -1)
+    return Classifier(bits, [r["label"] for r in learned])
 
 
 def identify(docs: DataFrame, model: Classifier | None, text: str = "text") -> Column:

@@ -24,8 +24,8 @@ of these templates.
 
 Cases: null and empty texts and units of fewer than two words match nothing;
 long texts are units as a whole; equal scores go to the first licence by name;
-rows that share an id share what is found in them, rows without id too; an empty
-table gives no rows; other columns are not returned.
+what is found belongs to a row's id and text, so rows without id keep apart, and rows
+that repeat both have the same result; an empty table gives no rows; other columns are not returned.
 """
 
 from __future__ import annotations
@@ -173,40 +173,46 @@ def template_bigrams(spark: SparkSession, templates: list[tuple[str, str]] = TEM
 
 
 def units(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """(doc_id, kind, at, text): lines, paragraphs of several lines, and texts of several paragraphs."""
+    """(doc_id, key, kind, at, text), ``key`` a hash of the row's text: lines, paragraphs of several lines, and texts of several paragraphs."""
     body = text_of(docs, text)
     part = lambda kind, at, x: F.struct(F.lit(kind).alias("kind"), at.cast("int").alias("at"), x.alias("text"))
     lines = F.transform(F.split(body, "\n"), lambda x, i: part("line", i, x))
     paragraphs = F.split(body, r"\n[ \t\r]*\n")
     several = F.filter(F.transform(paragraphs, lambda x, i: part("paragraph", i, x)), lambda p: F.contains(p["text"], F.lit("\n")))
     whole = F.filter(F.array(part("text", F.lit(0), body)), lambda p: F.size(paragraphs) > 1)
-    return docs.select(F.col(id).alias("doc_id"), F.explode(F.concat(lines, several, whole)).alias("unit")).select("doc_id", "unit.*")
+    rows = docs.select(F.col(id).alias("doc_id"), F.xxhash64(body).alias("key"), F.explode(F.concat(lines, several, whole)).alias("unit"))
+    return rows.select("doc_id", "key", "unit.*")
 
 
 def matches(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, kind, at, licence, dice) of the units that reach the threshold with a template, the best template of each licence."""
+    """(doc_id, key, kind, at, licence, dice) of the units that reach the threshold with a template, the best template of each licence.
+
+    Rows that repeat an id and a text have their units in common.
+    """
     words = words_of(F.col("text"))
     keys = F.array(*[F.lit(w) for w in key_words(threshold=threshold)])
-    found = units(docs, text, id).where(F.arrays_overlap(words, keys)).select("doc_id", "kind", "at", bigrams_of(words).alias("bigrams"))
-    found = found.withColumn("n", F.size("bigrams")).select("doc_id", "kind", "at", "n", F.explode("bigrams").alias("bigram"))
+    found = units(docs, text, id).where(F.arrays_overlap(words, keys)).select("doc_id", "key", "kind", "at", bigrams_of(words).alias("bigrams"))
+    found = found.withColumn("n", F.size("bigrams")).select("doc_id", "key", "kind", "at", "n", F.explode("bigrams").alias("bigram"))
     templates = F.broadcast(template_bigrams(docs.sparkSession))  # fixed
     sizes_allow = 2 * F.least("n", "n_template") >= threshold * (F.col("n") + F.col("n_template"))
     shared = found.join(templates, "bigram").where(sizes_allow)
-    dice = (2.0 * F.count("*") / (F.col("n") + F.col("n_template"))).alias("dice")
-    scored = shared.groupBy("doc_id", "kind", "at", "licence", "template", "n", "n_template").agg(dice)
-    return scored.where(F.col("dice") >= threshold).groupBy("doc_id", "kind", "at", "licence").agg(F.max("dice").alias("dice"))
+    # at most a template's bigrams
+    dice = (2.0 * F.size(F.collect_set("bigram")) / (F.col("n") + F.col("n_template"))).alias("dice")
+    scored = shared.groupBy("doc_id", "key", "kind", "at", "licence", "template", "n", "n_template").agg(dice)
+    return scored.where(F.col("dice") >= threshold).groupBy("doc_id", "key", "kind", "at", "licence").agg(F.max("dice").alias("dice"))
 
 
 def window_matches(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, kind, at, licence, dice) of the best windows of each row that overlap no better one of their licence family; ``at`` counts words."""
+    """(doc_id, key, kind, at, licence, dice) of the best windows of each row that overlap no better one of their licence family; ``at`` counts words."""
     templates = TEMPLATES + NOTICES + full_texts()
     keys = F.array(*[F.lit(w) for w in key_words(templates, threshold, USUAL)])
-    own = docs.select(F.col(id).alias("doc_id"), words_of(text_of(docs, text)).alias("words")).where(F.arrays_overlap("words", keys))
+    body = text_of(docs, text)
+    own = docs.select(F.struct(F.col(id).alias("doc_id"), F.xxhash64(body).alias("key")).alias("of"), words_of(body).alias("words")).where(F.arrays_overlap("words", keys))
     own = own.withColumn("n_words", F.size("words")).where("n_words > 1").withColumn("row", F.monotonically_increasing_id())
     pairs = F.zip_with(F.slice("words", F.lit(1), F.col("n_words") - 1), F.slice("words", F.lit(2), F.col("n_words") - 1), lambda a, b: F.concat(a, F.lit(" "), b))
-    own = own.select("row", "doc_id", F.col("n_words").alias("_words"), F.posexplode(pairs).alias("pos", "bigram"))
+    own = own.select("row", "of", F.col("n_words").alias("_words"), F.posexplode(pairs).alias("pos", "bigram"))
     wanted = template_bigrams(docs.sparkSession, templates).withColumn("code", F.xxhash64("bigram"))
-    own = own.join(F.broadcast(wanted), "bigram").select("row", "doc_id", "_words", "licence", "template", "length", "n_template", "code", "pos")  # fixed
+    own = own.join(F.broadcast(wanted), "bigram").select("row", "of", "_words", "licence", "template", "length", "n_template", "code", "pos")  # fixed
     # at most so many of a document's bigrams are a template's: no window of it can reach the threshold
     seen = W.partitionBy("row", "template")
     own = own.repartition("row", "template").withColumn("before", F.lag("pos").over(W.partitionBy("row", "template", "code").orderBy("pos")))
@@ -216,20 +222,20 @@ def window_matches(docs: DataFrame, text: str = "text", id: str = "doc_id", thre
     start = F.greatest(F.lit(0), F.col("pos") - F.col("length") + 1)
     step = lambda at, shared, hits: F.struct(at.alias("at"), F.lit(shared).alias("shared"), F.lit(hits).alias("hits"))
     steps = F.array(step(F.greatest(start, F.coalesce(F.col("before") + 1, F.lit(0))), 1, 0), step(start, 0, 1), step(F.col("pos") + 1, -1, -1))
-    steps = own.select("row", "doc_id", "_words", "licence", "template", "length", "n_template", F.inline(steps))
+    steps = own.select("row", "of", "_words", "licence", "template", "length", "n_template", F.inline(steps))
     so_far = W.partitionBy("row", "template").orderBy("at")
     steps = steps.withColumn("shared", F.sum("shared").over(so_far)).withColumn("hits", F.sum("hits").over(so_far))
     size = F.least("length", F.col("_words") - 1)
     dice = 2.0 * F.col("shared") / (F.col("shared") + size - F.col("hits") + F.col("n_template"))
     scored = steps.withColumn("dice", dice).where(F.col("dice") >= threshold)
     ranked = F.struct((-F.col("dice")).alias("order"), (-size).alias("size"), "licence", "at")
-    scored = scored.groupBy("row", "doc_id", family(F.col("licence")).alias("family"), "at").agg(F.min(ranked).alias("best"))
-    every = scored.groupBy("row", "doc_id", "family").agg(F.sort_array(F.collect_list("best")).alias("all"))  # at most a row's words
+    scored = scored.groupBy("row", "of", family(F.col("licence")).alias("family"), "at").agg(F.min(ranked).alias("best"))
+    every = scored.groupBy("row", "of", "family").agg(F.sort_array(F.collect_list("best")).alias("all"))  # at most a row's words
     apart = lambda x, y: (x["at"] >= y["at"] - y["size"]) | (y["at"] >= x["at"] - x["size"])
     none = F.slice("all", 1, 0)
     kept = F.aggregate("all", none, lambda held, x: F.when(F.forall(held, lambda y: apart(x, y)), F.concat(held, F.array(x))).otherwise(held))
-    found = every.select("doc_id", F.explode(kept).alias("best"))
-    return found.select("doc_id", F.lit("window").alias("kind"), "best.at", "best.licence", (-F.col("best.order")).alias("dice"))
+    found = every.select("of.*", F.explode(kept).alias("best"))
+    return found.select("doc_id", "key", F.lit("window").alias("kind"), "best.at", "best.licence", (-F.col("best.order")).alias("dice"))
 
 
 def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold: float = THRESHOLD, windows: bool = False) -> DataFrame:
@@ -239,16 +245,16 @@ def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", threshold: flo
     """
     found = matches(docs, text, id, threshold)
     if windows:
-        every = found.unionByName(window_matches(docs, text, id, threshold))
-        in_units = F.max(F.when(F.col("kind") != "window", F.col("dice"))).over(W.partitionBy("doc_id", "licence"))
+        every = found.unionByName(window_matches(docs, text, id, threshold).distinct())
+        in_units = F.max(F.when(F.col("kind") != "window", F.col("dice"))).over(W.partitionBy("doc_id", "key", "licence"))
         found = every.withColumn("_units", in_units).where((F.col("kind") != "window") | F.col("_units").isNull() | (F.col("dice") > F.col("_units")))
-    hits = found.groupBy("doc_id").agg(
+    hits = found.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(
         F.min(F.struct((-F.col("dice")).alias("order"), "licence")).alias("best"),
         F.sort_array(F.collect_set("licence")).alias("licences"),
         F.count_distinct("kind", "at").alias("n_units"),
     )
-    hits = hits.withColumnRenamed("doc_id", "_id")
-    out = docs.select(F.col(id)).join(hits, F.col(id).eqNullSafe(F.col("_id")), "left")
+    rows = docs.select(F.col(id), F.xxhash64(text_of(docs, text)).alias("key"))
+    out = rows.join(hits, F.col(id).eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
     return out.select(
         id,
         F.col("best.licence").alias("licence"),

@@ -85,19 +85,24 @@ def plan(
     share: float = SHARE,
     repeats: int = REPEATS,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, copy, size, source_size, target, taken``.
+    """One row per row of ``docs``: ``doc_id, hash, copy, size, source_size, target, taken``.
 
-    ``copy`` numbers the rows that share an id; ``taken`` counts words with repeats.
+    ``copy`` numbers the rows that share an id, a text (its ``hash``) and a source; ``taken`` counts words with repeats.
     """
+    return _plan(docs, text, id, source, weights, share, repeats).drop("source")
+
+
+def _plan(docs: DataFrame, text: str, id: str, source: str, weights: Sequence[int], share: float, repeats: int) -> DataFrame:
+    """The rows of :func:`plan` with their source."""
     body = text_of(docs, text)
     rows = docs.select(F.col(id).alias("doc_id"), F.col(source).alias("source"), words_in(body).alias("size"), F.xxhash64(body).alias("hash"))
     n = docs.count()
-    rows = written(rows.withColumn("copy", _copy()).drop("hash"), "sizes", n)
+    rows = written(rows.withColumn("copy", _copy()), "sizes", n)
     goals = written(targets(rows, weights, share, repeats), "targets", n)
     epoch = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
     key = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("epoch").cast("string")))
     queue = rows.where("size > 0").withColumn("epoch", epoch).withColumn("key", key)
-    shuffled = [F.col("source").asc_nulls_last(), *map(F.col, ("epoch", "key", "size", "copy"))]
+    shuffled = [F.col("source").asc_nulls_last(), *map(F.col, ("epoch", "key", "size", "hash", "copy"))]
     queue = with_running_sums(queue, shuffled, {"up_to": "size"}, rows=repeats * n)
     finish = (F.col("up_to") - F.col("queued_before")) / F.col("target")
     same = queue["source"].eqNullSafe(goals["source"])
@@ -105,30 +110,43 @@ def plan(
     queue = with_running_sums(queue.drop("up_to"), [F.col("finish"), *shuffled], {"total": "size"}, rows=repeats * n)
     took = (
         queue.where(F.col("total") <= F.col("budget"))
-        .groupBy("doc_id", "copy")
+        .groupBy(*[F.col(c).alias(f"_{c}") for c in _ROW])
         .agg(F.sum("size").alias("taken"))
     )
-    took = took.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "taken")
-    rows = rows.join(goals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    out = rows.join(took, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy")), "left")
-    return out.select("doc_id", "copy", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    rows = rows.join(goals.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
+    out = rows.join(took, same & (F.col("hash") == F.col("_hash")) & (F.col("copy") == F.col("_copy")), "left")
+    return out.select("doc_id", "hash", "source", "copy", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+
+
+_ROW = ("doc_id", "source", "hash", "copy")
 
 
 def _copy() -> Column:
-    """Numbers rows with one id; equal rows are interchangeable."""
-    return F.row_number().over(W.partitionBy("doc_id").orderBy("size", "hash"))
+    """Numbers rows with one id, text and source; they are interchangeable."""
+    return F.row_number().over(W.partitionBy("doc_id", "hash", "source").orderBy(F.lit(0)))
 
 
-def mixed(docs: DataFrame, text: str = "text", id: str = "doc_id", **settings) -> DataFrame:
+def mixed(
+    docs: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    source: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    repeats: int = REPEATS,
+) -> DataFrame:
     """The rows of ``docs`` that the mix takes, as often as it takes them, with their own columns."""
-    body = text_of(docs, text)
-    rows = docs.select(whole_row(docs), docs[id].alias("doc_id"), words_in(body).alias("size"), F.xxhash64(body).alias("hash"))
+    rows = docs.select(whole_row(docs), docs[id].alias("doc_id"), docs[source].alias("source"), F.xxhash64(text_of(docs, text)).alias("hash"))
     rows = rows.withColumn("copy", _copy())
-    times = plan(docs, text, id, **settings).where("taken > 0")
-    times = times.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), (F.col("taken") / F.col("size")).cast("int").alias("times"))
-    # both sides lie by id alone; the copy is compared in the join without becoming a key of it
-    same = rows["doc_id"].eqNullSafe(times["_id"]) & rows["copy"].between(times["_copy"], times["_copy"])
-    return rows.join(times, same).select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+    # of interchangeable rows, how many are taken once at least, twice at least and so on; then the first ones are
+    taken = _plan(docs, text, id, source, weights, share, repeats).where("taken > 0")
+    times = (F.col("taken") / F.col("size")).cast("int")
+    upto = F.array(*[F.count_if(times >= k + 1) for k in range(repeats)]).alias("upto")
+    taken = taken.groupBy(*[F.col(c).alias(f"_{c}") for c in _ROW[:-1]]).agg(upto)
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("hash") == F.col("_hash"))
+    each = F.filter("upto", lambda n: n >= F.col("copy"))
+    return rows.join(taken, same).select("row", F.explode(each)).select("row.*")
 
 
 MIX_SQL = r"""
@@ -154,4 +172,4 @@ MIX_SQL = r"""
 
 @query("WITH" + MIX_SQL.format(docs="documents") + " SELECT * FROM m")
 def op4_fair_mixing(spark, sf_dir):
-    return plan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("copy")
+    return plan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("hash", "copy")

@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.store import registry, text_of, whole_row, written
+from holdfast.llm.store import FILE_BYTES, registry, text_bytes, text_of, whole_row, written
 from holdfast.llm.text import Words, mix, slices, windows
 
 COORDINATES = 64
@@ -46,6 +46,7 @@ SHINGLE = 5
 PERCENT = 80
 BLOCK = 512
 MAX_ROUNDS = 6
+FEW_EDGES = 200_000  # that one task unites
 
 QUERIES, ORACLE, query = registry()
 
@@ -253,14 +254,35 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over edges; the least node leads."""
+    leader: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := leader.setdefault(x, x)) != x:
+            leader[x] = x = leader[up]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            u, v = find(u), find(v)
+            leader[max(u, v)] = min(u, v)
+    nodes = list(leader)
+    yield pa.record_batch({"node": pa.array(nodes, pa.int64()), "label": pa.array([find(x) for x in nodes], pa.int64())})
+
+
 def contracted(edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each component, for the nodes that have edges ``(u, v)``.
 
-    Every round hooks each label to its least neighbour, follows the hook of that
-    one too, and carries on with the edges between different labels.
+    Few edges are united in one task. Of more, every round hooks each label to its least
+    neighbour, follows the hook of that one too, and carries on with the edges between
+    different labels.
     """
     both = edges.select("u", "v").union(edges.select("v", "u")).where("u != v").distinct()
-    nodes = 2 * edges.count()
+    n = edges.count()
+    if n <= FEW_EDGES:
+        return written(both.where("u < v").coalesce(1).mapInArrow(_united, "node long, label long"), "labels")
+    nodes = 2 * n
     edges = written(both, "edges", nodes)
     labels = edges.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct()
     while n := edges.count():
@@ -353,7 +375,10 @@ def components(texts_of, classes: DataFrame, lists: DataFrame, need: int, percen
     hot_lists = written(lists.join(hot, "token", "left_semi"), "hot", n_lists)
     met = written(suspects.select("cls").union(hot_lists.select("cls")).distinct(), "met", n_lists)
     members = met.count()
-    sets = written(texts_of(met).mapInArrow(_set_builder(shingle), "cls long, members binary"), "sets", members, 5_000)
+    size = classes.join(met, "cls", "left_semi").agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    sets = written(texts_of(met).mapInArrow(_set_builder(shingle), "cls long, members binary"), "sets", 5 * size, FILE_BYTES >> 1)
+    if sets.count() > members:  # rows that repeat an id and a text
+        sets = written(sets.dropDuplicates(["cls"]), "sets", 5 * size, FILE_BYTES >> 1)
     comps = met.withColumn("comp", F.col("cls"))
 
     def linked(suspects: DataFrame, comps: DataFrame) -> tuple[DataFrame, int]:
@@ -394,16 +419,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shi
         ]
     )
     sketches = source.withColumn("hash", F.xxhash64("text")).mapInArrow(_sketcher(shingle), schema)
-    sketches = written(sketches, "sketches", docs.count(), 8_000)
+    sketches = written(sketches, "sketches", text_bytes(docs, text), FILE_BYTES)
     classes = sketches.where("cls IS NOT NULL").groupBy("cls")
-    classes = classes.agg(F.first("signature").alias("signature"), F.min("doc_id").alias("smallest"))
+    # the least id, an absent one last, with the text it stands beside
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), "hash")).alias("least")
+    classes = classes.agg(F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"), least)
+    classes = classes.select("cls", "signature", "n_shingles", F.col("least.id").alias("smallest"), F.col("least.hash").alias("head_hash"))
     classes = written(classes, "classes", sketches.count(), 30_000)
     n = classes.count()
     lists = written(_lists(classes, need, n), "postings", n * (COORDINATES - need + 1))
 
     def texts_of(met: DataFrame) -> DataFrame:
-        ids = written(classes.join(met, "cls", "left_semi").select(F.col("smallest").alias("met")).distinct(), "ids", n)
-        return source.join(ids, F.col("doc_id").eqNullSafe(F.col("met")), "left_semi").select("text")
+        heads = classes.join(met, "cls", "left_semi").select(F.col("smallest").alias("met"), "head_hash")
+        heads = written(heads, "ids", n)
+        same = F.col("doc_id").eqNullSafe(F.col("met")) & (F.col("hash") == F.col("head_hash"))
+        return source.withColumn("hash", F.xxhash64("text")).join(heads, same, "left_semi").select("text")
 
     comps = components(texts_of, classes, lists, need, percent, shingle)
     of_class = classes.join(comps, "cls", "left").select("cls", "smallest", F.coalesce("comp", "cls").alias("comp"))
@@ -424,7 +454,9 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id"
     rows = docs.select(whole_row(docs), docs[id].alias("doc_id"), F.xxhash64(text_of(docs, text)).alias("hash"))
     rows = rows.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
     place = F.row_number().over(W.partitionBy("doc_id", "hash").orderBy(F.lit(0)))
-    return rows.withColumn("place", place).where("place = 1 OR n_shingles = 0").select("row.*")
+    # one of the rows that repeat an id and a text, which map tasks see to before the rows are dealt
+    one = rows.where("n_shingles > 0").withColumn("place", place).where("place = 1")
+    return one.select("row.*").unionByName(rows.where("n_shingles = 0").select("row.*"))
 
 
 @query()

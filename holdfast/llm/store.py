@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from holdfast.session import scratch_path
 
 
+FILE_BYTES = 32 << 20  # of text that one task of an expensive stage takes
+
+
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Bytes of all texts."""
+    return docs.agg(F.sum(F.octet_length(docs[f"`{text}`"].cast("string")))).first()[0] or 0
+
+
 def written(df: DataFrame, label: str, rows: int | None = None, per_file: int = 500_000) -> DataFrame:
     """Write ``df`` as compressed Parquet below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage and fixes row numbers and flush points; a lost executor cannot change them.
-    With a bound of its ``rows``, it has no more files (and tasks in the last stage) than that needs.
+    With a bound of its ``rows`` (or bytes), it has no more files (and tasks in the last stage) than
+    that needs at ``per_file``: rows of a fixed width are counted, rows with texts or sets go by bytes.
     """
     path = scratch_path(df.sparkSession, label)
     if rows is not None:

@@ -52,7 +52,7 @@ def test_kernel_equals_shared_ngrams():
     for a in range(4):
         for b in range(4):  # so few n-grams do not collide
             assert int((flags[a] & flags[b]).sum()) == len(grams[a] & grams[b])
-    model = L.Classifier(flags[:2], ["a", "b"])
+    model = L.Classifier(np.packbits(flags[:2], axis=1), ["a", "b"])
     z = L._normalised(flags[:2])
     assert model.weights.shape == (L.FEATURES, 2)
     # folded weights give what kernels with the landmarks give
@@ -60,6 +60,40 @@ def test_kernel_equals_shared_ngrams():
     assert np.allclose((z @ z.T) @ again, z @ model.weights, atol=1e-4)
 
 
+def test_fit_equals_kernels_on_unpacked_rows(documents, monkeypatch):
+    """Ridge regression in the landmarks' space, from whole matrices; predictions of all rows from it."""
+    rows = [r for r in documents.collect() if r.text and r.lang and r.doc_id % 2][:60]
+    texts, labels = [r.text for r in rows], [r.lang for r in rows]
+    flags = L.presence(pa.array(texts))
+    monkeypatch.setattr(L, "LANDMARKS", 20)
+    monkeypatch.setattr(L, "SLICE", 100)
+    model = L.Classifier(np.packbits(flags, axis=1), labels)
+    x = flags / np.sqrt(flags.sum(1))[:, None]
+    z = x[np.linspace(0, len(x) - 1, 20).astype(int)]
+    values, vectors = np.linalg.eigh(z @ z.T)
+    root = vectors / np.sqrt(values)
+    phi, goal = x @ z.T @ root, np.where(np.array(labels)[:, None] == np.array(sorted(set(labels))), 1.0, -1.0)
+    beta = np.linalg.solve(phi.T @ phi + L.RIDGE * len(x) * np.eye(20), phi.T @ (goal - goal.mean(0)))
+    everything = pa.array([r.text or "" for r in documents.collect()])
+    every = L.presence(everything)
+    want = (every / np.sqrt(np.maximum(1, every.sum(1)))[:, None]) @ z.T @ root @ beta + goal.mean(0)
+    got = model.scores(everything)
+    assert np.allclose(got, want, atol=1e-4)
+    clear = np.sort(want, axis=1)[:, -1] - np.sort(want, axis=1)[:, -2] > 1e-3
+    assert (got.argmax(1) == want.argmax(1))[clear].all() and clear.mean() > 0.9
+
+
+def test_fit_is_small():
+    """Two thousand rows are fitted in under 200 MB beside their bits."""
+    import tracemalloc
+
+    bits = np.random.default_rng(0).integers(0, 256, (2000, L.FEATURES // 8), dtype=np.uint8)
+    tracemalloc.start()
+    L.Classifier(bits, [f"l{k % 4}" for k in range(2000)])
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
 def test_pieces_of_a_long_text(monkeypatch):
     text = pa.array(["abcdefghij klmno" * 20])
     whole = L.presence(text)

@@ -103,6 +103,15 @@ def test_licences_inside_units(spark):
         assert whole[k].licence == licence and (whole[k].n_units > 0) == (licence is not None), (k, whole[k])
 
 
+def test_rows_that_share_an_id_keep_apart(spark):
+    mit = dict(L.TEMPLATES)["MIT"]
+    rows = rows_of([mit, "nothing at all here", mit, "words of no licence"])
+    docs = spark.createDataFrame([(7 if k > 1 else None, *r[1:]) for k, r in enumerate(rows)] * 3, SCHEMA)
+    for windows in (False, True):
+        found = sorted((r.doc_id or 0, r.licence or "", r.dice or 0.0) for r in L.scan(docs, windows=windows).collect())
+        assert found == [(0, "", 0.0)] * 3 + [(0, "MIT", 1.0)] * 3 + [(7, "", 0.0)] * 3 + [(7, "MIT", 1.0)] * 3
+
+
 def test_full_licence_texts(spark):
     rows = L.full_texts()
     docs = spark.createDataFrame(rows_of(["file\n" + t + "\nend" for _, t in rows]), SCHEMA)

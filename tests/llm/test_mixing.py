@@ -53,6 +53,23 @@ def test_edges(edges, empty):
     assert M.plan(empty).count() == 0 and M.mixed(empty).count() == 0
 
 
+def test_rows_without_id_are_linear(spark):
+    """Equal rows, rows of one id, and different texts without an id."""
+    n = 100_000
+    text = F.when(F.col("id") % 2 == 0, "the same three").otherwise(F.concat(F.lit("row "), "id"))
+    rows = spark.range(n).select(F.when(F.col("id") % 4 < 2, 5).cast("long").alias("doc_id"), text.alias("text"), F.lit("s").alias("source"))
+    plan = M.plan(rows)
+    taken = plan.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    total = 3 * (n // 2) + 2 * (n // 2)
+    assert sum(r.n for r in taken) == n and 1.5 * total - 6 <= sum(r.taken for r in taken) <= 1.5 * total
+    mixed = M.mixed(rows)
+    assert mixed.columns == rows.columns
+    words = mixed.agg(F.sum(M.words_in(F.col("text")))).first()[0]
+    assert words == sum(r.taken for r in taken)
+    most = mixed.groupBy("doc_id", "text").count().where("text LIKE 'row %'").agg(F.max("count")).first()[0]
+    assert most <= 2
+
+
 def test_sources_by_code_point_with_null_last(spark):
     rows = rows_of([(" ".join("w" * 8), "en", s) for s in ("b", "a", None, "Z", "é")] * 4)
     found = M.plan(spark.createDataFrame(rows, SCHEMA)).join(spark.createDataFrame(rows, SCHEMA).select("doc_id", "source"), "doc_id")

@@ -73,7 +73,42 @@ def test_edges(edges, empty):
     assert N.near_duplicates(empty).count() == 0 and N.drop_near_duplicates(empty).count() == 0
 
 
-def test_contracted(spark):
+def test_many_rows_without_id_or_with_one(spark):
+    """Sets are read once a class, whatever number of rows share a head's id; time grows with the rows."""
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    text = F.when(F.col("id") % 3 == 0, "a b c d e f g h i j").when(F.col("id") % 3 == 1, "a b c d e f g h i k").otherwise(F.concat_ws(" ", *[F.concat(F.lit(w), "id") for w in "xyz"]))
+    docs = spark.range(n).select(F.when(F.col("id") % 2 == 0, 7).cast("long").alias("doc_id"), text.alias("text"))
+    found = N.near_duplicates(docs, shingle=2)
+    counts = {(r.n_shingles, r.component_id): r["count"] for r in found.groupBy("n_shingles", "component_id").count().collect()}
+    assert counts[9, 7] == sum(k % 3 < 2 for k in range(n)) and sum(counts.values()) == n
+    stay = N.drop_near_duplicates(docs, shingle=2)
+    lasting = {"a b c d e f g h i j", "a b c d e f g h i k"}
+    assert stay.where(F.col("text").isin(list(lasting))).count() == 1
+
+
+def test_sets_are_distinct(spark, monkeypatch):
+    """Two classes whose heads have no id, among many rows without id."""
+    made = []
+    keep = N.written
+
+    def spy(df, label, *size):
+        out = keep(df, label, *size)
+        if label == "sets":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "written", spy)
+    texts = ["p q r s t u v w x y z", "p q r s t u v w x y a"] * 50 + [f"x{k} y{k} z{k} u{k}" for k in range(50)]
+    docs = spark.createDataFrame([(None, *r[1:]) for r in rows_of(texts)], SCHEMA)
+    N.near_duplicates(docs, shingle=2, percent=50).collect()
+    assert made[-1] == 2
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_contracted(spark, monkeypatch, few):
+    monkeypatch.setattr(N, "FEW_EDGES", few)
     rng = np.random.default_rng(3)
     path = [(k, k + 1) for k in range(200)]
     star = [(1000, 1001 + k) for k in range(100)]
