@@ -7,7 +7,8 @@ count as 0. Ratios are smoothed by a Gaussian over neighbouring lines, and lines
 at or above the standard deviation form the content cluster. A form, or a class or
 id, marks no container that holds more than half of the characters of the cluster
 that is found without such marks (nine tenths, if an ``article`` or ``main`` is
-outside of all marked ones); names of comments mark it unless it holds all.
+outside of all marked ones); names of comments mark it unless it holds all, and a
+name beside an unusual word ("related-work") marks only what has no line of prose.
 The content region is every ``article`` or ``main`` element that holds a line of
 the cluster, if they hold half of its characters; else it is the smallest container
 that holds most of them. All of a region's lines that are not boilerplate are its text, so
@@ -15,7 +16,8 @@ short paragraphs between long ones are kept.
 
 Cases: null, empty and text-free pages give an empty text; unclosed, stray and
 nested tags and broken markup are read as far as they go, an unclosed element
-ends with its parent; white space in a block becomes one space and blocks are
+ends with its parent, a comment without an end at the next ``>``; work is linear in a
+page, however deep; white space in a block becomes one space and blocks are
 joined by one line break; repeated rows are extracted alike; an empty table
 gives no rows; columns of the pages are untouched by :func:`extract`.
 """
@@ -65,6 +67,14 @@ ROLES = set("banner navigation complementary contentinfo search form menu menuba
 FORMS = {"form", "fieldset"}
 COMMENT_NAMES = {"comment", "comments", "reply", "replies"}
 REGIONS = {"article", "main"}
+# words that go with a name of a page part; beside others ("related-work") the name may be a topic
+GENERIC = set(
+    "area articles bar block bottom box btn button card center col column container content footer global group header holder "
+    "home inner item items js layout left links list main micro outer page panel placeholder posts primary region right row "
+    "secondary section site slot stories top unit wrap wrapper zone".split()
+)
+_PLAIN, _NAMED, _COMMENTS, _TOPIC = range(4)  # marks of containers
+PROSE, PROSE_RATIO = 80, 40.0  # characters of a line of prose, and those for each tag
 
 _NAME = re.compile(r"[A-Za-z0-9]+")
 _KERNEL = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
@@ -72,18 +82,33 @@ _KERNEL /= _KERNEL.sum()
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: text, tags, whether boilerplate, the region, the containers and the weakly marked ones around."""
+    """Lines of a page: text, tags, whether boilerplate, the region and the container around; and the tree of containers."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int, tuple, tuple]] = []
-        # open containers: name, boilerplate by name of element, boilerplate by attributes, region,
-        # path (that of the parent, own number), containers marked by a name or as a form (alike)
-        self.open: list[tuple[str, bool, bool, int, tuple, tuple]] = [("", False, False, -1, (), ())]
-        self.comments: set[int] = set()  # numbers of containers with names of comments
+        self.lines: list[tuple[str, int, bool, int, int]] = []
+        # open containers: name, boilerplate by name of element, boilerplate by attributes, region, number
+        self.open: list[tuple[str, bool, bool, int, int]] = [("", False, False, -1, 0)]
+        self.named: list[dict[str, int]] = [{}]  # open containers by name, inside each open region
+        self.wide = dict.fromkeys((*REGIONS, "html", "body"), 0)  # open ones that an end tag closes across regions
+        # by number, the page being 0: the container around, the same but 0 for a region, and the kind of mark
+        self.parent, self.marks_above, self.mark = [0], [0], [_PLAIN]
         self.parts: list[str] = []
         self.tags = 0
-        self.seen = 0
+        self.closing = self.unclosed = False
+
+    def close(self) -> None:
+        self.closing = True
+        super().close()
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """A comment without an end hides what goes before the next ``>``; ends are looked for once."""
+        end = -1 if self.unclosed else super().parse_comment(i, report)
+        if end < 0:
+            self.unclosed = True
+            if self.closing:
+                end = 1 + self.rawdata.find(">", i + 4) or len(self.rawdata)
+        return end
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)
@@ -93,8 +118,8 @@ class _Lines(HTMLParser):
             text = " ".join("".join(self.parts).split())
             self.parts.clear()
             if text:
-                _, by_element, by_attribute, region, path, marks = self.open[-1]
-                self.lines.append((text, max(1, self.tags), by_element or by_attribute, region, path, marks))
+                _, by_element, by_attribute, region, number = self.open[-1]
+                self.lines.append((text, max(1, self.tags), by_element or by_attribute, region, number))
         self.tags = 0
 
     def handle_data(self, data: str) -> None:
@@ -107,20 +132,25 @@ class _Lines(HTMLParser):
         elif tag in ("br", "wbr"):
             self.parts.append(" " if tag == "br" else "")
         if tag in CONTAINERS:
-            _, by_element, by_attribute, region, path, marks = self.open[-1]
-            self.seen += 1
+            _, by_element, by_attribute, region, above = self.open[-1]
+            number, mark, marks_above = len(self.parent), _PLAIN, above
             if tag in REGIONS:
-                by_attribute, marks = (by_attribute, marks) if region >= 0 else (False, ())
+                if region < 0:
+                    by_attribute, marks_above = False, 0
                 by_attribute = by_attribute or not COMMENT_NAMES.isdisjoint(self._names(attrs))
-                region = self.seen if region < 0 else region
+                region = number if region < 0 else region
             elif tag not in ("html", "body"):
                 by_attribute = by_attribute or self._marked(attrs)
-                if tag in FORMS or self._named(attrs):
-                    marks = (marks, self.seen)
-                    if not COMMENT_NAMES.isdisjoint(self._names(attrs)):
-                        self.comments.add(self.seen)
+                mark = _NAMED if tag in FORMS else self._kind(attrs)
             by_element = by_element or (tag in BOILERPLATE and tag not in FORMS)
-            self.open.append((tag, by_element, by_attribute, region, (path, self.seen), marks))
+            self.parent.append(above), self.marks_above.append(marks_above), self.mark.append(mark)
+            if tag in self.wide:
+                self.wide[tag] += 1
+            else:
+                self.named[-1][tag] = self.named[-1].get(tag, 0) + 1
+            if tag in REGIONS:
+                self.named.append({})
+            self.open.append((tag, by_element, by_attribute, region, number))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -132,12 +162,17 @@ class _Lines(HTMLParser):
         if tag in BLOCKS or tag in CONTAINERS:
             self.flush()
         if tag in CONTAINERS:
-            for k in range(len(self.open) - 1, 0, -1):
-                if self.open[k][0] == tag:
-                    del self.open[k:]
-                    break
-                if self.open[k][0] in REGIONS and tag not in ("html", "body", *REGIONS):
-                    break  # a stray end tag does not close the region around it
+            # a stray end tag closes nothing, and not the region around it
+            is_open = self.wide[tag] if tag in self.wide else self.named[-1].get(tag)
+            while is_open:
+                name = self.open.pop()[0]
+                if name in REGIONS:
+                    self.named.pop()
+                if name in self.wide:
+                    self.wide[name] -= 1
+                else:
+                    self.named[-1][name] -= 1
+                is_open = name != tag
 
     @staticmethod
     def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
@@ -151,8 +186,22 @@ class _Lines(HTMLParser):
         hidden = "hidden" in found or (found.get("aria-hidden") or "").lower() == "true" or "display:none" in style
         return hidden or (found.get("role") or "").lower() in ROLES - FORMS
 
-    def _named(self, attrs: list[tuple[str, str | None]]) -> bool:
-        return bool(attrs) and ((dict(attrs).get("role") or "").lower() in FORMS or not NAMES.isdisjoint(self._names(attrs)))
+    def _kind(self, attrs: list[tuple[str, str | None]]) -> int:
+        """How a container is marked by its class, id or role."""
+        if not attrs:
+            return _PLAIN
+        if not COMMENT_NAMES.isdisjoint(names := self._names(attrs)):
+            return _COMMENTS
+        if (dict(attrs).get("role") or "").lower() in FORMS:
+            return _NAMED
+        if NAMES.isdisjoint(names):
+            return _PLAIN
+        for key, value in attrs:
+            for word in (value or "").lower().split() if key in ("class", "id") else ():
+                parts = set(_NAME.findall(word))
+                if not NAMES.isdisjoint(parts) and parts <= NAMES | GENERIC:
+                    return _NAMED
+        return _TOPIC
 
 
 def _cluster(size: np.ndarray, tags: np.ndarray, boilerplate: np.ndarray) -> np.ndarray:
@@ -162,32 +211,50 @@ def _cluster(size: np.ndarray, tags: np.ndarray, boilerplate: np.ndarray) -> np.
     return ~boilerplate & (smooth >= smooth.std())
 
 
-def _by_marks(marks: list[list[int]], weight: np.ndarray, comments: set[int], most: float) -> np.ndarray:
+def _under(weight: np.ndarray, number: np.ndarray, parent: list[int]) -> np.ndarray:
+    """The weight of the lines in each container and all below it; containers come after those around them."""
+    held = np.bincount(number, weight, len(parent)).tolist()
+    for k in range(len(parent) - 1, 0, -1):
+        held[parent[k]] += held[k]
+    return np.array(held)
+
+
+def _below(chosen: np.ndarray, parent: list[int]) -> np.ndarray:
+    """Whether each container is one of those chosen or inside one."""
+    inside = chosen.tolist()
+    for k in range(1, len(parent)):
+        inside[k] = inside[k] or inside[parent[k]]
+    return np.array(inside)
+
+
+def _by_marks(page: _Lines, number: np.ndarray, weight: np.ndarray, prose: np.ndarray, most: float) -> np.ndarray:
     """The lines in marked containers that hold less than their mark needs to be wrong."""
-    held: dict[int, float] = {}
-    for numbers, w in zip(marks, weight):
-        for number in numbers:
-            held[number] = held.get(number, 0.0) + w
-    total = weight.sum()
-    right = {n for n, w in held.items() if (w < total or total == 0 if n in comments else w <= most * total)}
-    return np.array([not right.isdisjoint(numbers) for numbers in marks])
+    mark, total = np.array(page.mark), weight.sum()
+    held = _under(weight, number, page.marks_above)
+    right = (mark != _PLAIN) & (held <= most * total)
+    right = np.where(mark == _COMMENTS, (held < total) | (total == 0), right)
+    # a topic's name marks what has no prose
+    right &= (mark != _TOPIC) | (_under(prose.astype(float), number, page.marks_above) == 0)
+    return _below(right, page.marks_above)[number]
 
 
 def main_text(html: str) -> str:
-    parser = _Lines()
-    parser.feed(html)
-    parser.close()
-    parser.flush()
-    lines = parser.lines
+    page = _Lines()
+    page.feed(html)
+    page.close()
+    page.flush()
+    lines = page.lines
     if not lines:
         return ""
     boilerplate = np.array([x[2] for x in lines])
     size, tags = (np.array(x, float) for x in ([len(x[0]) for x in lines], [x[1] for x in lines]))
-    marks = [_unfolded(x[5]) for x in lines]
-    region = np.array([x[3] for x in lines])
-    if any(marks):
-        beside = any(r >= 0 and not m and not b for r, m, b in zip(region, marks, boilerplate))
-        boilerplate |= _by_marks(marks, np.where(_cluster(size, tags, boilerplate), size, 0.0), parser.comments, NEARLY if beside else HALF)
+    region, number = (np.array([x[k] for x in lines]) for k in (3, 4))
+    marked = _below(np.array(page.mark) != _PLAIN, page.marks_above)[number]
+    if marked.any():
+        beside = bool(((region >= 0) & ~marked & ~boilerplate).any())
+        weight = np.where(_cluster(size, tags, boilerplate), size, 0.0)
+        prose = ~boilerplate & (size >= PROSE) & (size >= PROSE_RATIO * tags)
+        boilerplate |= _by_marks(page, number, weight, prose, NEARLY if beside else HALF)
     content = _cluster(size, tags, boilerplate)
     if not content.any():
         return ""
@@ -195,33 +262,12 @@ def main_text(html: str) -> str:
     if weight[region >= 0].sum() >= HALF * weight.sum():
         chosen = np.isin(region, np.unique(region[content & (region >= 0)]))
     else:
-        chosen = _container([_unfolded(x[4]) for x in lines], weight)
+        # those with most of the weight lie one in another, the smallest last
+        most = np.flatnonzero(_under(weight, number, page.parent) >= MOST * weight.sum())
+        chosen = _below(np.arange(len(page.parent)) == most[-1], page.parent)[number]
     return "\n".join(x[0] for x, keep in zip(lines, chosen & ~boilerplate) if keep)
 
 
-def _unfolded(path: tuple) -> list[int]:
-    out = []
-    while path:
-        path, number = path
-        out.append(number)
-    return out[::-1]
-
-
-def _container(paths: list[list[int]], weight: np.ndarray) -> np.ndarray:
-    """The lines below the smallest container that holds most of the weight."""
-    inside, depth, total = np.ones(len(paths), bool), 0, weight.sum()
-    while True:
-        by_child: dict[int, float] = {}
-        for k in np.flatnonzero(inside & (weight > 0)):
-            if len(paths[k]) > depth:
-                by_child[paths[k][depth]] = by_child.get(paths[k][depth], 0.0) + weight[k]
-        best = max(by_child, key=by_child.get, default=None)
-        if best is None or by_child[best] < MOST * total:
-            return inside
-        inside &= np.array([len(p) > depth and p[depth] == best for p in paths])
-        depth += 1
-
-
 def _extracted(column: pa.Array) -> pa.Array:
     texts = []
     for batch in slices([pa.record_batch({"text": column})]):

@@ -1,6 +1,8 @@
 import html
 import re
 
+import numpy as np
+
 from holdfast.llm import extraction as X
 
 WORDS = "Something that is said about the matter at hand, in a sentence. " * 4
@@ -81,3 +83,60 @@ def test_null_and_clashing_columns(spark):
     found = pages.select("*", X.extract(pages).alias("extracted")).collect()
     assert [r.extracted.n_chars for r in found] == [0, 0, len(WORDS.strip())] and found[0].text == "x"
     assert pages.limit(0).select(X.extract(pages)).count() == 0
+
+
+LONG = "Long words go on here and there. " * 9
+
+
+def test_topics_in_names_stay():
+    related = "Other authors wrote of it at length and well. " * 4
+    recipes = "Take butter and flour and sugar, then stir it all. " * 3
+    banner = "We use cookies on this site to make it all better for you and for us, so please accept them now."
+    page = (
+        f'<article><p>{LONG}</p><div class="related-work"><p>{related}</p></div><div id="cookie-recipes"><p>{recipes}</p></div>'
+        f'<div class="cookie-banner">{banner}</div><div class="related-posts"><a href="/a">One</a> <a href="/b">Two</a></div></article>'
+    )
+    assert X.main_text(page) == "\n".join(t.strip() for t in (LONG, related, recipes))
+
+
+def test_large_broken_pages_are_linear():
+    import time
+
+    began = time.time()
+    deep = X.main_text("<div><p>word " * 160_000)
+    assert deep.count("word") == 128_000  # the smallest container with most of the lines
+    assert X.main_text("<!--" * 500_000) == ""
+    assert X.main_text("<div>" * 100_000 + "</table></main>" * 50_000 + "text here") == "text here"
+    assert X.main_text("<article><div>" * 50_000 + "</section>x" * 50_000 + "</main>").count("x") == 50_000
+    assert time.time() - began < 40
+
+
+def test_comments_without_an_end():
+    assert X.main_text(f"<p>{LONG}</p><!-- hidden > <p>{LONG}</p>") == "\n".join([LONG.strip()] * 2)
+    assert X.main_text(f"<p>{LONG}</p><!-- all hidden") == LONG.strip()
+    assert X.main_text(f"<p>{LONG}</p><!-- a --><p>{LONG}</p><!-- b") == "\n".join([LONG.strip()] * 2)
+    assert X.main_text(f"<script><!-- x </script><p>{LONG}</p>") == LONG.strip()
+
+
+def test_cluster_equals_its_definition():
+    """Ratios, the Gaussian and the threshold, computed line by line; a page without regions keeps the lines of its densest container."""
+    import math
+    import random
+
+    rng = random.Random(2)
+    for _ in range(50):
+        n = rng.randrange(1, 30)
+        size, tags = [rng.randrange(1, 400) for _ in range(n)], [rng.randrange(1, 9) for _ in range(n)]
+        boiler = [rng.random() < 0.3 for _ in range(n)]
+        ratio = [0.0 if b else s / t for s, t, b in zip(size, tags, boiler)]
+        weights = [math.exp(-0.5 * (k / X.SIGMA) ** 2) for k in range(-X.RADIUS, X.RADIUS + 1)]
+        at = lambda i: ratio[min(max(i, 0), n - 1)]
+        smooth = [sum(w * at(i + k) for w, k in zip(weights, range(-X.RADIUS, X.RADIUS + 1))) / sum(weights) for i in range(n)]
+        mean = sum(smooth) / n
+        limit = math.sqrt(sum((x - mean) ** 2 for x in smooth) / n)
+        got = X._cluster(np.array(size, float), np.array(tags, float), np.array(boiler))
+        sure = [abs(x - limit) > 1e-9 for x in smooth]
+        assert all(g == (not b and x >= limit) for g, b, x, s in zip(got, boiler, smooth, sure) if s)
+    menu = "".join(f"<li><a href='/{k}'>Item {k}</a></li>" for k in range(30))
+    page = f"<body><div><ul>{menu}</ul></div><div><p>{LONG}</p><p>short</p><p>{LONG}</p></div><div><a href=x>a</a> <a href=y>b</a></div></body>"
+    assert X.main_text(page) == "\n".join([LONG.strip(), "short", LONG.strip()])
