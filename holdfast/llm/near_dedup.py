@@ -47,6 +47,7 @@ PERCENT = 80
 BLOCK = 512
 MAX_ROUNDS = 6
 FEW_EDGES = 200_000  # that one task unites
+FEW_HEADS = 200_000  # classes whose ids go to all tasks that read texts
 
 QUERIES, ORACLE, query = registry()
 
@@ -432,6 +433,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shi
     def texts_of(met: DataFrame) -> DataFrame:
         heads = classes.join(met, "cls", "left_semi").select(F.col("smallest").alias("met"), "head_hash")
         heads = written(heads, "ids", n)
+        if isinstance(id_type, T.NumericType) and heads.limit(FEW_HEADS + 1).count() <= FEW_HEADS:
+            heads = F.broadcast(heads)  # an id and a hash each, so a few megabytes; the texts then stay where they are
         same = F.col("doc_id").eqNullSafe(F.col("met")) & (F.col("hash") == F.col("head_hash"))
         return source.withColumn("hash", F.xxhash64("text")).join(heads, same, "left_semi").select("text")
 

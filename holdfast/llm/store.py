@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from holdfast.session import scratch_path
 
 
-FILE_BYTES = 32 << 20  # of text that one task of an expensive stage takes
+FILE_BYTES = 16 << 20  # of text that one task of an expensive stage takes
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:

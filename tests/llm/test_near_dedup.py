@@ -43,6 +43,7 @@ def family(rng, size, n_words, changes):
 
 @pytest.mark.parametrize("shingle, block", [(2, 256), (5, 4)])  # small blocks deal out every list
 def test_against_all_pairs(spark, monkeypatch, shingle, block):
+    monkeypatch.setattr(N, "FEW_HEADS", block // 8)  # texts by a join of both sides as well
     monkeypatch.setattr(N, "BLOCK", block)
     monkeypatch.setattr(N.components, "__defaults__", (block,))
     rng = random.Random(shingle)
