@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.llm.store import registry, text_of, whole_row, written
+from holdfast.llm.text import release
 
 TABLE_BYTES = 32 << 20
 FANOUT = 16
@@ -127,6 +128,7 @@ def _combiner(limit: int, id_type: pa.DataType):
                 if table.bytes > limit:
                     yield from emit(table)
         yield from emit(table)
+        release()
 
     return run
 
@@ -155,6 +157,7 @@ def _group_finder(id_type: pa.DataType):
                     now = bucket
                 table.add(*row)
         yield from emit(table)
+        release()
 
     return run
 

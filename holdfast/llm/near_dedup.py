@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.llm.store import FILE_BYTES, registry, text_bytes, text_of, whole_row, written
-from holdfast.llm.text import Words, mix, slices, windows
+from holdfast.llm.text import Words, mix, release, slices, windows
 
 COORDINATES = 64
 NEED = 34
@@ -165,6 +165,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [batch.slice(cut)]
     if held:
         yield _glue(held)
+    release()
 
 
 def _glue(parts: list[pa.RecordBatch]) -> pa.RecordBatch:

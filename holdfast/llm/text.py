@@ -70,6 +70,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
+    release()
+
+
+def release() -> None:
+    """Give back what Arrow keeps of freed memory, at the end of a task; its worker waits for another one."""
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
