@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.llm.store import registry, text_of
-from holdfast.llm.text import slices
+from holdfast.llm.text import cache, slices
 
 # fixed value: the piece pattern of byte-level vocabularies
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -217,7 +217,7 @@ class _Pieces(dict):
         return packed
 
 
-_loaded: dict[int, Vocabulary] = {}
+_loaded: dict[int, Vocabulary] = cache()
 
 
 def _vocabulary(sent) -> Vocabulary:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.llm.store import registry, text_of, whole_row, written
-from holdfast.llm.text import release
+from holdfast.llm.text import forget, release
 
 TABLE_BYTES = 32 << 20
 FANOUT = 16
@@ -121,6 +121,7 @@ def _combiner(limit: int, id_type: pa.DataType):
         table.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         table = ContentTable()
         for batch in batches:
             for row in _rows(batch):
@@ -149,6 +150,7 @@ def _group_finder(id_type: pa.DataType):
         table.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         table, now = ContentTable(), None
         for batch in batches:
             for bucket, row in zip(batch.column("bucket").to_pylist(), _rows(batch)):

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.llm.store import FILE_BYTES, registry, text_bytes, text_of, whole_row, written
-from holdfast.llm.text import Words, mix, release, slices, windows
+from holdfast.llm.text import Words, forget, mix, release, slices, windows
 
 COORDINATES = 64
 NEED = 34
@@ -104,6 +104,7 @@ def signatures(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _sketcher(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches):
             values, offsets = shingle_sets(Words(batch.column("text"), lower=True), n)
             sizes = np.diff(offsets)

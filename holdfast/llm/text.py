@@ -8,6 +8,7 @@ of about 2**-64 per pair.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,6 +74,24 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
     release()
 
 
+_caches: list[dict] = []
+
+
+def cache() -> dict:
+    """A dict for what an operator keeps in a worker from task to task."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def forget() -> None:
+    """Drop what other operators keep in this worker, which may run their tasks no more."""
+    if any(_caches):
+        for kept in _caches:
+            kept.clear()
+        gc.collect()
+        release()
+
+
 def release() -> None:
     """Give back what Arrow keeps of freed memory, at the end of a task; its worker waits for another one."""
     pa.default_memory_pool().release_unused()

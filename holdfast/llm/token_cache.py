@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.bpe import CACHED_LENGTH, CACHED_PIECES, PATTERN, VOCABULARY_BYTES, vocabulary_path
 from holdfast.llm.store import registry, text_of, written
-from holdfast.llm.text import slices
+from holdfast.llm.text import cache, slices
 from holdfast.session import scratch_path
 
 LIMIT = 1024  # tokens
@@ -116,7 +116,7 @@ class _Pieces(dict):
         return n
 
 
-_loaded: dict[str, Tokenizer] = {}
+_loaded: dict[str, Tokenizer] = cache()
 
 
 def _tokenizer(name: str, kind: str, sent) -> Tokenizer:

@@ -41,3 +41,11 @@ def test_slices_keep_every_row():
 def test_mix_is_a_bijection_on_a_sample():
     x = np.arange(100_000, dtype=np.uint64)
     assert len(np.unique(T.mix(x))) == len(x)
+
+
+def test_other_operators_caches_are_dropped():
+    from holdfast.llm import bpe, text, token_cache
+
+    bpe._loaded[1], token_cache._loaded["a"] = "held", "held"
+    text.forget()
+    assert not bpe._loaded and not token_cache._loaded
