@@ -56,3 +56,29 @@ def test_one_outlier_does_not_make_all_pairs_candidates():
         d = np.sqrt(((v - v[i]) ** 2).sum(1))
         d[i] = np.inf
         assert sorted(found[found["id"] == i]["neighbour_id"]) == sorted(np.argsort(d)[:5])
+
+
+def test_comparing_a_block_takes_bounded_memory():
+    import tracemalloc
+
+    from holdfast.functions import neighbours
+
+    v = np.random.default_rng(7).normal(size=(4096, 16))
+    ids = np.arange(4096)
+    tracemalloc.start()
+    neighbours._nearest(ids, v, ids, v, 5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 << 20
+    runs = list(neighbours._runs(10_000, 1024))
+    assert max(r.stop - r.start for r in runs) * 1024 <= neighbours.PAIRS_HELD
+    assert [i for r in runs for i in range(10_000)[r]] == list(range(10_000))
+
+
+def test_batches_cut_into_runs_give_equal_neighbours(spark, monkeypatch):
+    from holdfast.functions import neighbours
+
+    monkeypatch.setattr(neighbours, "PAIRS_HELD", 50)  # seven rows or fewer in a run
+    rng = np.random.default_rng(8)
+    vectors, groups = rng.normal(size=(120, 3)), rng.integers(0, 2, size=120)
+    assert run(spark, groups, vectors, 4, block_rows=15) == brute(list(range(120)), groups, vectors, 4)
