@@ -187,3 +187,11 @@ def test_empty_columns_keep_their_row(spark):
     found = {r["column_name"]: r for r in monitoring.outliers_iqr(full, ["x", "y"]).collect()}
     assert found["y"]["lower_fence"] is None and (found["y"]["below"], found["y"]["above"]) == (0, 0)
     assert found["x"]["lower_fence"] is not None
+
+
+def test_history_of_predictions_is_read_as_written(spark, sf):
+    """The aggregates and joins of its moments share no task with each other or with what ranks them."""
+    from checks import scoring_queries as Q
+
+    plan = Q.prediction_history(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == len(Q.MOMENTS) and "Join" not in plan and "Aggregate" not in plan
