@@ -82,3 +82,25 @@ def test_batches_cut_into_runs_give_equal_neighbours(spark, monkeypatch):
     rng = np.random.default_rng(8)
     vectors, groups = rng.normal(size=(120, 3)), rng.integers(0, 2, size=120)
     assert run(spark, groups, vectors, 4, block_rows=15) == brute(list(range(120)), groups, vectors, 4)
+
+
+def test_far_cells_are_not_compared(spark, monkeypatch):
+    """Points on a line far from the origin of the pivots' distances: a query meets few blocks, not nearly all."""
+    from holdfast.functions import neighbours as N
+
+    rng = np.random.default_rng(5)
+    vectors = np.c_[rng.uniform(0, 1e6, 4000), rng.normal(size=(4000, 3))]
+    squares = lambda x, p: ((x[:, None] - p[None]) ** 2).sum(2)
+    pivots = vectors[:16]
+    cell = squares(vectors, pivots).argmin(1)
+    own = [vectors[cell == c] for c in range(16)]
+    reach = N._Reach(
+        np.arange(16), np.ones(16, int), np.array([N._away(x, pivots[[c]]).max() for c, x in enumerate(own)]),
+        np.array([N._away(x, pivots).min(0) for x in own]), np.array([N._away(x, pivots).max(0) for x in own]),
+    )
+    limits = np.full(4000, 1e4)
+    open_to = reach.open_to(squares(vectors, pivots), np.zeros((4000, 16)), N._away(vectors, pivots), limits)
+    near = np.zeros((4000, 16), bool)
+    for c, x in enumerate(own):
+        near[:, c] = (np.abs(vectors[:, None, 0] - x[None, :, 0]) <= 9_999).any(1)
+    assert (open_to >= near).all() and open_to.mean() < 1.3 * near.mean()
